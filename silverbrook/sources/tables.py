@@ -93,8 +93,8 @@ class VersionedTable:
         return self._buckets_of(target)
 
     def _buckets_of(self, target: str) -> list[int | None]:
-        schema = StructType().add(BUCKET, "int")
-        found = self.spark.read.schema(schema).parquet(target).select(BUCKET).distinct()
+        rows = self.spark.read.schema(f"{BUCKET} int").parquet(target)
+        found = rows.select(BUCKET).distinct()
         return [r[0] for r in found.collect()]
 
     def replace(self, df: DataFrame, require_keys: bool = False) -> None:
