@@ -41,6 +41,15 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table over all cores, for work on texts that costs more than moving its rows.
+
+        Only a table with fewer splits than cores is moved, never a large one.
+        """
+        df = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
     # Staging tables -----------------------------------------------------
 
     def customers(self) -> DataFrame:
@@ -174,7 +183,7 @@ class Inputs:
 
     def events(self) -> DataFrame:
         """The event table with an instant and the session number."""
-        return self.table("events").select(
+        return self.spread("events").select(
             "event_id",
             F.col("ts").cast("timestamp").alias("ts"),
             "user_id",
@@ -210,7 +219,7 @@ class Inputs:
             data,
             F.concat(F.lit("user/"), F.col("user_id").cast("string")).alias("subject"),
         )
-        return self.events().select("event_id", envelope.alias("value"))
+        return with_computed(self.events(), "text", envelope).select("event_id", F.col("text").alias("value"))
 
     def faulty_texts(self) -> DataFrame:
         """The event texts with faults put into some, by the event's number."""
@@ -242,7 +251,7 @@ class Inputs:
         line_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_suppkey")
         shipped = F.col("l_shipdate").cast("timestamp")
         if name == "customers":
-            return self.table("orders").select(
+            return self.spread("orders").select(
                 F.col("o_orderkey").cast("string").alias("id"),
                 F.col("o_orderdate").cast("timestamp").alias("time"),
                 F.struct(
@@ -253,7 +262,7 @@ class Inputs:
             )
         if name == "stores":
             hours = F.make_dt_interval(hours=(F.col("c_custkey") % 1000).cast("int"))
-            return self.table("customer").select(
+            return self.spread("customer").select(
                 F.col("c_custkey").cast("string").alias("id"),
                 (F.lit("2024-01-01 00:00:00").cast("timestamp") + hours).alias("time"),
                 F.struct(
@@ -291,7 +300,7 @@ class Inputs:
                 F.col("l_extendedprice").alias("amount"),
             ),
         }[name]
-        return self.table("lineitem").select(line_id.alias("id"), shipped.alias("time"), payload.alias("data"))
+        return self.spread("lineitem").select(line_id.alias("id"), shipped.alias("time"), payload.alias("data"))
 
     def entity_texts(self, versions: DataFrame, entity: str) -> DataFrame:
         event_type = F.lit(f"{PREFIX}.{entity}.upsert")

@@ -70,7 +70,10 @@ def raw_load_once(inp: Inputs) -> DataFrame:
     """Load, load again, add files, load again: every event is there once."""
     base = shared_dir(inp.spark, "load")
     _, stored = route_events(inp.raw_events())
-    errors = stored.filter(F.col("ce_type") == f"{PREFIX}.error.upsert")
+    stored.write.parquet(f"{base}/events")
+    errors = inp.spark.read.parquet(f"{base}/events").filter(
+        F.col("ce_type") == f"{PREFIX}.error.upsert"
+    )
     days = F.dayofmonth("ce_time")
 
     def load() -> None:
@@ -247,7 +250,8 @@ def clicks_dedup(inp: Inputs) -> DataFrame:
 
 def _landing_stream(inp: Inputs, base: str) -> DataFrame:
     """The landing table written in time order, as a stream of several micro-batches."""
-    landed = inp.landing().select(CONTENT, "ingested_at", "ce_time")
+    inp.landing().select(CONTENT, "ingested_at", "ce_time").write.parquet(f"{base}/all")
+    landed = inp.spark.read.parquet(f"{base}/all")
     for first, last in ((1, 10), (11, 20), (21, 31)):
         part = landed.filter(F.dayofmonth("ce_time").between(first, last)).drop("ce_time")
         part.coalesce(1).write.mode("append").parquet(f"{base}/landing")
@@ -358,8 +362,10 @@ for _name in ENTITIES:
 def stage_incremental(inp: Inputs) -> DataFrame:
     """A first load of older events, then an incremental one over all of them, twice."""
     spec = ENTITIES["payments"]
-    table = VersionedTable(inp.spark, shared_dir(inp.spark, "staging"), spec.keys, BUCKETS)
-    raw = inp.entity_raw("payments", "payment")
+    base = shared_dir(inp.spark, "staging")
+    table = VersionedTable(inp.spark, f"{base}/payments", spec.keys, BUCKETS)
+    inp.entity_raw("payments", "payment").write.parquet(f"{base}/raw")
+    raw = inp.spark.read.parquet(f"{base}/raw")
     staging.stage_entity(raw.filter(F.col("ce_time") < F.lit(date(1998, 7, 1))), spec, table)
     staging.stage_entity(raw, spec, table)
     return staging.stage_entity(raw, spec, table)
@@ -370,9 +376,10 @@ def stage_stream(inp: Inputs) -> DataFrame:
     """Raw events arriving in time order, merged micro-batch by micro-batch."""
     spec = ENTITIES["payments"]
     base = shared_dir(inp.spark, "staging")
-    raw = inp.entity_raw("payments", "payment")
-    for years in (("1900", "1997"), ("1998", "1999"), ("2000", "2100")):
-        part = raw.filter(F.year("ce_time").between(int(years[0]), int(years[1])))
+    inp.entity_raw("payments", "payment").write.parquet(f"{base}/all")
+    raw = inp.spark.read.parquet(f"{base}/all")
+    for first, last in ((1900, 1997), (1998, 1999), (2000, 2100)):
+        part = raw.filter(F.year("ce_time").between(first, last))
         part.coalesce(1).write.mode("append").parquet(f"{base}/raw")
     stream = (
         inp.spark.readStream.schema(raw.schema)

@@ -41,22 +41,30 @@ def _error(field: str | None, message: Column) -> Column:
     return F.struct(name.alias("field"), message.alias("message"))
 
 
+def _kind(name: str) -> Column:
+    """Type of an attribute's value, NULL when it is missing."""
+    return F.schema_of_variant(variant_field(variant_path(name), "variant", strict=False))
+
+
+def _acceptable(name: str) -> Column:
+    """Whether the text of a required attribute is fine."""
+    text = variant_field(variant_path(name), "string", strict=False)
+    return text == F.lit(SPECVERSION) if name == "specversion" else text.rlike(_VISIBLE)
+
+
 def _attribute_error(name: str) -> Column:
     """The error of one required attribute, NULL when it is fine."""
-    path = variant_path(name)
-    kind = F.schema_of_variant(variant_field(path, "variant", strict=False))
-    text = variant_field(path, "string", strict=False)
+    kind = _kind(name)
     if name == "specversion":
-        bad = ~text.eqNullSafe(F.lit(SPECVERSION))
+        text = variant_field(variant_path(name), "string", strict=False)
         quote = F.when(text.contains("'") & ~text.contains('"'), '"').otherwise("'")
         message = F.concat(F.lit(UNSUPPORTED[0]), quote, text, quote, F.lit(UNSUPPORTED[1]))
     else:
-        bad = ~text.rlike(_VISIBLE)
         message = F.lit(BLANK.format(name))
     return (
         F.when(kind.isNull(), _error(name, F.lit(MISSING)))
         .when(kind != "STRING", _error(name, F.lit(NOT_TEXT)))
-        .when(bad, _error(name, message))
+        .when(~_acceptable(name), _error(name, message))
     )
 
 
@@ -66,14 +74,12 @@ def _one_document(body: Column) -> Column:
     Spark's parser stops after the first value and ignores what follows. Put
     between brackets the text must be an array of one element, and put into an
     object it must be the value of its only field; text after the first value
-    breaks one or the other. The second check only skips over the text.
+    breaks one or the other. Both checks only skip over the text.
     """
-    listed = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
+    elements = F.json_array_length(F.concat(F.lit("["), body, F.lit("]")))
     fields = F.json_object_keys(F.concat(F.lit('{"v":'), body, F.lit("}")))
-    only = F.try_variant_get(listed, "$[1]", "variant").isNull()
-    return F.when(
-        only & fields.eqNullSafe(F.array(F.lit("v"))), F.try_variant_get(listed, "$[0]", "variant")
-    )
+    alone = (elements == 1) & (F.size(fields) == 1)
+    return F.when(alone, F.try_parse_json(body))
 
 
 def _parse(df: DataFrame, text: str) -> DataFrame:
@@ -87,8 +93,9 @@ def _is_object() -> Column:
 
 
 def _is_valid() -> Column:
-    sound = [_attribute_error(name).isNull() for name in REQUIRED]
-    return reduce(and_, sound, F.col(CONTENT).isNotNull() & _is_object())
+    sound = [(_kind(name) == "STRING") & _acceptable(name) for name in REQUIRED]
+    checks = reduce(and_, sound, F.col(CONTENT).isNotNull() & _is_object())
+    return F.coalesce(checks, F.lit(False))
 
 
 def _errors() -> Column:
