@@ -8,6 +8,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from silverbrook.functions.events import CONTENT, variant_field, with_computed
 
+RAW_SCHEMA = (
+    "ingested_at timestamp, source_file string, record_content variant, "
+    "ce_id string, ce_type string, ce_time timestamp"
+)
+
 # How long loaded files are remembered.
 FILE_MEMORY = "64d"
 

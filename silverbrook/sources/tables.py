@@ -14,7 +14,8 @@ from pyspark.sql.types import StructType
 from silverbrook.operators.dedup import latest_per_key
 from silverbrook.operators.incremental import merge_upsert
 
-BUCKET = "key_bucket"
+BUCKET = "table_bucket"
+VERSION = "table_version"
 _COMMIT = "bucket int, folder string, columns string"
 
 
@@ -56,9 +57,10 @@ class VersionedTable:
         return number, folders, StructType.fromJson(json.loads(rows[0]["columns"]))
 
     def _commit(self, number: int, folders: dict[int | None, str], schema: StructType) -> None:
-        rows = [(b, f, schema.json()) for b, f in folders.items()] or [(None, None, schema.json())]
-        commit = self.spark.createDataFrame(rows, _COMMIT).coalesce(1)
-        commit.write.mode("errorifexists").json(f"{self.path}/commits/{number}")
+        rows = [{"bucket": b, "folder": f} for b, f in folders.items()] or [{}]
+        listed = F.from_json(F.lit(json.dumps(rows)), "array<struct<bucket: int, folder: string>>")
+        commit = self.spark.range(1).select(F.inline(listed), F.lit(schema.json()).alias("columns"))
+        commit.coalesce(1).write.mode("errorifexists").json(f"{self.path}/commits/{number}")
 
     def _read(self, folders: dict[int | None, str], schema: StructType) -> DataFrame:
         if not folders:
@@ -100,7 +102,7 @@ class VersionedTable:
     def replace(self, df: DataFrame, require_keys: bool = False) -> None:
         """Make ``df`` the whole content; optionally refuse rows without a key."""
         number = self._commits() or 0
-        folder = f"v={number + 1}-{uuid.uuid4().hex[:8]}"
+        folder = f"{VERSION}={number + 1}-{uuid.uuid4().hex[:8]}"
         folders = {bucket: folder for bucket in self._write(df, folder)}
         if require_keys:
             self._check_keys(self._read(folders, df.schema))
@@ -132,7 +134,7 @@ class VersionedTable:
             merged = latest_per_key(
                 old.unionByName(stored_batch), self.keys, newest_by, "first", tie_break
             )
-        folder = f"v={number + 1}-{uuid.uuid4().hex[:8]}"
+        folder = f"{VERSION}={number + 1}-{uuid.uuid4().hex[:8]}"
         written = self._write(merged, folder)
         self._commit(number + 1, {**folders, **{b: folder for b in written}}, schema)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -12,6 +13,7 @@ from silverbrook.sources.tables import VersionedTable
 from silverbrook.streaming.landing import CLICKS_INTERVAL, start_append
 
 WATERMARK = "15 seconds"
+SLICES = 16
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, interval: str | None) -> StreamingQuery:
@@ -37,10 +39,15 @@ def first_click_seen(landed: DataFrame, watermark: str = WATERMARK) -> DataFrame
     """Click rows with repeats dropped that arrive within the watermark.
 
     Keeps the first arrival of a click; ``stream_clicks_latest`` keeps the
-    latest event instead.
+    latest event instead. Repeats are first dropped within slices of the
+    input, so that a click repeated very often is not left to a single task; a
+    row's slice follows from its partition and is the same when a task is run
+    again.
     """
-    clicks = clicks_projection(landed)
-    return clicks.withWatermark("ce_time", watermark).dropDuplicatesWithinWatermark(["click_id"])
+    clicks = clicks_projection(landed).withWatermark("ce_time", watermark)
+    sliced = clicks.withColumn("_slice", F.spark_partition_id() % SLICES)
+    once_per_slice = sliced.dropDuplicatesWithinWatermark(["click_id", "_slice"])
+    return once_per_slice.drop("_slice").dropDuplicatesWithinWatermark(["click_id"])
 
 
 def stream_clicks_latest(
@@ -69,7 +76,11 @@ def stream_entity(
     strict: bool = True,
     number_scale: int = 2,
 ) -> StreamingQuery:
-    """Keep an entity's staging table up to date from a stream of its raw events."""
+    """Keep an entity's staging table up to date from a stream of its raw events.
+
+    A run with ``interval=None`` takes the events added since the last one and
+    stops; it never reads older ones again.
+    """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         stage_new_events(batch, spec, table, strict, number_scale)
