@@ -91,7 +91,7 @@ CTES = {
     "versions_customers": """SELECT o_custkey AS customer_id, o_orderpriority AS first_name,
         o_orderstatus AS last_name, CAST(o_orderkey AS VARCHAR) AS id, epoch_us(o_orderdate) AS ce_time
         FROM orders""",
-    "versions_stores": """SELECT c_nationkey AS store_id, c_name AS name, c_mktsegment AS city,
+    "versions_stores": """SELECT CAST(c_nationkey AS BIGINT) AS store_id, c_name AS name, c_mktsegment AS city,
         concat('S', CAST(c_nationkey AS VARCHAR)) AS state, c_mktsegment AS country,
         CAST(c_custkey AS VARCHAR) AS id,
         epoch_us(TIMESTAMP '2024-01-01' + to_hours(c_custkey % 1000)) AS ce_time FROM customer""",
@@ -99,7 +99,7 @@ CTES = {
         l_linestatus AS category, CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
         {_LINE_ID} AS id, epoch_us(l_shipdate) AS ce_time FROM lineitem""",
     "versions_orders": f"""SELECT l_orderkey AS order_id, l_suppkey AS customer_id,
-        l_linenumber AS store_id, CAST(l_shipdate AS DATE) AS order_date,
+        CAST(l_linenumber AS BIGINT) AS store_id, CAST(l_shipdate AS DATE) AS order_date,
         CASE WHEN l_linestatus = 'F' THEN 'completed' ELSE 'placed' END AS status,
         {_LINE_ID} AS id, epoch_us(l_shipdate) AS ce_time FROM lineitem""",
     "versions_order_items": f"""SELECT l_orderkey * 8 + l_linenumber AS order_item_id,
@@ -202,7 +202,7 @@ ORACLES = {
     "raw_event_scan": _sql(
         "SELECT ce_id, ce_type, us AS ce_time, value FROM ev WHERE event_type = 'error'", "ev"
     ),
-    "raw_load_once": _sql("SELECT ce_id, 1 AS times_loaded FROM ev WHERE event_type = 'error'", "ev"),
+    "raw_load_once": _sql("SELECT ce_id, CAST(1 AS BIGINT) AS times_loaded FROM ev WHERE event_type = 'error'", "ev"),
     "event_validate_valid": _sql(
         f"SELECT event_id, ce_id, ce_type, ce_source, us AS ce_time FROM ev WHERE {_VALID}", "ev"
     ),

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, TimestampType
+from pyspark.sql.types import DecimalType, IntegerType, TimestampType
 
 from checks.bindings import PREFIX, Inputs
 from silverbrook.functions.events import CONTENT, entity_key, envelope_columns, extract_typed
@@ -21,7 +21,7 @@ from silverbrook.plans.as_user import query_as_user
 from silverbrook.plans.build import build
 from silverbrook.plans.secured import SECURED_VIEWS, secured_view
 from silverbrook.plans.semantic import SHOP_MODEL, semantic_query
-from silverbrook.schema import CLICK_EVENT_TYPE, CLICK_COLUMNS, ENTITIES, Column
+from silverbrook.schema import CLICK_COLUMNS, CLICK_EVENT_TYPE, ENTITIES, Column
 from silverbrook.session import shared_dir
 from silverbrook.sources.event_store import write_event_store, write_quarantine
 from silverbrook.sources.raw_events import load_raw_incremental, read_raw_events
@@ -41,12 +41,14 @@ def query(run: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Decimals as doubles and instants as microseconds, which compare alike everywhere."""
+    """Decimals as doubles, integers as long, instants as microseconds: types that compare alike."""
     out = []
     for field in df.schema.fields:
         column = F.col(field.name)
         if isinstance(field.dataType, DecimalType):
             column = column.cast("double")
+        elif isinstance(field.dataType, IntegerType):
+            column = column.cast("bigint")
         elif isinstance(field.dataType, TimestampType):
             column = F.unix_micros(column)
         out.append(column.alias(field.name))
