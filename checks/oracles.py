@@ -275,7 +275,7 @@ ORACLES = {
         FROM ev) WHERE rn = 1""",
         "ev",
     ),
-    "latest_per_composite_key": """SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS l_shipdate,
+    "latest_per_composite_key": """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(l_shipdate AS DATE) AS l_shipdate,
         l_partkey, l_suppkey, l_extendedprice FROM (SELECT *, ROW_NUMBER() OVER (
         PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS FIRST, l_partkey DESC,
         l_suppkey DESC, l_extendedprice DESC) AS rn FROM lineitem) WHERE rn = 1""",

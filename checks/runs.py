@@ -532,7 +532,8 @@ VIEW_USERS = {
 
 def _secured(name: str) -> Callable[[Inputs], DataFrame]:
     def run(inp: Inputs) -> DataFrame:
-        return secured_view(name, inp.marts(), inp.entitlements(), VIEW_USERS[name])
+        marts_read = inp.marts(SECURED_VIEWS[name].mart)
+        return secured_view(name, marts_read, inp.entitlements(), VIEW_USERS[name])
 
     run.__name__ = name
     return run
@@ -595,7 +596,7 @@ def entitlement_checks(inp: Inputs) -> DataFrame:
 def query_as_user_orders(inp: Inputs) -> DataFrame:
     def load(session: SparkSession):
         own = Inputs(session, inp.sf_dir)
-        return own.marts(), own.entitlements()
+        return own.marts("fact_orders", "dim_date"), own.entitlements()
 
     sql = """
         SELECT o.status, d.year, min(o.order_date) AS first_date, count(*) AS n_orders,
@@ -609,12 +610,23 @@ def query_as_user_orders(inp: Inputs) -> DataFrame:
 # Semantic model -------------------------------------------------------------------
 
 
+def _marts_read(metrics, dims, where) -> list[str]:
+    """The marts of the metrics' entities and of those on the way to the dimensions."""
+    found = set()
+    for base in {SHOP_MODEL.metric(m).entity for m in metrics}:
+        found.add(base)
+        for name in (*dims, *where):
+            found |= {hop.target for hop in SHOP_MODEL.path(base, SHOP_MODEL.resolve(name).entity)}
+    return [SHOP_MODEL.entity(name).mart for name in found]
+
+
 def _ask(name: str, metrics, dims=(), user_id: int | None = None, **more) -> None:
     def run(inp: Inputs) -> DataFrame:
+        read = inp.marts(*_marts_read(metrics, dims, more.get("where", ())))
         if user_id is None:
-            bound = SHOP_MODEL.bind(inp.marts())
+            bound = SHOP_MODEL.bind(read)
         else:
-            bound = SHOP_MODEL.secured(inp.marts(), inp.entitlements(), user_id)
+            bound = SHOP_MODEL.secured(read, inp.entitlements(), user_id)
         return semantic_query(bound, metrics, dims, **more)
 
     run.__name__ = name

@@ -67,11 +67,14 @@ def load_raw_incremental(
     checkpoint: str,
     prefix: str | None = None,
     max_file_age: str = FILE_MEMORY,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Append files not loaded before to a raw table; run again, it adds only new files.
 
     The checkpoint remembers the files and the file sink commits each batch as
-    a whole, so a failed run neither loses nor repeats any.
+    a whole, so a failed run neither loses nor repeats any. A large backlog
+    can be taken in batches of ``files_per_batch``, so that a failure repeats
+    one of them only.
     """
     path = prefix or entity_prefix(root, entity)
     lines = (
@@ -79,10 +82,11 @@ def load_raw_incremental(
         .schema("value string")
         .option("recursiveFileLookup", "true")
         .option("maxFileAge", max_file_age)
-        .load(path)
     )
+    if files_per_batch is not None:
+        lines = lines.option("maxFilesPerTrigger", files_per_batch)
     return (
-        _records(lines)
+        _records(lines.load(path))
         .writeStream.format("parquet")
         .option("path", table)
         .option("checkpointLocation", checkpoint)

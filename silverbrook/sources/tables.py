@@ -138,6 +138,41 @@ class VersionedTable:
         written = self._write(merged, folder)
         self._commit(number + 1, {**folders, **{b: folder for b in written}}, schema)
 
+    def clean(self, keep: int = 2) -> None:
+        """Delete what the newest ``keep`` commits do not refer to.
+
+        Readers that still use an older version must be done; nothing else may
+        write meanwhile.
+        """
+        newest = self._commits()
+        if newest is None:
+            return
+        kept = range(max(1, newest - keep + 1), newest + 1)
+        paths = [f"{self.path}/commits/{number}" for number in kept]
+        rows = self.spark.read.schema(_COMMIT).json(paths).select("folder").distinct().collect()
+        folders = {r["folder"] for r in rows}
+        for name in self._names("data"):
+            if name not in folders:
+                self._delete(f"data/{name}")
+        for name in self._names("commits"):
+            if int(name) not in kept:
+                self._delete(f"commits/{name}")
+        for name in self._names("batches"):
+            self._delete(f"batches/{name}")
+
+    def _hadoop(self, below: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{below}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _names(self, below: str) -> list[str]:
+        files, path = self._hadoop(below)
+        found = files.listStatus(path) if files.exists(path) else []
+        return [status.getPath().getName() for status in found if status.isDirectory()]
+
+    def _delete(self, below: str) -> None:
+        files, path = self._hadoop(below)
+        files.delete(path, True)
+
     def _check_keys(self, batch: DataFrame) -> None:
         missing = batch.filter(" OR ".join(f"`{k}` IS NULL" for k in self.keys))
         if not missing.isEmpty():

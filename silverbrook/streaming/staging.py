@@ -13,6 +13,8 @@ from silverbrook.sources.tables import VersionedTable
 from silverbrook.streaming.landing import CLICKS_INTERVAL, start_append
 
 WATERMARK = "15 seconds"
+# Appending is cheap every minute; a merge rewrites the buckets it touches.
+MERGE_INTERVAL = "1 hour"
 SLICES = 16
 
 
@@ -54,11 +56,13 @@ def stream_clicks_latest(
     landed: DataFrame,
     table: VersionedTable,
     checkpoint: str,
-    interval: str | None = CLICKS_INTERVAL,
+    interval: str | None = MERGE_INTERVAL,
 ) -> StreamingQuery:
     """Keep a table of the latest event per click.
 
     Repeating a micro-batch merges the same rows again and changes nothing.
+    Where clicks must show up sooner, append them with ``stream_clicks`` and
+    read the table through ``clicks_dedup``.
     """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
@@ -72,7 +76,7 @@ def stream_entity(
     spec: EntitySpec,
     table: VersionedTable,
     checkpoint: str,
-    interval: str | None = CLICKS_INTERVAL,
+    interval: str | None = MERGE_INTERVAL,
     strict: bool = True,
     number_scale: int = 2,
 ) -> StreamingQuery:

@@ -236,3 +236,17 @@ def test_commit_number_is_taken_once(spark, folder):
     table.replace(_kv(spark, (1, "a")))
     with pytest.raises(PySparkException):
         table._commit(1, {None: "x"}, table.read().schema)
+
+
+def test_clean_keeps_the_newest_versions(spark, folder, rows):
+    table = VersionedTable(spark, folder, ["k"], 4)
+    table.replace(_kv(spark, *[(i, "0") for i in range(20)]))
+    for round_ in "123":
+        table.merge(_kv(spark, (1, round_)))
+    table.clean(keep=2)
+    assert sorted(table._names("commits")) == ["3", "4"] and table._names("batches") == []
+    assert len(table._names("data")) == 3  # the first still holds untouched buckets
+    values = dict(rows(table.read()))
+    assert len(values) == 20 and values[1] == "3"
+    table.merge(_kv(spark, (1, "4")))
+    assert dict(rows(table.read()))[1] == "4"
