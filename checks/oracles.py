@@ -226,14 +226,14 @@ ORACLES = {
     "event_quarantine": """SELECT CASE event_id % 20 WHEN 5 THEN 'request-body-must-be-a-JSON-object'
         WHEN 6 THEN 'invalid-JSON-body' ELSE 'invalid-event' END AS error_type,
         COUNT(*) AS n_records, COUNT(*) AS n_errors FROM events WHERE event_id % 20 <= 6 GROUP BY ALL""",
-    "stream_landing_events": _sql(
+    "stream_all_sinks": _sql(
         f"""SELECT CASE WHEN NOT ({_VALID}) THEN 'quarantine'
         WHEN ce_type = 'ecommerce_clicks' THEN 'landing' ELSE 'store' END AS sink,
         TRUE AS untimed, COUNT(*) AS n_events FROM ev GROUP BY ALL""",
         "ev",
     ),
-    "stream_landing_rows": _sql("SELECT ce_id, customer_id, TRUE AS untimed FROM clicks", "clicks"),
-    "stream_event_store_rows": _sql(
+    "stream_landing": _sql("SELECT ce_id, customer_id, TRUE AS untimed FROM clicks", "clicks"),
+    "stream_event_store": _sql(
         """SELECT concat('com.example.shop.', event_type) AS entity, COUNT(*) AS n_events
         FROM ev WHERE ce_type <> 'ecommerce_clicks' GROUP BY ALL""",
         "ev",
@@ -261,15 +261,15 @@ ORACLES = {
     ),
     "clicks_projection": _sql(_CLICKS_ALL, "clicks"),
     "clicks_dedup": _sql("SELECT * FROM clicks_latest", "clicks_latest"),
-    "stream_clicks_rows": _sql(_CLICKS_ALL, "clicks"),
-    "stream_clicks_latest": _sql("SELECT * FROM clicks_latest", "clicks_latest"),
-    "stream_clicks_first": _sql("SELECT DISTINCT click_id FROM clicks", "clicks"),
+    "clicks_projection_stream": _sql(_CLICKS_ALL, "clicks"),
+    "clicks_dedup_stream": _sql("SELECT * FROM clicks_latest", "clicks_latest"),
+    "clicks_first_stream": _sql("SELECT DISTINCT click_id FROM clicks", "clicks"),
     "dim_products": _sql(
         "SELECT product_id, name, category, CAST(price AS DOUBLE) AS price FROM products", "products"
     ),
     "dim_stores": _sql("SELECT store_id, name, city, state, country FROM stores", "stores"),
     # Deduplication, incremental loads, merges
-    "latest_per_key_events": _sql(
+    "latest_per_key": _sql(
         """SELECT event_id, us AS ts, user_id, event_type, value, k FROM (
         SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST, event_id DESC) AS rn
         FROM ev) WHERE rn = 1""",
@@ -279,7 +279,7 @@ ORACLES = {
         l_partkey, l_suppkey, l_extendedprice FROM (SELECT *, ROW_NUMBER() OVER (
         PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS FIRST, l_partkey DESC,
         l_suppkey DESC, l_extendedprice DESC) AS rn FROM lineitem) WHERE rn = 1""",
-    "lookback_filter_events": _sql(
+    "lookback_filter": _sql(
         """SELECT event_id, us AS ts FROM ev
         WHERE ts >= (SELECT MAX(ts) - INTERVAL 86400 SECOND FROM ev WHERE event_type = 'error')""",
         "ev",
@@ -342,10 +342,10 @@ ORACLES = {
         )
         for name, user in (("scoped", 101), ("denied", 103))
     },
-    "mask_pii_names": _sql(
+    "mask_pii": _sql(
         "SELECT customer_id, first_name AS name_for_3, '***' AS name_for_2 FROM customers", "customers"
     ),
-    "mask_financial_amounts": _sql(
+    "mask_financial": _sql(
         """SELECT payment_id, CAST(amount AS DOUBLE) AS amount_for_1, CAST(NULL AS DOUBLE) AS amount_for_5
         FROM payments""",
         "payments",
@@ -404,7 +404,7 @@ ORACLES = {
         WHERE resource IS NOT NULL GROUP BY user_id, resource, object_id HAVING COUNT(*) > 1""",
         "faulty_grants",
     ),
-    "query_as_user_orders": _sql(
+    "query_as_user": _sql(
         """SELECT status, year, strftime(first_date, '%Y-%m-%d') AS first_date, n_orders, revenue FROM (
         SELECT o.status, d.year, MIN(o.order_date) AS first_date, COUNT(*) AS n_orders,
           CAST(SUM(o.amount) AS DOUBLE) AS revenue
@@ -513,5 +513,5 @@ _MERGED = """SELECT event_id, us AS ts, user_id, event_type, value, k FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, k
       ORDER BY (event_type = 'click') DESC, ts DESC NULLS FIRST, event_id DESC) AS rn
     FROM ev WHERE event_type IN ('view', 'click')) WHERE rn = 1"""
-ORACLES["merge_upsert_events"] = _sql(_MERGED, "ev")
+ORACLES["merge_upsert"] = _sql(_MERGED, "ev")
 ORACLES["merge_upsert_table"] = _sql(_MERGED, "ev")

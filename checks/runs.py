@@ -35,8 +35,12 @@ BUCKETS = 8
 
 
 def query(run: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
-    """Register a query under its function's name; its result gets comparable types."""
-    QUERIES[run.__name__] = lambda spark, sf_dir: plain(run(Inputs(spark, sf_dir)))
+    """Register a query under its function's name; its result gets comparable types.
+
+    A ``run_`` in front keeps a function's name apart from the operator it runs.
+    """
+    name = run.__name__.removeprefix("run_")
+    QUERIES[name] = lambda spark, sf_dir: plain(run(Inputs(spark, sf_dir)))
     return run
 
 
@@ -154,7 +158,7 @@ def _text_stream(inp: Inputs, texts: DataFrame, base: str) -> DataFrame:
 
 
 @query
-def stream_landing_events(inp: Inputs) -> DataFrame:
+def run_stream_all_sinks(inp: Inputs) -> DataFrame:
     """Incoming texts through all three sinks; what reached each of them."""
     base = shared_dir(inp.spark, "ingest")
     texts = _text_stream(inp, inp.faulty_texts(), base)
@@ -178,7 +182,7 @@ def stream_landing_events(inp: Inputs) -> DataFrame:
 
 
 @query
-def stream_landing_rows(inp: Inputs) -> DataFrame:
+def run_stream_landing(inp: Inputs) -> DataFrame:
     base = shared_dir(inp.spark, "landing")
     valid, _ = validate_events(_text_stream(inp, inp.event_texts(), base))
     routed, _ = route_events(valid)
@@ -191,7 +195,7 @@ def stream_landing_rows(inp: Inputs) -> DataFrame:
 
 
 @query
-def stream_event_store_rows(inp: Inputs) -> DataFrame:
+def run_stream_event_store(inp: Inputs) -> DataFrame:
     base = shared_dir(inp.spark, "events")
     valid, _ = validate_events(_text_stream(inp, inp.event_texts(), base))
     _, stored = route_events(valid)
@@ -264,7 +268,7 @@ def _landing_stream(inp: Inputs, base: str) -> DataFrame:
 
 
 @query
-def stream_clicks_rows(inp: Inputs) -> DataFrame:
+def run_clicks_projection_stream(inp: Inputs) -> DataFrame:
     base = shared_dir(inp.spark, "clicks")
     landed = _landing_stream(inp, base)
     streams.stream_clicks(landed, f"{base}/clicks", f"{base}/ckpt", interval=None).awaitTermination()
@@ -272,7 +276,7 @@ def stream_clicks_rows(inp: Inputs) -> DataFrame:
 
 
 @query
-def stream_clicks_latest(inp: Inputs) -> DataFrame:
+def run_clicks_dedup_stream(inp: Inputs) -> DataFrame:
     base = shared_dir(inp.spark, "clicks")
     table = VersionedTable(inp.spark, f"{base}/clicks", ["click_id"], BUCKETS)
     landed = _landing_stream(inp, base)
@@ -281,7 +285,7 @@ def stream_clicks_latest(inp: Inputs) -> DataFrame:
 
 
 @query
-def stream_clicks_first(inp: Inputs) -> DataFrame:
+def run_clicks_first_stream(inp: Inputs) -> DataFrame:
     """Which clicks are kept; within the watermark one arrival of each is."""
     base = shared_dir(inp.spark, "clicks")
     first = streams.first_click_seen(_landing_stream(inp, base), watermark="40 days")
@@ -305,7 +309,7 @@ def dim_stores(inp: Inputs) -> DataFrame:
 
 
 @query
-def latest_per_key_events(inp: Inputs) -> DataFrame:
+def run_latest_per_key(inp: Inputs) -> DataFrame:
     return latest_per_key(inp.events(), ["user_id"], "ts", tie_break=["event_id"])
 
 
@@ -319,7 +323,7 @@ def latest_per_composite_key(inp: Inputs) -> DataFrame:
 
 
 @query
-def lookback_filter_events(inp: Inputs) -> DataFrame:
+def run_lookback_filter(inp: Inputs) -> DataFrame:
     events = inp.events()
     target = events.filter("event_type = 'error'")
     return lookback_filter(events, target, "ts", seconds=86400).select("event_id", "ts")
@@ -331,7 +335,7 @@ def _per_click(inp: Inputs, event_type: str) -> DataFrame:
 
 
 @query
-def merge_upsert_events(inp: Inputs) -> DataFrame:
+def run_merge_upsert(inp: Inputs) -> DataFrame:
     return merge_upsert(_per_click(inp, "view"), _per_click(inp, "click"), ["user_id", "k"])
 
 
@@ -488,7 +492,7 @@ def _level(inp: Inputs, user_id: int, resource: str) -> int:
 
 
 @query
-def mask_pii_names(inp: Inputs) -> DataFrame:
+def run_mask_pii(inp: Inputs) -> DataFrame:
     return inp.customers().select(
         "customer_id",
         mask_pii("first_name", _level(inp, 3, "customer")).alias("name_for_3"),
@@ -497,7 +501,7 @@ def mask_pii_names(inp: Inputs) -> DataFrame:
 
 
 @query
-def mask_financial_amounts(inp: Inputs) -> DataFrame:
+def run_mask_financial(inp: Inputs) -> DataFrame:
     return inp.payments().select(
         "payment_id",
         mask_financial("amount", _level(inp, 1, "payment"), "decimal(18,2)").alias("amount_for_1"),
@@ -593,7 +597,7 @@ def entitlement_checks(inp: Inputs) -> DataFrame:
 
 
 @query
-def query_as_user_orders(inp: Inputs) -> DataFrame:
+def run_query_as_user(inp: Inputs) -> DataFrame:
     def load(session: SparkSession):
         own = Inputs(session, inp.sf_dir)
         return own.marts("fact_orders", "dim_date"), own.entitlements()

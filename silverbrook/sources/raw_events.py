@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,6 +22,20 @@ def entity_prefix(root: str, entity: str) -> str:
     return f"{root.rstrip('/')}/entity={entity or '__HIVE_DEFAULT_PARTITION__'}"
 
 
+def json_values(line: Column) -> Column:
+    """The JSON values of a line that may hold several objects one after another.
+
+    In valid JSON a brace closed and opened again is either the border of two
+    values or part of a text. Control characters cannot occur as such, so they
+    can stand for escapes while texts are told apart, and mark the borders.
+    """
+    plain = F.replace(F.replace(line, F.lit("\\\\"), F.lit("\x01")), F.lit('\\"'), F.lit("\x02"))
+    marked = F.regexp_replace(plain, r'("[^"]*")|(\})\s*(?=\{)', "$1$2\x03")
+    marked = F.replace(marked, F.lit('"\x03'), F.lit('"'))
+    escaped = F.replace(F.replace(marked, F.lit("\x02"), F.lit('\\"')), F.lit("\x01"), F.lit("\\\\"))
+    return F.when(line.rlike(r"\}\s*\{"), F.split(escaped, "\x03")).otherwise(F.array(line))
+
+
 def with_event_columns(raw: DataFrame) -> DataFrame:
     """Add id, type and time as typed columns beside the event.
 
@@ -37,11 +51,11 @@ def with_event_columns(raw: DataFrame) -> DataFrame:
 
 
 def _records(lines: DataFrame) -> DataFrame:
-    """Load time, file and unmodified event of every line that parses."""
+    """Load time, file and unmodified event of every JSON value that parses."""
     located = lines.select(
         F.current_timestamp().alias("ingested_at"),
         F.col("_metadata.file_path").alias("source_file"),
-        "value",
+        F.explode(json_values(F.col("value"))).alias("value"),
     )
     parsed = with_computed(located, CONTENT, F.try_parse_json("value")).drop("value")
     return with_event_columns(parsed.filter(F.col(CONTENT).isNotNull()))
@@ -50,10 +64,11 @@ def _records(lines: DataFrame) -> DataFrame:
 def read_raw_events(
     spark: SparkSession, root: str, entity: str, prefix: str | None = None
 ) -> DataFrame:
-    """All records below one entity's folder; lines that do not parse are skipped.
+    """All records below one entity's folder; what does not parse is skipped.
 
     Only that folder is listed. ``prefix`` names the folder itself when the
-    store is laid out differently. A line holding an array stays one record.
+    store is laid out differently. A line may hold several objects; an array
+    stays one record.
     """
     path = prefix or entity_prefix(root, entity)
     return _records(spark.read.option("recursiveFileLookup", "true").text(path))

@@ -49,6 +49,20 @@ def test_scan_skips_bad_lines_and_keeps_arrays_whole(spark, folder, rows):
     assert rows(scan.select(F.to_json(CONTENT))) == [("[1,2]",), ('{"id":"1"}',)]
 
 
+def test_lines_may_hold_several_objects(spark, folder, rows):
+    values = [
+        '{"a":"x}{y"}', '{"a":"\\\\"}', '{"a":"\\"} {\\""}', '{"a":{"b":[{"c":"}"},{"d":1}]}}',
+        '{"a":"\\\\\\"}{"}', '{}',
+    ]
+    assert all(json.loads(v) is not None for v in values)
+    lines = ["".join(values), " \t".join(values), values[0], '{"ok":1}{"bad":}{"ok":2}']
+    spark.createDataFrame([(t,) for t in lines], "value string").coalesce(1).write.text(f"{folder}/x")
+    scan = read_raw_events(spark, folder, "", prefix=f"{folder}/x")
+    found = sorted(json.dumps(json.loads(r[0])) for r in scan.select(F.to_json(CONTENT)).collect())
+    want = [*values, *values, values[0], '{"ok":1}', '{"ok":2}']
+    assert found == sorted(json.dumps(json.loads(v)) for v in want)
+
+
 def test_files_load_once(spark, folder):
     root, table, checkpoint = f"{folder}/s", f"{folder}/raw", f"{folder}/ckpt"
 
