@@ -261,6 +261,7 @@ ORACLES = {
     ),
     "clicks_projection": _sql(_CLICKS_ALL, "clicks"),
     "clicks_dedup": _sql("SELECT * FROM clicks_latest", "clicks_latest"),
+    "materialize_stream": _sql(_CLICKS_ALL, "clicks"),
     "clicks_projection_stream": _sql(_CLICKS_ALL, "clicks"),
     "clicks_dedup_stream": _sql("SELECT * FROM clicks_latest", "clicks_latest"),
     "clicks_first_stream": _sql("SELECT DISTINCT click_id FROM clicks", "clicks"),

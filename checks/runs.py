@@ -19,13 +19,14 @@ from silverbrook.operators.routing import route_events, validate_events
 from silverbrook.plans import marts, staging
 from silverbrook.plans.as_user import query_as_user
 from silverbrook.plans.build import build
+from silverbrook.plans.materialize import materialize
 from silverbrook.plans.secured import SECURED_VIEWS, secured_view
 from silverbrook.plans.semantic import SHOP_MODEL, semantic_query
 from silverbrook.schema import CLICK_COLUMNS, CLICK_EVENT_TYPE, ENTITIES, Column
 from silverbrook.session import shared_dir
 from silverbrook.sources.event_store import write_event_store, write_quarantine
-from silverbrook.sources.raw_events import load_raw_incremental, read_raw_events
-from silverbrook.sources.tables import VersionedTable, materialize
+from silverbrook.sources.raw_events import RAW_SCHEMA, load_raw_incremental, read_raw_events
+from silverbrook.sources.tables import VersionedTable
 from silverbrook.streaming import staging as streams
 from silverbrook.streaming.landing import start_ingest, stream_event_store, stream_landing
 
@@ -448,6 +449,18 @@ def materialize_table(inp: Inputs) -> DataFrame:
     return materialize(df, "fact_orders", "table", table)
 
 
+@query
+def materialize_stream(inp: Inputs) -> DataFrame:
+    base = shared_dir(inp.spark, "mart")
+    inp.raw_events().write.parquet(f"{base}/raw")
+    raw = inp.spark.readStream.schema(RAW_SCHEMA).parquet(f"{base}/raw")
+    clicks = staging.clicks_projection(raw)
+    materialize(
+        clicks, "clicks", "stream", path=f"{base}/clicks", checkpoint=f"{base}/ckpt", interval=None
+    ).awaitTermination()
+    return inp.spark.read.parquet(f"{base}/clicks").drop("ingested_at")
+
+
 @query
 def materialize_view(inp: Inputs) -> DataFrame:
     materialize(marts.customer_orders(inp.orders()), "customer_orders_view", "view")

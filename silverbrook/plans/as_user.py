@@ -55,7 +55,8 @@ def query_as_user(
 
     ``load`` builds the marts and the entitlements in the session it is given.
     The SQL stands in a subquery, so commands are refused, and it cannot name
-    files. Results hold only permitted rows; as in any engine without an
+    files; the marts themselves must not be in a catalog the session shares
+    with others. Results hold only permitted rows; as in any engine without an
     optimisation barrier, a predicate of the user's own may be evaluated
     before the row filter.
     """
@@ -65,5 +66,5 @@ def query_as_user(
     for name, view in secured_views(marts, entitlements, user).items():
         view.createOrReplaceTempView(name)
     session.conf.set("spark.sql.runSQLOnFiles", "false")
-    result = session.sql(f"SELECT * FROM (\n{sql.strip().rstrip(';')}\n) LIMIT {max_rows}")
+    result = session.sql(f"SELECT * FROM (\n{sql.strip().rstrip(';')}\n)").limit(max_rows)
     return result.select(*[_plain(f.name, f.dataType) for f in result.schema.fields])

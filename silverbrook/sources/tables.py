@@ -177,23 +177,3 @@ class VersionedTable:
         missing = batch.filter(" OR ".join(f"`{k}` IS NULL" for k in self.keys))
         if not missing.isEmpty():
             raise ValueError(f"rows without a key ({', '.join(self.keys)}) cannot be merged")
-
-
-def materialize(df: DataFrame, name: str, mode: str, table: VersionedTable | None = None) -> DataFrame:
-    """Store a model the way its layer asks for and return what readers see.
-
-    ``table`` rebuilds, ``incremental`` merges by the table's keys, ``view``
-    stores nothing. Streams have their own starters.
-    """
-    if mode == "view":
-        df.createOrReplaceTempView(name)
-        return df
-    if table is None:
-        raise ValueError(f"{mode} needs a table")
-    if mode == "table":
-        table.replace(df)
-    elif mode == "incremental":
-        table.merge(df)
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
-    return table.read()
