@@ -20,14 +20,12 @@ history or an empty batch is fine; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverbrook.llm.common import SPACE, stored, text_or_empty
+from silverbrook.llm.common import SPACE, first_of_equal, fresh, stored, text_or_empty
 
 #: Digests per bucket: about 5 MB of slots.
 BUCKET_DIGESTS = 100_000
@@ -235,6 +233,14 @@ def mark_repeats(pairs: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
+def _pairs_and_survivors(docs: DataFrame, history_share: float) -> tuple[DataFrame, DataFrame]:
+    pairs = stored(text_digests(docs), "text-digests")
+    split = pairs.select(F.percentile_approx("doc_id", history_share, 1000)).first()[0]
+    old = F.col("doc_id") <= F.lit(split) if split is not None else F.lit(False)
+    old = F.coalesce(old, F.lit(False))
+    return pairs, survivors(pairs.filter(old), pairs.filter(~old))
+
+
 def exact_dedup(docs: DataFrame, history_share: float = 0.5) -> DataFrame:
     """Every document with the row that stays for its text.
 
@@ -242,9 +248,16 @@ def exact_dedup(docs: DataFrame, history_share: float = 0.5) -> DataFrame:
     the history, the rest the new batch, so the smallest id of equal texts
     stays. Columns: doc_id, keep_id, group_size, kept, text_sha256, in_history.
     """
-    pairs = stored(text_digests(docs), "text-digests")
-    split = pairs.select(F.percentile_approx("doc_id", history_share, 1000)).first()[0]
-    old = F.col("doc_id") <= F.lit(split) if split is not None else F.lit(False)
-    old = F.coalesce(old, F.lit(False))
-    found = survivors(pairs.filter(old), pairs.filter(~old))
-    return mark_repeats(pairs, found)
+    return mark_repeats(*_pairs_and_survivors(docs, history_share))
+
+
+def drop_repeats(docs: DataFrame, history_share: float = 0.5) -> DataFrame:
+    """The rows that stay, with all their columns: one for each different text."""
+    _, found = _pairs_and_survivors(docs, history_share)
+    digest, keep = fresh(docs, "text_digest"), fresh(docs, "keep_digest")
+    stays = found.select(F.col("digest").alias(keep), F.col("keep_id"))
+    named = docs.withColumn(digest, F.unhex(F.sha2(normalised(), 256)))
+    # Rows that repeat both the text and the id are one row first.
+    once = first_of_equal(named, digest, "doc_id")
+    same = (once[digest] == stays[keep]) & once["doc_id"].eqNullSafe(stays["keep_id"])
+    return once.join(stays, same, "left_semi").drop(digest)

@@ -4,14 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverbrook.llm.common import table
+from silverbrook.llm.decontamination import find_passages
 from silverbrook.llm.exact_dedup import exact_dedup
+from silverbrook.llm.language_id import language_id
 from silverbrook.llm.line_dedup import line_dedup
+from silverbrook.llm.near_dedup import near_groups
+from silverbrook.llm.packing import pack_documents
 from silverbrook.llm.sharding import shard
+from silverbrook.llm.substring_dedup import repeated_passages
+from silverbrook.llm.token_frames import read_digests, write_tokens
 from silverbrook.llm.url_filters import filter_captures, url_host
+from silverbrook.session import shared_dir
+
+
+def tokenizer_file() -> str:
+    """The byte-level vocabulary that the registered queries use."""
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op2_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return read_digests(write_tokens(docs, shared_dir(spark, "tokens"), tokenizer_file()))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +50,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 def captures(pages: DataFrame) -> DataFrame:
     """The pages as captures: the table has no fetch time, so page n is fetched in hour n since 2024 began."""
     hour = F.expr("timestamp'2024-01-01 00:00:00' + make_dt_interval(0, page_id)")
@@ -80,15 +110,29 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op2_token_frames": op2_token_frames,
+    "op3_language_id": op3_language_id,
     "op4_line_dedup": op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_packing": op6_packing,
     "op7_url_filters": op7_url_filters,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_sharding": op9_sharding,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {
