@@ -151,6 +151,15 @@ class Inputs:
         )
         return fixed.unionByName(own)
 
+    def many_grants(self) -> DataFrame:
+        """One user with grants of three levels on every other order."""
+        return self.table("orders").filter("o_orderkey % 2 = 0").select(
+            F.lit(7).alias("user_id"),
+            F.lit("order").alias("resource"),
+            (F.col("o_custkey") % 3).cast("int").alias("access_level"),
+            F.col("o_orderkey").cast("string").alias("object_id"),
+        )
+
     def faulty_entitlements(self) -> DataFrame:
         """Grants with bad levels, missing resources and repeated keys."""
         return self.table("lineitem").select(

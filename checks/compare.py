@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -26,6 +27,7 @@ def local_session(cores: str = "8") -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")

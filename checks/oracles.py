@@ -3,8 +3,18 @@
 from __future__ import annotations
 
 from checks.bindings import ENTITLEMENT_ROWS, PRINCIPAL_ROWS
-from silverbrook.operators.routing import BLANK, MISSING, NOT_JSON, NOT_OBJECT, NOT_TEXT, UNSUPPORTED
-from silverbrook.schema import CLICK_ACTIONS, ENTITIES, PAYMENT_METHODS
+
+# Fixed values, written out here so that a wrong one in the package shows.
+PAYMENT_METHODS = ("credit_card", "coupon", "bank_transfer", "gift_card")
+CLICK_ACTIONS = ("view", "click", "add_to_cart", "remove_from_cart", "checkout", "purchase")
+ENTITY_COLUMNS = {
+    "customers": ("customer_id", "first_name", "last_name", "ce_time"),
+    "stores": ("store_id", "name", "city", "state", "country", "ce_time"),
+    "products": ("product_id", "name", "category", "price", "ce_time"),
+    "orders": ("order_id", "customer_id", "store_id", "order_date", "status", "ce_time"),
+    "order_items": ("order_item_id", "order_id", "product_id", "quantity", "ce_time"),
+    "payments": ("payment_id", "order_id", "payment_method", "amount", "ce_time"),
+}
 
 _METHOD = """CASE l_linenumber % 4 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'coupon'
        WHEN 2 THEN 'bank_transfer' ELSE 'gift_card' END"""
@@ -143,19 +153,19 @@ def _sql(body: str, *needs: str, **extra: str) -> str:
 
 def _latest(name: str, source: str, where: str = "TRUE") -> str:
     """The newest version of each key, ties by event id and then by every column."""
-    spec = ENTITIES[name]
-    rest = [c for c in spec.column_names if c not in (*spec.keys, "ce_time")]
+    key, *others = ENTITY_COLUMNS[name]
+    rest = [c for c in others if c != "ce_time"]
     order = ", ".join(
         ["ce_time DESC NULLS FIRST", "id DESC NULLS LAST", *[f"{c} DESC NULLS LAST" for c in rest]]
     )
-    return f"""SELECT {", ".join(spec.column_names)} FROM (SELECT *, ROW_NUMBER() OVER (
-        PARTITION BY {", ".join(spec.keys)} ORDER BY {order}) AS rn FROM {source} WHERE {where})
+    return f"""SELECT {", ".join(ENTITY_COLUMNS[name])} FROM (SELECT *, ROW_NUMBER() OVER (
+        PARTITION BY {key} ORDER BY {order}) AS rn FROM {source} WHERE {where})
         WHERE rn = 1"""
 
 
 def _as_doubles(name: str) -> str:
     money = {"products": "price", "payments": "amount"}.get(name)
-    columns = ENTITIES[name].column_names
+    columns = ENTITY_COLUMNS[name]
     return ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c == money else c for c in columns)
 
 
@@ -179,17 +189,39 @@ def _faults() -> str:
 
     return " UNION ALL ".join(
         [
-            error("specversion", f"{UNSUPPORTED[0]}'0.3'{UNSUPPORTED[1]}", 0),
-            error("id", BLANK.format("id"), 1),
-            error("source", BLANK.format("source"), 2),
-            error("id", NOT_TEXT, 3),
-            error("type", MISSING, 4),
-            error("-", NOT_OBJECT, 5),
-            error("-", NOT_JSON, 6),
+            error("specversion", "Value error, unsupported specversion: '0.3' — expected '1.0'", 0),
+            error("id", "Value error, 'id' must be a non-empty string", 1),
+            error("source", "Value error, 'source' must be a non-empty string", 2),
+            error("id", "Input should be a valid string", 3),
+            error("type", "Field required", 4),
+            error("-", "request body must be a JSON object", 5),
+            error("-", "invalid JSON body", 6),
         ]
     )
 
 
+def _level(user: int, resource: str) -> str:
+    """The highest level of a user on a resource, 0 without any grant."""
+    return f"""(SELECT coalesce(MAX(access_level), 0) FROM entitlements
+        WHERE user_id = {user} AND resource = '{resource}')"""
+
+
+def _visible(user: int, resource: str, key: str, grants: str = "entitlements") -> str:
+    """Whether a grant above level 0 names the row or all rows."""
+    return f"""EXISTS (SELECT 1 FROM {grants} g WHERE g.user_id = {user} AND g.resource = '{resource}'
+        AND g.access_level > 0 AND (g.object_id = '*' OR g.object_id = CAST({key} AS VARCHAR)))"""
+
+
+def _text(column: str, user: int, resource: str) -> str:
+    return f"CASE WHEN {_level(user, resource)} >= 1 THEN {column} ELSE '***' END"
+
+
+def _amount(column: str, user: int, resource: str, kind: str = "DOUBLE") -> str:
+    return f"CASE WHEN {_level(user, resource)} >= 2 THEN CAST({column} AS {kind}) END"
+
+
+_AMOUNTS = (*[f"{m}_amount" for m in PAYMENT_METHODS], "amount")
+
 _JOINED_ORDERS = """FROM fact_orders o LEFT JOIN dim_customers c ON o.customer_id = c.customer_id
     LEFT JOIN stores s ON o.store_id = s.store_id LEFT JOIN dim_date d ON o.order_date = d.date_day"""
 _JOINED_ITEMS = """FROM fact_order_items i LEFT JOIN fact_orders o ON i.order_id = o.order_id
@@ -200,9 +232,14 @@ _STAR = ("fact_orders", "dim_customers", "stores", "dim_date")
 ORACLES = {
     # Ingestion
     "raw_event_scan": _sql(
-        "SELECT ce_id, ce_type, us AS ce_time, value FROM ev WHERE event_type = 'error'", "ev"
+        "SELECT ce_id, ce_type, us AS ce_time, value FROM ev WHERE ce_type <> 'ecommerce_clicks'", "ev"
+    ),
+    "raw_load_once": _sql(
+        "SELECT ce_id, CAST(1 AS BIGINT) AS times_loaded FROM ev WHERE ce_type <> 'ecommerce_clicks'", "ev"
     ),
-    "raw_load_once": _sql("SELECT ce_id, CAST(1 AS BIGINT) AS times_loaded FROM ev WHERE event_type = 'error'", "ev"),
+    # By the event's number: junk, a second value, the event twice, broken text.
+    "bad_lines_report": """SELECT COUNT(*) FILTER (WHERE event_id % 4 = 2) * 2 AS n_events,
+        COUNT(*) FILTER (WHERE event_id % 4 <> 2) AS n_bad_lines FROM events""",
     "event_validate_valid": _sql(
         f"SELECT event_id, ce_id, ce_type, ce_source, us AS ce_time FROM ev WHERE {_VALID}", "ev"
     ),
@@ -264,7 +301,16 @@ ORACLES = {
     "materialize_stream": _sql(_CLICKS_ALL, "clicks"),
     "clicks_projection_stream": _sql(_CLICKS_ALL, "clicks"),
     "clicks_dedup_stream": _sql("SELECT * FROM clicks_latest", "clicks_latest"),
-    "clicks_first_stream": _sql("SELECT DISTINCT click_id FROM clicks", "clicks"),
+    "clicks_first_stream": _sql(
+        """SELECT click_id, MIN(CASE WHEN day(make_timestamp(ce_time)) <= 10 THEN 1
+          WHEN day(make_timestamp(ce_time)) <= 20 THEN 2 ELSE 3 END)::BIGINT AS slice
+        FROM clicks GROUP BY click_id""",
+        "clicks",
+    ),
+    "clicks_missed_by_watermark": _sql(
+        "SELECT DISTINCT click_id, CAST(1 AS BIGINT) AS times FROM clicks", "clicks"
+    ),
+    "build_clicks": _sql(_CLICKS_ALL, "clicks"),
     "dim_products": _sql(
         "SELECT product_id, name, category, CAST(price AS DOUBLE) AS price FROM products", "products"
     ),
@@ -297,7 +343,15 @@ ORACLES = {
         ),
     ),
     "stage_stream": _stage("payments"),
-    **{f"stage_{name}": _stage(name) for name in ENTITIES},
+    # Versions 1 to 3 are the three slices; those of the last come after newer ones.
+    "late_rows_report": _sql(
+        """SELECT * FROM (VALUES (CAST(1 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT)), (2, 0, 0))
+          AS v(version, late_rows, untimed_rows)
+        UNION ALL SELECT 3, COUNT(*), 0 FROM versions_payments
+        WHERE year(make_timestamp(ce_time)) BETWEEN 1998 AND 1999""",
+        "versions_payments",
+    ),
+    **{f"stage_{name}": _stage(name) for name in ENTITY_COLUMNS},
     # Marts
     "customer_orders": _sql("SELECT * FROM customer_orders", "customer_orders"),
     "materialize_view": _sql("SELECT * FROM customer_orders", "customer_orders"),
@@ -319,6 +373,15 @@ ORACLES = {
     "fact_order_items": _sql(_ITEMS, "fact_order_items"),
     "fact_order_items_salted": _sql(_ITEMS, "fact_order_items"),
     "dim_date": _sql("SELECT * FROM dim_date", "dim_date"),
+    "dim_date_generated": _sql(
+        """SELECT day AS date_day, year(day) AS year, quarter(day) AS quarter, month(day) AS month,
+          left(monthname(day), 3) AS month_name, weekofyear(day) AS week_of_year, day(day) AS day_of_month,
+          dayofweek(day) AS day_of_week, left(dayname(day), 3) AS day_name,
+          dayofweek(day) IN (0, 6) AS is_weekend, n_rows FROM counted""",
+        "shop_orders",
+        counted="""SELECT day, COUNT(*) AS n_rows FROM (SELECT order_date AS day FROM shop_orders
+          UNION ALL SELECT CAST(ts AS DATE) FROM events) GROUP BY day""",
+    ),
     "build_fact_orders": _sql(
         f"""SELECT {_ORDER_COLUMNS}, {_METHOD_AMOUNTS}, CAST(total_amount AS DOUBLE) AS amount
         FROM shop_orders LEFT JOIN paid USING (order_id)""",
@@ -328,51 +391,71 @@ ORACLES = {
         paid=f"SELECT order_id, {_BY_METHOD}, SUM(amount) AS total_amount FROM staged GROUP BY order_id",
     ),
     # Row and column security
-    "row_access_wildcard": _sql(
-        """SELECT * FROM shop_orders WHERE EXISTS (SELECT 1 FROM entitlements
-        WHERE user_id = 2 AND resource = 'order' AND access_level > 0 AND object_id = '*')""",
-        "shop_orders",
-        "entitlements",
-    ),
     **{
         f"row_access_{name}": _sql(
-            f"""SELECT * FROM shop_orders WHERE CAST(order_id AS VARCHAR) IN (SELECT object_id FROM entitlements
-            WHERE user_id = {user} AND resource = 'order' AND access_level > 0)""",
+            f"SELECT * FROM shop_orders WHERE {_visible(user, 'order', 'order_id')}",
             "shop_orders",
             "entitlements",
         )
-        for name, user in (("scoped", 101), ("denied", 103))
+        for name, user in (("wildcard", 2), ("scoped", 101), ("denied", 103))
     },
+    "row_access_many": _sql(
+        f"SELECT * FROM shop_orders WHERE {_visible(7, 'order', 'order_id', 'many')}",
+        "shop_orders",
+        many="""SELECT 7 AS user_id, 'order' AS resource, o_custkey % 3 AS access_level,
+          CAST(o_orderkey AS VARCHAR) AS object_id FROM orders WHERE o_orderkey % 2 = 0""",
+    ),
     "mask_pii": _sql(
-        "SELECT customer_id, first_name AS name_for_3, '***' AS name_for_2 FROM customers", "customers"
+        f"""SELECT customer_id, {_text("first_name", 3, "customer")} AS name_for_3,
+        {_text("first_name", 2, "customer")} AS name_for_2 FROM customers""",
+        "customers",
+        "entitlements",
     ),
     "mask_financial": _sql(
-        """SELECT payment_id, CAST(amount AS DOUBLE) AS amount_for_1, CAST(NULL AS DOUBLE) AS amount_for_5
-        FROM payments""",
+        f"""SELECT payment_id, {_amount("amount", 1, "payment")} AS amount_for_1,
+        {_amount("amount", 5, "payment")} AS amount_for_5 FROM payments""",
         "payments",
+        "entitlements",
     ),
     "apply_masks": _sql(
-        """SELECT customer_id, first_name, '***' AS last_name, first_order, most_recent_order,
-        number_of_orders, CAST(NULL AS DOUBLE) AS customer_lifetime_value FROM dim_customers""",
+        f"""SELECT customer_id, {_text("first_name", 3, "customer")} AS first_name,
+        {_text("last_name", 3, "store")} AS last_name, first_order, most_recent_order,
+        {_amount("number_of_orders", 3, "order", "BIGINT")} AS number_of_orders,
+        {_amount("customer_lifetime_value", 3, "customer")} AS customer_lifetime_value FROM dim_customers""",
         "dim_customers",
+        "entitlements",
     ),
     "sv_dim_customers": _sql(
-        "SELECT * REPLACE (CAST(NULL AS DOUBLE) AS customer_lifetime_value) FROM dim_customers",
+        f"""SELECT * REPLACE ({_text("first_name", 3, "customer")} AS first_name,
+        {_text("last_name", 3, "customer")} AS last_name,
+        {_amount("customer_lifetime_value", 3, "customer")} AS customer_lifetime_value)
+        FROM dim_customers WHERE {_visible(3, "customer", "customer_id")}""",
         "dim_customers",
+        "entitlements",
     ),
-    # User 101 has level 1: the rows of their own orders, without amounts.
     "sv_fact_orders": _sql(
-        f"""SELECT {_ORDER_COLUMNS}, {", ".join(f"CAST(NULL AS DOUBLE) AS {m}_amount" for m in PAYMENT_METHODS)},
-        CAST(NULL AS DOUBLE) AS amount FROM fact_orders WHERE CAST(order_id AS VARCHAR) IN (
-        SELECT object_id FROM entitlements WHERE user_id = 101 AND resource = 'order' AND access_level > 0)""",
+        f"""SELECT {_ORDER_COLUMNS}, {", ".join(f"{_amount(c, 101, 'order')} AS {c}" for c in _AMOUNTS)}
+        FROM fact_orders WHERE {_visible(101, "order", "order_id")}""",
         "fact_orders",
         "entitlements",
     ),
-    "sv_fact_order_items": _sql(_ITEMS, "fact_order_items"),
+    "sv_fact_order_items": _sql(
+        f"""SELECT order_item_id, order_id, product_id, quantity,
+        {_amount("unit_price", 4, "order_item")} AS unit_price,
+        {_amount("line_total", 4, "order_item")} AS line_total
+        FROM fact_order_items WHERE {_visible(4, "order_item", "order_item_id")}""",
+        "fact_order_items",
+        "entitlements",
+    ),
     "sv_dim_products": _sql(
-        "SELECT product_id, name, category, CAST(price AS DOUBLE) AS price FROM products", "products"
+        f"""SELECT product_id, name, category, {_amount("price", 4, "product")} AS price
+        FROM products WHERE {_visible(4, "product", "product_id")}""",
+        "products",
+        "entitlements",
+    ),
+    "sv_dim_stores": _sql(
+        f"SELECT * FROM stores WHERE {_visible(4, 'store', 'store_id')}", "stores", "entitlements"
     ),
-    "sv_dim_stores": _sql("SELECT * FROM stores WHERE store_id = 5", "stores"),
     "sv_dim_date": _sql("SELECT * FROM dim_date", "dim_date"),
     "role_mask": _sql(
         """SELECT customer_id, first_name, last_name, number_of_orders, 'ANALYST' AS role FROM dim_customers
@@ -392,9 +475,12 @@ ORACLES = {
         "principals",
     ),
     "clearance_mask": _sql(
-        """SELECT 'DATA_STEWARD' AS principal, customer_id, full_name, email, region FROM customers_demo
-        UNION ALL SELECT 'EX_STEWARD', customer_id, '***MASKED***', '***MASKED***', region FROM customers_demo""",
+        """SELECT p.principal, c.customer_id, CASE WHEN p.cleared THEN c.full_name ELSE '***MASKED***' END AS full_name,
+        CASE WHEN p.cleared THEN c.email ELSE '***MASKED***' END AS email, c.region
+        FROM customers_demo c, (SELECT principal, bool_or(is_active AND pii_clearance) AS cleared FROM principals
+          WHERE principal IN ('DATA_STEWARD', 'EX_STEWARD') GROUP BY principal) p""",
         "customers_demo",
+        "principals",
     ),
     "active_entitlements": _sql("SELECT * FROM entitlements WHERE access_level > 0", "entitlements"),
     "entitlement_checks": _sql(
@@ -410,10 +496,16 @@ ORACLES = {
         SELECT o.status, d.year, MIN(o.order_date) AS first_date, COUNT(*) AS n_orders,
           CAST(SUM(o.amount) AS DOUBLE) AS revenue
         FROM fact_orders o JOIN dim_date d ON o.order_date = d.date_day GROUP BY o.status, d.year)
-        ORDER BY revenue DESC, status, year LIMIT 500""",
+        ORDER BY revenue DESC, status, year""",
         "fact_orders",
         "dim_date",
     ),
+    "query_as_user_all_rows": _sql(
+        f"""SELECT order_id, status, {_amount("amount", 3, "order")} AS amount
+        FROM fact_orders WHERE {_visible(3, "order", "order_id")}""",
+        "fact_orders",
+        "entitlements",
+    ),
     # Semantic model
     "sem_totals": _sql(
         """SELECT (SELECT CAST(SUM(amount) AS DOUBLE) FROM fact_orders) AS total_revenue,
@@ -502,6 +594,11 @@ ORACLES = {
     ),
     "dq_accepted_values": f"""SELECT event_type AS value_field, COUNT(*) AS n_records FROM events
         WHERE event_type NOT IN {CLICK_ACTIONS} GROUP BY ALL""",
+    "dq_clicks": """SELECT test, column_name, failures FROM (
+        SELECT 'accepted_values' AS test, 'page_type' AS column_name, COUNT(*) AS failures FROM events
+        WHERE event_type IN ('view', 'click', 'purchase') AND event_id % 7 = 0
+        UNION ALL SELECT 'not_null', 'customer_id', COUNT(*) FROM events
+        WHERE event_type IN ('view', 'click', 'purchase') AND event_id % 11 = 0) WHERE failures > 0""",
     "dq_all_tests": """SELECT test, column_name, failures FROM (
         SELECT 'unique' AS test, 'payment_id' AS column_name, COUNT(*) AS failures FROM (
           SELECT 1 FROM lineitem GROUP BY l_orderkey * 8 + l_linenumber HAVING COUNT(*) > 1)
@@ -512,7 +609,7 @@ ORACLES = {
 
 _MERGED = """SELECT event_id, us AS ts, user_id, event_type, value, k FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, k
-      ORDER BY (event_type = 'click') DESC, ts DESC NULLS FIRST, event_id DESC) AS rn
-    FROM ev WHERE event_type IN ('view', 'click')) WHERE rn = 1"""
+      ORDER BY list_position(['view', 'signup', 'error', 'click', 'purchase'], event_type) DESC,
+        ts DESC NULLS FIRST, event_id DESC) AS rn FROM ev) WHERE rn = 1"""
 ORACLES["merge_upsert"] = _sql(_MERGED, "ev")
 ORACLES["merge_upsert_table"] = _sql(_MERGED, "ev")

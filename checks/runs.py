@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DecimalType, IntegerType, TimestampType
 
 from checks.bindings import PREFIX, Inputs
@@ -15,7 +17,13 @@ from silverbrook.functions.masks import mask_financial, mask_pii, tag_columns
 from silverbrook.operators import quality, security
 from silverbrook.operators.dedup import latest_per_key
 from silverbrook.operators.incremental import lookback_filter, merge_upsert
-from silverbrook.operators.routing import route_events, validate_events
+from silverbrook.operators.routing import (
+    QUARANTINE,
+    TARGET,
+    judge_events,
+    route_events,
+    validate_events,
+)
 from silverbrook.plans import marts, staging
 from silverbrook.plans.as_user import query_as_user
 from silverbrook.plans.build import build
@@ -25,7 +33,13 @@ from silverbrook.plans.semantic import SHOP_MODEL, semantic_query
 from silverbrook.schema import CLICK_COLUMNS, CLICK_EVENT_TYPE, ENTITIES, Column
 from silverbrook.session import shared_dir
 from silverbrook.sources.event_store import write_event_store, write_quarantine
-from silverbrook.sources.raw_events import RAW_SCHEMA, load_raw_incremental, read_raw_events
+from silverbrook.sources.raw_events import (
+    RAW_SCHEMA,
+    good_events,
+    load_raw_incremental,
+    load_report,
+    read_raw_events,
+)
 from silverbrook.sources.tables import VersionedTable
 from silverbrook.streaming import staging as streams
 from silverbrook.streaming.landing import start_ingest, stream_event_store, stream_landing
@@ -33,6 +47,8 @@ from silverbrook.streaming.landing import start_ingest, stream_event_store, stre
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 BUCKETS = 8
+# The entities that events are stored under.
+STORED = ("error", "signup")
 
 
 def query(run: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
@@ -68,7 +84,8 @@ def raw_event_scan(inp: Inputs) -> DataFrame:
     root = shared_dir(inp.spark, "store")
     _, stored = route_events(inp.raw_events())
     write_event_store(stored, root)
-    raw = read_raw_events(inp.spark, root, f"{PREFIX}.error")
+    scans = [read_raw_events(inp.spark, root, f"{PREFIX}.{name}") for name in STORED]
+    raw = reduce(DataFrame.unionByName, scans)
     return raw.select("ce_id", "ce_type", "ce_time", _data("value", "double").alias("value"))
 
 
@@ -78,22 +95,39 @@ def raw_load_once(inp: Inputs) -> DataFrame:
     base = shared_dir(inp.spark, "load")
     _, stored = route_events(inp.raw_events())
     stored.write.parquet(f"{base}/events")
-    errors = inp.spark.read.parquet(f"{base}/events").filter(
-        F.col("ce_type") == f"{PREFIX}.error.upsert"
-    )
+    events = inp.spark.read.parquet(f"{base}/events")
     days = F.dayofmonth("ce_time")
 
     def load() -> None:
-        load_raw_incremental(
-            inp.spark, f"{base}/store", f"{PREFIX}.error", f"{base}/raw", f"{base}/ckpt"
-        ).awaitTermination()
+        for name in STORED:
+            load_raw_incremental(
+                inp.spark, f"{base}/store", f"{PREFIX}.{name}", f"{base}/raw-{name}", f"{base}/ckpt-{name}"
+            ).awaitTermination()
 
-    write_event_store(errors.filter(days <= 15), f"{base}/store")
+    write_event_store(events.filter(days <= 15), f"{base}/store")
     load()
     load()
-    write_event_store(errors.filter(days > 15), f"{base}/store")
+    write_event_store(events.filter(days > 15), f"{base}/store")
     load()
-    return inp.spark.read.parquet(f"{base}/raw").groupBy("ce_id").agg(F.count("*").alias("times_loaded"))
+    loaded = [good_events(inp.spark.read.parquet(f"{base}/raw-{name}")) for name in STORED]
+    return reduce(DataFrame.unionByName, loaded).groupBy("ce_id").agg(F.count("*").alias("times_loaded"))
+
+
+@query
+def bad_lines_report(inp: Inputs) -> DataFrame:
+    """Every stored line with a fault by its number: junk after the value, a second value, broken text."""
+    base = shared_dir(inp.spark, "lines")
+    text, fault = F.col("value"), F.col("event_id") % 4
+    line = (
+        F.when(fault == 0, F.concat(text, F.lit(" junk")))
+        .when(fault == 1, F.concat(text, F.lit("[1]")))
+        .when(fault == 2, F.concat(text, F.lit(" "), text))
+        .otherwise(F.substring(text, 1, 40))
+    )
+    inp.event_texts().select(line.alias("value")).write.text(f"{base}/store/entity=all")
+    load_raw_incremental(inp.spark, f"{base}/store", "all", f"{base}/raw", f"{base}/ckpt").awaitTermination()
+    report = load_report(inp.spark.read.parquet(f"{base}/raw"))
+    return report.agg(F.sum("n_events").alias("n_events"), F.sum("n_bad_lines").alias("n_bad_lines"))
 
 
 def _data(name: str, data_type: str):
@@ -116,11 +150,8 @@ def event_validate_rejects(inp: Inputs) -> DataFrame:
 
 @query
 def event_route(inp: Inputs) -> DataFrame:
-    valid, _ = validate_events(inp.faulty_texts())
-    landing, stored = route_events(valid)
-    return landing.select("event_id", F.lit("landing").alias("target")).unionByName(
-        stored.select("event_id", F.lit("store").alias("target"))
-    )
+    judged = judge_events(inp.faulty_texts())
+    return judged.filter(F.col(TARGET) != QUARANTINE).select("event_id", TARGET)
 
 
 @query
@@ -255,24 +286,27 @@ def clicks_dedup(inp: Inputs) -> DataFrame:
     return staging.clicks_dedup(staging.clicks_projection(inp.raw_events())).drop("ingested_at")
 
 
-def _landing_stream(inp: Inputs, base: str) -> DataFrame:
-    """The landing table written in time order, as a stream of several micro-batches."""
+def _as_landing_arrives(
+    inp: Inputs, base: str, run: Callable[[DataFrame], StreamingQuery]
+) -> list[StreamingQuery]:
+    """Let the landing table grow slice of time by slice of time, and the stream catch up after each."""
     inp.landing().select(CONTENT, "ingested_at", "ce_time").write.parquet(f"{base}/all")
     landed = inp.spark.read.parquet(f"{base}/all")
+    schema, runs = landed.drop("ce_time").schema, []
     for first, last in ((1, 10), (11, 20), (21, 31)):
         part = landed.filter(F.dayofmonth("ce_time").between(first, last)).drop("ce_time")
-        part.coalesce(1).write.mode("append").parquet(f"{base}/landing")
-    schema = landed.drop("ce_time").schema
-    return (
-        inp.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landing")
-    )
+        part.write.mode("append").parquet(f"{base}/landing")
+        runs.append(run(inp.spark.readStream.schema(schema).parquet(f"{base}/landing")))
+        runs[-1].awaitTermination()
+    return runs
 
 
 @query
 def run_clicks_projection_stream(inp: Inputs) -> DataFrame:
     base = shared_dir(inp.spark, "clicks")
-    landed = _landing_stream(inp, base)
-    streams.stream_clicks(landed, f"{base}/clicks", f"{base}/ckpt", interval=None).awaitTermination()
+    _as_landing_arrives(
+        inp, base, lambda landed: streams.stream_clicks(landed, f"{base}/clicks", f"{base}/ckpt", interval=None)
+    )
     return inp.spark.read.parquet(f"{base}/clicks").drop("ingested_at")
 
 
@@ -280,20 +314,38 @@ def run_clicks_projection_stream(inp: Inputs) -> DataFrame:
 def run_clicks_dedup_stream(inp: Inputs) -> DataFrame:
     base = shared_dir(inp.spark, "clicks")
     table = VersionedTable(inp.spark, f"{base}/clicks", ["click_id"], BUCKETS)
-    landed = _landing_stream(inp, base)
-    streams.stream_clicks_latest(landed, table, f"{base}/ckpt", interval=None).awaitTermination()
+    _as_landing_arrives(
+        inp, base, lambda landed: streams.stream_clicks_latest(landed, table, f"{base}/ckpt", interval=None)
+    )
     return table.read().drop("ingested_at")
 
 
+def _first_clicks(inp: Inputs, base: str, watermark: str) -> tuple[DataFrame, list[StreamingQuery]]:
+    def run(landed: DataFrame) -> StreamingQuery:
+        first = streams.first_click_seen(landed, watermark)
+        return streams.start_append(first, f"{base}/clicks", f"{base}/ckpt", interval=None)
+
+    runs = _as_landing_arrives(inp, base, run)
+    return inp.spark.read.parquet(f"{base}/clicks"), runs
+
+
 @query
 def run_clicks_first_stream(inp: Inputs) -> DataFrame:
-    """Which clicks are kept; within the watermark one arrival of each is."""
+    """Clicks kept and the slice of time each is kept from: that of its first arrival."""
+    kept, _ = _first_clicks(inp, shared_dir(inp.spark, "clicks"), "40 days")
+    day = F.dayofmonth("ce_time")
+    return kept.select("click_id", F.when(day <= 10, 1).when(day <= 20, 2).otherwise(3).alias("slice"))
+
+
+@query
+def clicks_missed_by_watermark(inp: Inputs) -> DataFrame:
+    """With a watermark of 15 seconds: every click is either kept or in the side table, none in both."""
     base = shared_dir(inp.spark, "clicks")
-    first = streams.first_click_seen(_landing_stream(inp, base), watermark="40 days")
-    streams.start_append(
-        first, f"{base}/clicks", f"{base}/ckpt", interval=None
-    ).awaitTermination()
-    return inp.spark.read.parquet(f"{base}/clicks").select("click_id")
+    kept, _ = _first_clicks(inp, base, "15 seconds")
+    missed = streams.missed_clicks(inp.spark.read.parquet(f"{base}/landing"), kept)
+    # A click that comes again long after is kept again: the state has forgotten it.
+    every = kept.select("click_id").distinct().unionByName(missed.select("click_id"))
+    return every.groupBy("click_id").agg(F.count("*").alias("times"))
 
 
 @query
@@ -330,6 +382,10 @@ def run_lookback_filter(inp: Inputs) -> DataFrame:
     return lookback_filter(events, target, "ts", seconds=86400).select("event_id", "ts")
 
 
+# Event types in the order they are merged: a later one replaces an earlier one.
+MERGE_ORDER = ("view", "signup", "error", "click", "purchase")
+
+
 def _per_click(inp: Inputs, event_type: str) -> DataFrame:
     events = inp.events().filter(F.col("event_type") == event_type)
     return latest_per_key(events, ["user_id", "k"], "ts", tie_break=["event_id"])
@@ -337,16 +393,22 @@ def _per_click(inp: Inputs, event_type: str) -> DataFrame:
 
 @query
 def run_merge_upsert(inp: Inputs) -> DataFrame:
-    return merge_upsert(_per_click(inp, "view"), _per_click(inp, "click"), ["user_id", "k"])
+    batches = [_per_click(inp, event_type) for event_type in MERGE_ORDER]
+    return reduce(lambda target, batch: merge_upsert(target, batch, ["user_id", "k"]), batches)
 
 
 @query
 def merge_upsert_table(inp: Inputs) -> DataFrame:
-    """The same merge on a stored table; merging twice changes nothing."""
-    table = VersionedTable(inp.spark, shared_dir(inp.spark, "merge"), ["user_id", "k"], BUCKETS)
-    table.replace(_per_click(inp, "view"))
-    for _ in range(2):
-        materialize(_per_click(inp, "click"), "clicks", "incremental", table)
+    """The same merges on a stored table: twice each, which changes nothing, and with other buckets in between."""
+    path, keys = shared_dir(inp.spark, "merge"), ["user_id", "k"]
+    table = VersionedTable(inp.spark, path, keys, BUCKETS)
+    table.replace(_per_click(inp, MERGE_ORDER[0]))
+    for event_type in MERGE_ORDER[1:]:
+        for _ in range(2):
+            materialize(_per_click(inp, event_type), "clicks", "incremental", table)
+        if event_type == "error":
+            table.rebucket(BUCKETS // 2)
+            table = VersionedTable(inp.spark, path, keys)
     return table.read()
 
 
@@ -370,7 +432,7 @@ def stage_incremental(inp: Inputs) -> DataFrame:
     """A first load of older events, then an incremental one over all of them, twice."""
     spec = ENTITIES["payments"]
     base = shared_dir(inp.spark, "staging")
-    table = VersionedTable(inp.spark, f"{base}/payments", spec.keys, BUCKETS)
+    table = VersionedTable(inp.spark, f"{base}/payments", spec.keys, BUCKETS, spec.time_column)
     inp.entity_raw("payments", "payment").write.parquet(f"{base}/raw")
     raw = inp.spark.read.parquet(f"{base}/raw")
     staging.stage_entity(raw.filter(F.col("ce_time") < F.lit(date(1998, 7, 1))), spec, table)
@@ -378,24 +440,33 @@ def stage_incremental(inp: Inputs) -> DataFrame:
     return staging.stage_entity(raw, spec, table)
 
 
-@query
-def stage_stream(inp: Inputs) -> DataFrame:
-    """Raw events arriving in time order, merged micro-batch by micro-batch."""
+def _stage_in_slices(inp: Inputs, years: Sequence[tuple[int, int]]) -> VersionedTable:
+    """Raw payment events arriving slice by slice, merged as they do."""
     spec = ENTITIES["payments"]
     base = shared_dir(inp.spark, "staging")
     inp.entity_raw("payments", "payment").write.parquet(f"{base}/all")
     raw = inp.spark.read.parquet(f"{base}/all")
-    for first, last in ((1900, 1997), (1998, 1999), (2000, 2100)):
-        part = raw.filter(F.year("ce_time").between(first, last))
-        part.coalesce(1).write.mode("append").parquet(f"{base}/raw")
-    stream = (
-        inp.spark.readStream.schema(raw.schema)
-        .option("maxFilesPerTrigger", 1)
-        .parquet(f"{base}/raw")
-    )
-    table = VersionedTable(inp.spark, f"{base}/payments", spec.keys, BUCKETS)
-    streams.stream_entity(stream, spec, table, f"{base}/ckpt", interval=None).awaitTermination()
-    return staging.staged(table.read(), spec)
+    table = VersionedTable(inp.spark, f"{base}/payments", spec.keys, BUCKETS, spec.time_column)
+    for first, last in years:
+        raw.filter(F.year("ce_time").between(first, last)).write.mode("append").parquet(f"{base}/raw")
+        stream = inp.spark.readStream.schema(raw.schema).parquet(f"{base}/raw")
+        streams.stream_entity(stream, spec, table, f"{base}/ckpt", interval=None).awaitTermination()
+    return table
+
+
+@query
+def stage_stream(inp: Inputs) -> DataFrame:
+    """Raw events arriving in time order."""
+    table = _stage_in_slices(inp, ((1900, 1997), (1998, 1999), (2000, 2100)))
+    return staging.staged(table.read(), ENTITIES["payments"])
+
+
+@query
+def late_rows_report(inp: Inputs) -> DataFrame:
+    """Raw events of which the middle years come last: all of those are late, and counted."""
+    table = _stage_in_slices(inp, ((1900, 1997), (2000, 2100), (1998, 1999)))
+    counts = [(h["version"], h.get("late_rows", 0), h.get("untimed_rows", 0)) for h in table.history()]
+    return inp.spark.createDataFrame(counts, "version long, late_rows long, untimed_rows long")
 
 
 # Marts ------------------------------------------------------------------------
@@ -442,6 +513,17 @@ def dim_date(inp: Inputs) -> DataFrame:
     return marts.dim_date_covering(inp.orders(), "order_date")
 
 
+@query
+def dim_date_generated(inp: Inputs) -> DataFrame:
+    """The generated calendar, joined to the days of the given orders and events."""
+    days = inp.orders().select(F.col("order_date").alias("day")).unionByName(
+        inp.events().select(F.col("ts").cast("date").alias("day"))
+    )
+    counted = days.groupBy("day").agg(F.count("*").alias("n_rows"))
+    calendar = marts.dim_date(inp.spark, date(1995, 1, 1), 11000)
+    return calendar.join(counted, F.col("date_day") == F.col("day")).drop("day")
+
+
 @query
 def materialize_table(inp: Inputs) -> DataFrame:
     table = VersionedTable(inp.spark, shared_dir(inp.spark, "mart"))
@@ -474,7 +556,25 @@ def _built(inp: Inputs):
         texts = inp.entity_texts(inp.clean_versions(name), spec.event_entity)
         valid, _ = validate_events(texts)
         write_event_store(valid, f"{base}/events")
-    return build(inp.spark, f"{base}/events", f"{base}/warehouse", event_prefix=PREFIX, buckets=BUCKETS)
+    inp.landing().select(CONTENT, F.lit(None).cast("variant").alias("record_metadata"), "ingested_at").write.parquet(
+        f"{base}/landing"
+    )
+
+    def run(events: str, **more):
+        return build(
+            inp.spark,
+            f"{base}/{events}",
+            f"{base}/warehouse",
+            event_prefix=PREFIX,
+            buckets=BUCKETS,
+            landing=f"{base}/landing",
+            **more,
+        )
+
+    run("events")
+    # The event store is gone: nothing is added, and nothing is lost.
+    run("gone")
+    return run("gone", mode="full")
 
 
 @query
@@ -482,6 +582,11 @@ def build_fact_orders(inp: Inputs) -> DataFrame:
     return _built(inp).marts["fact_orders"]
 
 
+@query
+def build_clicks(inp: Inputs) -> DataFrame:
+    return _built(inp).clicks.drop("ingested_at")
+
+
 # Row and column security --------------------------------------------------------
 
 
@@ -500,6 +605,12 @@ def row_access_denied(inp: Inputs) -> DataFrame:
     return security.row_access(inp.orders(), inp.entitlements(), 103, "order", "order_id")
 
 
+@query
+def row_access_many(inp: Inputs) -> DataFrame:
+    """A user with a grant on every other order: too many for a list of ids."""
+    return security.row_access(inp.orders(), inp.many_grants(), 7, "order", "order_id")
+
+
 def _level(inp: Inputs, user_id: int, resource: str) -> int:
     return security.resolve_access(inp.entitlements(), user_id).get(resource, security.Access()).level
 
@@ -624,6 +735,17 @@ def run_query_as_user(inp: Inputs) -> DataFrame:
     return query_as_user(inp.spark, sql, "3", load)
 
 
+@query
+def query_as_user_all_rows(inp: Inputs) -> DataFrame:
+    """A question with as many rows as there are orders: none is cut."""
+
+    def load(session: SparkSession):
+        own = Inputs(session, inp.sf_dir)
+        return own.marts("fact_orders"), own.entitlements()
+
+    return query_as_user(inp.spark, "SELECT order_id, status, amount FROM sv_fact_orders", 3, load)
+
+
 # Semantic model -------------------------------------------------------------------
 
 
@@ -721,6 +843,20 @@ def dq_accepted_values(inp: Inputs) -> DataFrame:
     return quality.check_accepted(inp.events(), "event_type", actions)
 
 
+@query
+def dq_clicks(inp: Inputs) -> DataFrame:
+    """The declared tests of the click table, on clicks with faults by their event's number."""
+    clicks = staging.clicks_projection(inp.raw_events())
+    number = F.col("ce_id").cast("bigint")
+    faulty = clicks.withColumns(
+        {
+            "page_type": F.when(number % 7 == 0, "nowhere").otherwise(F.col("page_type")),
+            "customer_id": F.when(number % 11 != 0, F.col("customer_id")),
+        }
+    )
+    return quality.run_column_tests(faulty, CLICK_COLUMNS)
+
+
 @query
 def dq_all_tests(inp: Inputs) -> DataFrame:
     spec = ENTITIES["payments"]

@@ -10,19 +10,18 @@ from pyspark.sql import functions as F
 LOOKBACK_SECONDS = 15
 
 
+def look_back_from(newest: Column, seconds: int = LOOKBACK_SECONDS) -> Column:
+    """The oldest time that is still taken, given the newest known one; the epoch when there is none."""
+    return F.coalesce(newest - F.make_dt_interval(secs=F.lit(seconds)), F.timestamp_seconds(F.lit(0)))
+
+
 def _lower_bound(target: DataFrame, time_col: str, seconds: int) -> Column:
     """Target maximum less the look-back, as an uncorrelated scalar subquery.
 
     The default for an empty target sits inside the subquery, so the filter
     has the shape ``time >= subquery`` that Spark hands to the Parquet reader.
     """
-    bound = target.agg(
-        F.coalesce(
-            F.max(time_col) - F.make_dt_interval(secs=F.lit(seconds)),
-            F.timestamp_seconds(F.lit(0)),
-        ).alias("bound")
-    )
-    return bound.scalar()
+    return target.agg(look_back_from(F.max(time_col), seconds).alias("bound")).scalar()
 
 
 def lookback_filter(

@@ -7,21 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than one in HOT_SHARE of the rows, so there
-# are fewer than HOT_SHARE hot keys whatever the data: the list of them is
-# small enough to broadcast by construction.
-HOT_SHARE = 1000
-SALTS = 64
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's size estimate lies within the session's broadcast limit."""
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-        limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    except AttributeError:  # a remote session shows no plan sizes
-        return False
-    return int(str(plan.stats().sizeInBytes())) <= limit
+#: Tasks a hot key is spread over when salted.
+SALTS = 8
 
 
 def left_join_one(
@@ -34,49 +21,24 @@ def left_join_one(
 ) -> DataFrame:
     """``many`` left join ``one`` on a key that is unique in ``one``.
 
-    A small ``one`` is left to Catalyst, which broadcasts it because its size
-    is known. Otherwise both sides are shuffled with the hot keys salted, so
-    that no task gets all rows of such a key. ``spread_by`` names columns that
-    tell the rows of ``many`` apart; salts are hashes of them, so a task that
-    is run again computes the same ones.
+    Adaptive execution broadcasts ``one`` when it measured it as small, and
+    otherwise splits a partition of ``many`` that came out too large, be it by
+    a hot key or by rows without one; ``one`` has a row per key, so nothing
+    can go wrong on its side.
+
+    ``salted`` spreads every key over ``SALTS`` tasks from the start, for
+    sessions without adaptive execution, at the price of as many copies of
+    ``one``; no pass counts rows first. ``spread_by`` names columns that tell
+    the rows of ``many`` apart; salts are hashes of them, so a task that is run
+    again computes the same ones.
 
     The result has the columns of ``many`` and those of ``one`` but its key.
     """
     right = one.withColumnRenamed(one_key, "_one_key")
-    if salted is None:
-        salted = not fits_broadcast(one)
+    on = F.col(many_key) == F.col("_one_key")
     if not salted:
-        joined = many.join(right, F.col(many_key) == F.col("_one_key"), "left")
-        return joined.drop("_one_key")
-
-    counts = (
-        many.filter(F.col(many_key).isNotNull())
-        .groupBy(F.col(many_key).alias("_hot_key"))
-        .agg(F.count("*").alias("_rows"))
-    )
-    total = counts.agg(F.sum("_rows")).scalar()
-    hot = F.broadcast(
-        counts.filter(F.col("_rows") * HOT_SHARE > total).select("_hot_key")
-    )
-
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
-    # Rows without a key match nothing; they are spread like a hot key.
-    left = (
-        many.join(hot, F.col(many_key) == F.col("_hot_key"), "left")
-        .withColumn(
-            "_salt",
-            F.when(F.col("_hot_key").isNotNull() | F.col(many_key).isNull(), spread).otherwise(0),
-        )
-        .drop("_hot_key")
-    )
-    every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    copies = (
-        right.join(hot, F.col("_one_key") == F.col("_hot_key"), "left")
-        .withColumn(
-            "_one_salt",
-            F.explode(F.when(F.col("_hot_key").isNotNull(), every_salt).otherwise(F.array(F.lit(0)))),
-        )
-        .drop("_hot_key")
-    )
-    on = (F.col(many_key) == F.col("_one_key")) & (F.col("_salt") == F.col("_one_salt"))
-    return left.join(copies, on, "left").drop("_one_key", "_salt", "_one_salt")
+        return many.join(right, on, "left").drop("_one_key")
+    left = many.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int"))
+    copies = right.withColumn("_one_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = left.join(copies, on & (F.col("_salt") == F.col("_one_salt")), "left")
+    return joined.drop("_one_key", "_salt", "_one_salt")

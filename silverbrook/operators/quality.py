@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverbrook.schema import EntitySpec
+from silverbrook.schema import Column, EntitySpec
 
 
 def check_unique(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -38,28 +38,30 @@ def check_accepted(df: DataFrame, col: str, values: Iterable[object]) -> DataFra
 
 
 def run_tests(df: DataFrame, spec: EntitySpec) -> DataFrame:
-    """All declared tests of a table, one row per failed test.
+    """All declared tests of a table, one row per failed test."""
+    return run_column_tests(df, spec.columns, spec.keys)
+
+
+def run_column_tests(
+    df: DataFrame, columns: Iterable[Column], keys: Sequence[str] = ()
+) -> DataFrame:
+    """The declared tests of columns and the uniqueness of keys, one row per failed test.
 
     Not-null and accepted-values tests share one pass over the table; only
     uniqueness needs a shuffle.
     """
+    columns = list(columns)
     counters = [
-        F.count_if(F.col(c.name).isNull()).alias(f"not_null:{c.name}")
-        for c in spec.columns
-        if c.not_null
+        F.count_if(F.col(c.name).isNull()).alias(f"not_null:{c.name}") for c in columns if c.not_null
     ] + [
         F.count_if(~F.col(c.name).isin(*c.accepted)).alias(f"accepted_values:{c.name}")
-        for c in spec.columns
+        for c in columns
         if c.accepted
     ]
-    duplicates = check_unique(df, spec.keys).agg(
-        F.count("*").alias(f"unique:{','.join(spec.keys)}")
-    )
-    one_pass = df.agg(*counters)
-    parts = [
-        counted.unpivot([], counted.columns, "label", "failures")
-        for counted in (duplicates, one_pass)
-    ]
+    passes = [df.agg(*counters)] if counters else []
+    if keys:
+        passes.append(check_unique(df, keys).agg(F.count("*").alias(f"unique:{','.join(keys)}")))
+    parts = [counted.unpivot([], counted.columns, "label", "failures") for counted in passes]
     return (
         reduce(DataFrame.unionByName, parts)
         .filter("failures > 0")

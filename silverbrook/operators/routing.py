@@ -19,7 +19,10 @@ from silverbrook.functions.events import (
 from silverbrook.schema import ROUTED_TYPES
 
 ERRORS = "errors"
+TARGET = "target"
+LANDING, STORE, QUARANTINE = "landing", "store", "quarantine"
 _BODY = "_body"
+_VALID = "_valid"
 
 # Attributes an event must have, in the order errors are listed,
 # the accepted version and the messages.
@@ -68,7 +71,7 @@ def _attribute_error(name: str) -> Column:
     )
 
 
-def _one_document(body: Column) -> Column:
+def one_document(body: Column) -> Column:
     """The parsed text, NULL unless it is exactly one JSON value.
 
     Spark's parser stops after the first value and ignores what follows. Put
@@ -85,7 +88,7 @@ def _one_document(body: Column) -> Column:
 def _parse(df: DataFrame, text: str) -> DataFrame:
     """Parse every text once; an empty body counts as an empty object."""
     body = F.coalesce(F.nullif(F.col(text), F.lit("")), F.lit("{}"))
-    return with_computed(df.withColumn(_BODY, body), CONTENT, _one_document(F.col(_BODY)))
+    return with_computed(df.withColumn(_BODY, body), CONTENT, one_document(F.col(_BODY)))
 
 
 def _is_object() -> Column:
@@ -122,6 +125,32 @@ def validate_events(df: DataFrame, text: str = "value") -> tuple[DataFrame, Data
     return valid, rejected
 
 
+def judge_events(
+    df: DataFrame, routed_types: Iterable[str] = ROUTED_TYPES, text: str = "value"
+) -> DataFrame:
+    """Validate and route in one projection over one parse of each text.
+
+    Adds the parsed event and its envelope columns (NULL for rejected events),
+    ``errors`` (NULL for acceptable ones) and ``target``: ``landing``, ``store`` or
+    ``quarantine``. Write it once and every sink can read its own part.
+    """
+    judged = with_computed(_parse(df, text), _VALID, _is_valid())
+    valid = F.col(_VALID)
+    routed = valid & F.coalesce(
+        variant_field("$.type", "string", strict=False).isin(*routed_types), F.lit(False)
+    )
+    names = [c for c in df.columns if c != CONTENT]
+    envelope = judged.select(*envelope_columns(strict=False)).columns
+    own = [F.when(valid, c).alias(n) for c, n in zip(envelope_columns(strict=False), envelope, strict=True)]
+    return judged.select(
+        *names,
+        F.when(valid, F.col(CONTENT)).alias(CONTENT),
+        *own,
+        F.when(~valid, _errors()).alias(ERRORS),
+        F.when(routed, LANDING).when(valid, STORE).otherwise(QUARANTINE).alias(TARGET),
+    )
+
+
 def route_events(
     df: DataFrame, routed_types: Iterable[str] = ROUTED_TYPES, type_col: str = "ce_type"
 ) -> tuple[DataFrame, DataFrame]:

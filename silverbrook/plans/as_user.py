@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,14 @@ from pyspark.sql.types import DataType, DateType, DecimalType, TimestampNTZType,
 from silverbrook.plans.secured import secured_views
 from silverbrook.session import configure
 
-# Rows a question may return.
-MAX_ROWS = 500
+# Plans that call code by name, and leaves that hold no stored rows.
+_REFLECTIVE = ("CallMethodViaReflection", "TryReflect", "ScalaUDF", "PythonUDF")
+_HARMLESS = ("OneRowRelation", "LocalRelation", "CTERelationRef")
+
+
+class RefusedQuery(ValueError):
+    """A user's SQL reaches for something other than their views."""
+
 
 Marts = dict[str, DataFrame]
 
@@ -44,15 +51,65 @@ def _plain(name: str, data_type: DataType) -> Column:
     return column.alias(name)
 
 
+def _items(scala_seq) -> list:
+    return [scala_seq.apply(i) for i in range(scala_seq.size())]
+
+
+def _kind(node) -> str:
+    return node.getClass().getSimpleName().rstrip("$")
+
+
+def _refuse_in_expression(expression) -> None:
+    kind = _kind(expression)
+    if kind in _REFLECTIVE:
+        raise RefusedQuery(f"calls into the engine are not allowed: {expression.toString()[:80]}")
+    for child in _items(expression.children()):
+        _refuse_in_expression(child)
+
+
+def _refuse_in_plan(plan, views: set[str]) -> None:
+    """Walk an analysed plan; inside a view of the user's nothing is looked at."""
+    kind = _kind(plan)
+    if kind == "View":
+        name = plan.desc().identifier().table()
+        if name not in views or not plan.isTempView():
+            raise RefusedQuery(f"{name} is not one of the user's views")
+        return
+    for expression in _items(plan.expressions()):
+        _refuse_in_expression(expression)
+    children = _items(plan.children())
+    if not children and kind not in _HARMLESS:
+        raise RefusedQuery(f"only the user's views can be read, not {kind}")
+    if kind == "Generate" and _kind(children[0]) == "OneRowRelation":
+        raise RefusedQuery("a table function needs rows of a view")
+    for inner in [*children, *_items(plan.innerChildren())]:
+        if hasattr(inner, "children") and "LogicalPlan" not in _kind(inner):
+            _refuse_in_plan(inner, views)
+    for expression in _items(plan.expressions()):
+        for nested in _subqueries(expression):
+            _refuse_in_plan(nested, views)
+
+
+def _subqueries(expression) -> list:
+    own = [expression.plan()] if _kind(expression) in _SUBQUERIES else []
+    return own + [p for child in _items(expression.children()) for p in _subqueries(child)]
+
+
+_SUBQUERIES = ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery", "InSubquery")
+
+
 def query_as_user(
     spark: SparkSession,
     sql: str,
     user_id: object,
     load: Callable[[SparkSession], tuple[Marts, DataFrame]],
-    max_rows: int = MAX_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Run one query as a user, in a session that holds nothing but their views.
 
+    All rows are returned, unless ``max_rows`` is given: then at most that many,
+    and ``answer_as_user`` tells whether rows were cut.
+
     ``load`` builds the marts and the entitlements in the session it is given.
     The SQL stands in a subquery, so commands are refused, and it cannot name
     files; the marts themselves must not be in a catalog the session shares
@@ -60,11 +117,35 @@ def query_as_user(
     optimisation barrier, a predicate of the user's own may be evaluated
     before the row filter.
     """
+    return answer_as_user(spark, sql, user_id, load, max_rows).rows
+
+
+@dataclass(frozen=True)
+class Answer:
+    rows: DataFrame
+    #: Whether rows beyond ``max_rows`` were cut.
+    cut: bool
+
+
+def answer_as_user(
+    spark: SparkSession,
+    sql: str,
+    user_id: object,
+    load: Callable[[SparkSession], tuple[Marts, DataFrame]],
+    max_rows: int | None = None,
+) -> Answer:
+    """As ``query_as_user``, with word of rows that were cut."""
     user = check_user_id(user_id)
     session = configure(spark.newSession())
     marts, entitlements = load(session)
-    for name, view in secured_views(marts, entitlements, user).items():
+    views = secured_views(marts, entitlements, user)
+    for name, view in views.items():
         view.createOrReplaceTempView(name)
     session.conf.set("spark.sql.runSQLOnFiles", "false")
-    result = session.sql(f"SELECT * FROM (\n{sql.strip().rstrip(';')}\n)").limit(max_rows)
-    return result.select(*[_plain(f.name, f.dataType) for f in result.schema.fields])
+    result = session.sql(f"SELECT * FROM (\n{sql.strip().rstrip(';')}\n)")
+    _refuse_in_plan(result._jdf.queryExecution().analyzed(), set(views))
+    cut = False
+    if max_rows is not None:
+        cut = not result.offset(max_rows).isEmpty()
+        result = result.limit(max_rows)
+    return Answer(result.select(*[_plain(f.name, f.dataType) for f in result.schema.fields]), cut)

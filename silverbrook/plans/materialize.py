@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from silverbrook.sources.tables import VersionedTable
+from silverbrook.sources.tables import Check, VersionedTable
 from silverbrook.streaming.landing import CLICKS_INTERVAL, start_append
 
 # The way each layer's models are stored.
@@ -20,11 +20,13 @@ def materialize(
     path: str | None = None,
     checkpoint: str | None = None,
     interval: str | None = CLICKS_INTERVAL,
+    check: Check | None = None,
 ) -> DataFrame | StreamingQuery:
     """Store a model and return what readers see, or the running query of a stream.
 
     ``table`` rebuilds a table, ``incremental`` merges by its keys, ``view``
-    stores nothing, ``stream`` appends to the files below ``path``.
+    stores nothing, ``stream`` appends to the files below ``path``. ``check`` sees
+    a table's new version before readers do and may raise.
     """
     if mode == "view":
         df.createOrReplaceTempView(name)
@@ -38,7 +40,7 @@ def materialize(
     if table is None:
         raise ValueError(f"{mode} needs a table")
     if mode == "table":
-        table.replace(df)
+        table.replace(df, check=check)
     else:
-        table.merge(df)
+        table.merge(df, check=check)
     return table.read()

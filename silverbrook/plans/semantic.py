@@ -188,9 +188,7 @@ def _by_entity(
         )
         key = f"_{hop.name}"
         grain = [c for c in state.columns if c not in {f"_{m.name}" for m in additive}]
-        # Collapsed to the key alone, no key has more than one row left.
-        salted = False if grain == [key] else None
-        state = left_join_one(state, target, key, "_target_key", spread_by=grain, salted=salted)
+        state = left_join_one(state, target, key, "_target_key", spread_by=grain)
         state = filtered(state.drop(key), hop.target)
         if position + 1 < len(hops):
             state = collapse(state, False, position + 1)

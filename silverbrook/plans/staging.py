@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from silverbrook.functions.events import CONTENT, extract_typed, variant_field
 from silverbrook.operators.dedup import latest_per_key
-from silverbrook.operators.incremental import LOOKBACK_SECONDS, lookback_filter
+from silverbrook.operators.incremental import LOOKBACK_SECONDS, look_back_from
 from silverbrook.schema import CLICK_COLUMNS, CLICK_EVENT_TYPE, EntitySpec
-from silverbrook.sources.tables import VersionedTable
+from silverbrook.sources.tables import Check, VersionedTable
 
 # The event id is kept in the stored table to settle ties on time.
 EVENT_ID = "_event_id"
@@ -36,10 +36,22 @@ def staged(df: DataFrame, spec: EntitySpec) -> DataFrame:
     return df.select(*spec.column_names)
 
 
-def _with_event_time(raw: DataFrame) -> DataFrame:
+def _event_time(raw: DataFrame, strict: bool) -> Column:
+    """The event's time: the typed column where it is filled, else the event itself.
+
+    The typed column is NULL both for a missing and for an unreadable time. With
+    ``strict`` the latter raises here, as it does in a full run.
+    """
+    inside = variant_field("$.time", "timestamp", strict=strict, content=CONTENT)
+    return F.coalesce(F.col("ce_time"), inside) if "ce_time" in raw.columns else inside
+
+
+def _recent(raw: DataFrame, bound: Column, strict: bool) -> DataFrame:
+    """Events from the bound on; those without a time are left out."""
     if "ce_time" in raw.columns:
-        return raw
-    return raw.withColumn("ce_time", variant_field("$.time", "timestamp", strict=True, content=CONTENT))
+        # The typed column alone, in a form that the Parquet reader can use.
+        raw = raw.filter((F.col("ce_time") >= bound) | F.col("ce_time").isNull())
+    return raw.filter(_event_time(raw, strict) >= bound)
 
 
 def stage_entity(
@@ -50,22 +62,25 @@ def stage_entity(
     strict: bool = True,
     number_scale: int = 2,
     lookback_seconds: int = LOOKBACK_SECONDS,
+    check: Check | None = None,
 ) -> DataFrame:
     """Bring a staging table up to date with its raw events and return it.
 
     ``full`` rebuilds it from all events. ``incremental`` reads the events
     from the look-back on, keeps the newest per key and merges them; the first
-    run has no table yet and takes everything.
+    run has no table yet and takes everything. ``check`` sees the new version
+    before readers do and may raise.
     """
     if mode not in ("incremental", "full"):
         raise ValueError(f"unknown mode {mode!r}")
-    if mode == "full" or not table.exists():
-        table.replace(latest_versions(raw, spec, strict, number_scale))
+    newest = table.newest() if mode == "incremental" else None
+    if mode == "full" or (newest is None and not table.exists()):
+        table.replace(latest_versions(raw, spec, strict, number_scale), check=check)
     else:
-        recent = lookback_filter(
-            _with_event_time(raw), table.read(), "ce_time", lookback_seconds, spec.time_column
-        )
-        table.merge(latest_versions(recent, spec, strict, number_scale))
+        if newest is None:
+            newest = table.read().agg(F.max(spec.time_column)).scalar()
+        recent = _recent(raw, look_back_from(newest, lookback_seconds), strict)
+        table.merge(latest_versions(recent, spec, strict, number_scale), check=check)
     return staged(table.read(), spec)
 
 
@@ -76,18 +91,35 @@ def stage_new_events(
     strict: bool = True,
     number_scale: int = 2,
     lookback_seconds: int = LOOKBACK_SECONDS,
+    check: Check | None = None,
 ) -> None:
     """Merge newly arrived events only, as a stream hands them over.
 
     The table's own version of a key competes with the new ones by time, which
     gives what re-reading the raw events within the look-back would give.
+    Events that came too late or have no time are not staged; their numbers
+    are kept with the commit (``VersionedTable.history``).
     """
-    if table.exists():
-        events = lookback_filter(
-            _with_event_time(events), table.read(), "ce_time", lookback_seconds, spec.time_column
+    counts = None
+    newest = table.newest()
+    if newest is None and table.exists():
+        newest = table.read().agg(F.max(spec.time_column)).scalar()
+    if newest is not None:
+        bound = look_back_from(newest, lookback_seconds)
+        time = _event_time(events, strict)
+        seen = Observation()
+        events = events.observe(
+            seen,
+            F.count_if(time < bound).alias("late_rows"),
+            F.count_if(time.isNull()).alias("untimed_rows"),
         )
+        events = _recent(events, bound, strict)
+
+        def counts() -> dict[str, int]:
+            return seen.get
+
     batch = latest_versions(events, spec, strict, number_scale)
-    table.merge(batch, newest_by=spec.time_column, tie_break=[EVENT_ID])
+    table.merge(batch, newest_by=spec.time_column, tie_break=[EVENT_ID], check=check, counts=counts)
 
 
 def clicks_projection(landed: DataFrame, strict: bool = True) -> DataFrame:

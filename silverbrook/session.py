@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -24,14 +23,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the one the cluster names in ``spark.checkpoint.dir``.
+    """A new folder below the one the session names: ``spark.checkpoint.dir`` or its checkpoint folder.
 
-    Only a local session may fall back to a temporary folder: on a cluster the
-    executors could not see it.
+    There is no other choice of a folder: one that only this machine sees would
+    fail on a cluster.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -16,28 +17,63 @@ from silverbrook.operators.incremental import merge_upsert
 
 BUCKET = "table_bucket"
 VERSION = "table_version"
-_COMMIT = "bucket int, folder string, columns string"
+#: Buckets of a new table; pick a number so that one holds a few gigabytes.
+BUCKETS = 64
+_PART = "bucket int, folder string, newest bigint"
+_COMMIT = f"parts array<struct<{_PART}>>, about string"
+
+Check = Callable[[DataFrame], None]
+Counts = Mapping[str, int] | Callable[[], Mapping[str, int]]
+
+
+def _known(counts: Counts | None) -> Mapping[str, int]:
+    return counts() if callable(counts) else counts or {}
+
+
+@dataclass(frozen=True)
+class Version:
+    """One commit: the folder and newest time (microseconds) of each bucket, and how they were made."""
+
+    number: int = 0
+    folders: Mapping[int | None, str] = field(default_factory=dict)
+    newest: Mapping[int | None, int | None] = field(default_factory=dict)
+    schema: StructType | None = None
+    keys: tuple[str, ...] = ()
+    buckets: int = BUCKETS
+    time_col: str | None = None
+    counts: Mapping[str, int] = field(default_factory=dict)
 
 
 class VersionedTable:
     """Parquet table whose versions are written aside and then switched to.
 
     With ``keys`` the rows are spread over buckets by a hash of the key and a
-    merge rewrites only the buckets it touches; pick ``buckets`` so that one
-    holds a few gigabytes. A commit is one small file listing the current
-    folder of each bucket, so a run that dies before it leaves the old version
-    in place. One writer at a time; a commit number cannot be taken twice.
+    merge rewrites only the buckets it touches. Keys and the number of buckets
+    belong to the table: they are stored with it, another choice is refused,
+    and ``rebucket`` rewrites it. With ``time_col`` every commit also knows the
+    newest time of each bucket, so that nobody has to scan for it.
+
+    A commit is one small file listing the current folder of each bucket, so a
+    run that dies before it leaves the old version in place. One writer at a
+    time: two at once may both find a commit number free, and the later one
+    wins; nothing here prevents that.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, keys: Sequence[str] = (), buckets: int = 64
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: Sequence[str] = (),
+        buckets: int | None = None,
+        time_col: str | None = None,
     ) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
-        self.keys = list(keys)
+        self.keys = tuple(keys)
         self.buckets = buckets
+        self.time_col = time_col
 
-    def _commits(self) -> int | None:
+    def _last_commit(self) -> int | None:
         """The newest commit's number, from file names alone."""
         try:
             files = self.spark.read.format("binaryFile").load(f"{self.path}/commits/*/*.json")
@@ -48,21 +84,45 @@ class VersionedTable:
         number = F.regexp_extract("path", r"/commits/(\d+)/", 1).cast("bigint")
         return files.select(F.max(number)).first()[0]
 
-    def _current(self) -> tuple[int, dict[int | None, str], StructType | None]:
-        number = self._commits()
+    def version(self, number: int | None = None) -> Version | None:
+        """The newest commit, or that of a number; None while there is none."""
+        number = self._last_commit() if number is None else number
         if number is None:
-            return 0, {}, None
-        rows = self.spark.read.schema(_COMMIT).json(f"{self.path}/commits/{number}").collect()
-        folders = {r["bucket"]: r["folder"] for r in rows if r["folder"] is not None}
-        return number, folders, StructType.fromJson(json.loads(rows[0]["columns"]))
-
-    def _commit(self, number: int, folders: dict[int | None, str], schema: StructType) -> None:
-        rows = [{"bucket": b, "folder": f} for b, f in folders.items()] or [{}]
-        listed = F.from_json(F.lit(json.dumps(rows)), "array<struct<bucket: int, folder: string>>")
-        commit = self.spark.range(1).select(F.inline(listed), F.lit(schema.json()).alias("columns"))
-        commit.coalesce(1).write.mode("errorifexists").json(f"{self.path}/commits/{number}")
-
-    def _read(self, folders: dict[int | None, str], schema: StructType) -> DataFrame:
+            return None
+        row = self.spark.read.schema(_COMMIT).json(f"{self.path}/commits/{number}").first()
+        about = json.loads(row["about"])
+        found = Version(
+            number,
+            {p["bucket"]: p["folder"] for p in row["parts"]},
+            {p["bucket"]: p["newest"] for p in row["parts"]},
+            StructType.fromJson(about["schema"]),
+            tuple(about["keys"]),
+            about["buckets"],
+            about["time_col"],
+            about["counts"],
+        )
+        if found.keys != self.keys:
+            raise ValueError(f"{self.path} has the keys {found.keys}, not {self.keys}")
+        if self.keys and self.buckets not in (None, found.buckets):
+            raise ValueError(f"{self.path} has {found.buckets} buckets, not {self.buckets}; see rebucket")
+        return found
+
+    def _commit(self, version: Version) -> None:
+        parts = [
+            {"bucket": b, "folder": f, "newest": version.newest.get(b)} for b, f in version.folders.items()
+        ]
+        about = {
+            "schema": version.schema.jsonValue(),
+            "keys": version.keys,
+            "buckets": version.buckets,
+            "time_col": version.time_col,
+            "counts": dict(version.counts),
+        }
+        listed = F.from_json(F.lit(json.dumps(parts)), f"array<struct<{_PART}>>")
+        commit = self.spark.range(1).select(listed.alias("parts"), F.lit(json.dumps(about)).alias("about"))
+        commit.coalesce(1).write.mode("errorifexists").json(f"{self.path}/commits/{version.number}")
+
+    def _read(self, folders: Mapping[int | None, str], schema: StructType) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], schema)
         data = f"{self.path}/data"
@@ -74,69 +134,155 @@ class VersionedTable:
         return reader.parquet(*paths).select(*schema.names)
 
     def exists(self) -> bool:
-        return self._commits() is not None
+        return self._last_commit() is not None
 
     def read(self) -> DataFrame:
         """The committed rows."""
-        _, folders, schema = self._current()
-        if schema is None:
+        version = self.version()
+        if version is None:
             raise FileNotFoundError(f"no committed version in {self.path}")
-        return self._read(folders, schema)
+        return self._read(version.folders, version.schema)
+
+    def newest(self) -> Column | None:
+        """The newest time of the committed rows as a literal, from the commit alone."""
+        version = self.version()
+        if version is None or self.time_col is None:
+            return None
+        if version.time_col != self.time_col:
+            return F.lit(self.read().agg(F.max(self.time_col)).first()[0])
+        micros = max((m for m in version.newest.values() if m is not None), default=None)
+        return F.timestamp_micros(F.lit(micros).cast("bigint"))
 
-    def _write(self, df: DataFrame, folder: str) -> list[int | None]:
-        """Write rows into a new folder and tell which buckets it holds."""
+    def history(self) -> list[dict]:
+        """Number and counts of every commit that is still there, oldest first."""
+        numbers = sorted(int(name) for name in self._names("commits"))
+        return [{"version": n, **self.version(n).counts} for n in numbers]
+
+    def _in_buckets(self, df: DataFrame, buckets: int) -> DataFrame:
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(buckets)).cast("int")
+        # Large buckets are split over tasks and small ones share a task: few files, no hot task.
+        return df.withColumn(BUCKET, bucket).hint("rebalance", BUCKET)
+
+    def _write(
+        self, df: DataFrame, number: int, buckets: int
+    ) -> tuple[dict[int | None, str], dict[int | None, int | None]]:
+        """Write rows into a new folder; the folder and the newest time of each bucket it holds."""
+        folder = f"{VERSION}={number}-{uuid.uuid4().hex[:8]}"
         target = f"{self.path}/data/{folder}"
-        if not self.keys:
+        if self.keys:
+            self._in_buckets(df, buckets).write.partitionBy(BUCKET).parquet(target)
+            written = self._buckets_of(f"data/{folder}")
+        else:
             df.write.parquet(target)
-            return [None]
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        placed = df.withColumn(BUCKET, bucket).hint("rebalance", BUCKET)
-        placed.write.partitionBy(BUCKET).parquet(target)
-        return self._buckets_of(target)
-
-    def _buckets_of(self, target: str) -> list[int | None]:
-        rows = self.spark.read.schema(f"{BUCKET} int").parquet(target)
-        found = rows.select(BUCKET).distinct()
-        return [r[0] for r in found.collect()]
-
-    def replace(self, df: DataFrame, require_keys: bool = False) -> None:
-        """Make ``df`` the whole content; optionally refuse rows without a key."""
-        number = self._commits() or 0
-        folder = f"{VERSION}={number + 1}-{uuid.uuid4().hex[:8]}"
-        folders = {bucket: folder for bucket in self._write(df, folder)}
+            written = [None]
+        newest: dict[int | None, int | None] = {}
+        if self.time_col is not None and written:
+            rows = self._read({b: folder for b in written}, df.schema)
+            if self.keys:
+                data = self.spark.read.schema(f"{BUCKET} int, `{self.time_col}` {df.schema[self.time_col].dataType.simpleString()}")
+                rows = data.parquet(target)
+            else:
+                rows = rows.withColumn(BUCKET, F.lit(None).cast("int"))
+            times = rows.groupBy(BUCKET).agg(F.unix_micros(F.max(F.col(self.time_col).cast("timestamp"))))
+            newest = {r[0]: r[1] for r in times.collect()}  # a row per bucket
+        return {b: folder for b in written}, newest
+
+    def _buckets_of(self, below: str) -> list[int]:
+        return sorted(int(n.split("=")[1]) for n in self._names(below) if n.startswith(f"{BUCKET}="))
+
+    def replace(
+        self,
+        df: DataFrame,
+        require_keys: bool = False,
+        check: Check | None = None,
+        counts: Counts | None = None,
+    ) -> None:
+        """Make ``df`` the whole content.
+
+        ``require_keys`` refuses rows without a key. ``check`` sees the new rows
+        before anyone else can: when it raises, the old version stays.
+        """
+        before = self.version()
+        number = before.number + 1 if before else 1
+        buckets = before.buckets if before else self.buckets or BUCKETS
+        self._put(df, number, buckets, require_keys, check, counts)
+
+    def _put(self, df, number, buckets, require_keys=False, check=None, counts=None) -> None:
+        folders, newest = self._write(df, number, buckets)
+        rows = self._read(folders, df.schema)
         if require_keys:
-            self._check_keys(self._read(folders, df.schema))
-        self._commit(number + 1, folders, df.schema)
+            self._check_keys(rows)
+        if check is not None:
+            check(rows)
+        self._commit(
+            Version(number, folders, newest, df.schema, self.keys, buckets, self.time_col, _known(counts))
+        )
+
+    def rebucket(self, buckets: int) -> None:
+        """Rewrite the table with another number of buckets."""
+        self.buckets = None
+        before = self.version()
+        if before is not None:
+            self._put(self._read(before.folders, before.schema), before.number + 1, buckets)
+        self.buckets = buckets
 
-    def merge(self, batch: DataFrame, newest_by: str | None = None, tie_break: Sequence[str] = ()) -> None:
+    def merge(
+        self,
+        batch: DataFrame,
+        newest_by: str | None = None,
+        tie_break: Sequence[str] = (),
+        check: Check | None = None,
+        counts: Counts | None = None,
+    ) -> None:
         """Update rows by key and insert the rest.
 
         The batch is written once and read back, so it is computed once. With
-        ``newest_by`` the newer of the stored and the new row stays; without,
-        the new row always does. Merging the same batch again changes nothing.
+        ``newest_by`` the newer of the stored and the new row stays, and a
+        stored row without a time gives way to any; without, the new row
+        always stays. Merging the same batch again changes nothing. ``counts``,
+        or what it returns once the batch was computed, are kept with the commit.
         """
-        number, folders, schema = self._current()
-        if schema is None:
-            self.replace(batch, require_keys=True)
+        version = self.version()
+        if version is None:
+            self.replace(batch, require_keys=True, check=check, counts=counts)
             return
-        staged = f"{self.path}/batches/{uuid.uuid4().hex}"
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        batch.withColumn(BUCKET, bucket).write.partitionBy(BUCKET).parquet(staged)
+        staged = f"batches/{uuid.uuid4().hex}"
+        self._in_buckets(batch, version.buckets).write.partitionBy(BUCKET).parquet(f"{self.path}/{staged}")
         touched = self._buckets_of(staged)
-        if not touched:
+        folders, newest = dict(version.folders), dict(version.newest)
+        if touched:
+            stored_batch = self.spark.read.schema(version.schema).parquet(f"{self.path}/{staged}")
+            stored_batch = stored_batch.select(*version.schema.names)
+            self._check_keys(stored_batch)
+            old = self._read({b: folders[b] for b in touched if b in folders}, version.schema)
+            if newest_by is None:
+                merged = merge_upsert(old, stored_batch, self.keys)
+            else:
+                merged = latest_per_key(
+                    old.unionByName(stored_batch), self.keys, newest_by, "last", tie_break
+                )
+            written, times = self._write(merged, version.number + 1, version.buckets)
+            folders.update(written)
+            newest.update(times)
+        found = _known(counts)
+        if not touched and not any(found.values()):
+            self._delete(staged)
             return
-        stored_batch = self.spark.read.schema(schema).parquet(staged).select(*schema.names)
-        self._check_keys(stored_batch)
-        old = self._read({b: folders[b] for b in touched if b in folders}, schema)
-        if newest_by is None:
-            merged = merge_upsert(old, stored_batch, self.keys)
-        else:
-            merged = latest_per_key(
-                old.unionByName(stored_batch), self.keys, newest_by, "first", tie_break
+        if check is not None and touched:
+            check(self._read(folders, version.schema))
+        self._commit(
+            Version(
+                version.number + 1,
+                folders,
+                newest,
+                version.schema,
+                self.keys,
+                version.buckets,
+                self.time_col if version.time_col == self.time_col else None,
+                found,
             )
-        folder = f"{VERSION}={number + 1}-{uuid.uuid4().hex[:8]}"
-        written = self._write(merged, folder)
-        self._commit(number + 1, {**folders, **{b: folder for b in written}}, schema)
+        )
+        self._delete(staged)
 
     def clean(self, keep: int = 2) -> None:
         """Delete what the newest ``keep`` commits do not refer to.
@@ -144,19 +290,18 @@ class VersionedTable:
         Readers that still use an older version must be done; nothing else may
         write meanwhile.
         """
-        newest = self._commits()
+        newest = self._last_commit()
         if newest is None:
             return
         kept = range(max(1, newest - keep + 1), newest + 1)
-        paths = [f"{self.path}/commits/{number}" for number in kept]
-        rows = self.spark.read.schema(_COMMIT).json(paths).select("folder").distinct().collect()
-        folders = {r["folder"] for r in rows}
+        there = [int(name) for name in self._names("commits")]
+        folders = {f for n in kept if n in there for f in self.version(n).folders.values()}
         for name in self._names("data"):
             if name not in folders:
                 self._delete(f"data/{name}")
-        for name in self._names("commits"):
-            if int(name) not in kept:
-                self._delete(f"commits/{name}")
+        for number in there:
+            if number not in kept:
+                self._delete(f"commits/{number}")
         for name in self._names("batches"):
             self._delete(f"batches/{name}")
 

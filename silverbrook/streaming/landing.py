@@ -1,8 +1,10 @@
 """Streams from incoming event texts to the landing table, the file store and the quarantine.
 
-Each sink is a query of its own on the same source: Spark's file sink commits
-a micro-batch as a whole, so every sink gets each event exactly once, also
-after a restart, and none waits for another.
+One query reads the source, judges every event in one pass and appends the
+verdicts to a table partitioned by target; each sink is a query of its own on
+its part of that table. Spark's file sink commits a micro-batch as a whole, so
+every sink gets each event exactly once, also after a restart, and none waits
+for another.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from silverbrook.functions.events import CONTENT
-from silverbrook.operators.routing import route_events, validate_events
+from silverbrook.operators.routing import LANDING, QUARANTINE, STORE, TARGET, judge_events
 from silverbrook.schema import ROUTED_TYPES
 from silverbrook.sources.event_store import (
     QUARANTINE_PARTITIONS,
@@ -23,6 +25,8 @@ from silverbrook.sources.event_store import (
     store_rows,
 )
 
+LANDING_SCHEMA = "record_content variant, record_metadata variant, ingested_at timestamp"
+
 # How often the sinks write, and how often the click table refreshes.
 SINK_INTERVAL = "60 seconds"
 CLICKS_INTERVAL = "1 minute"
@@ -109,11 +113,30 @@ def start_ingest(
     routed_types: Iterable[str] = ROUTED_TYPES,
     interval: str | None = SINK_INTERVAL,
 ) -> list[StreamingQuery]:
-    """Validate and route a stream of event texts into all three sinks."""
-    valid, rejected = validate_events(texts)
-    routed, stored = route_events(valid, routed_types)
+    """Validate and route a stream of event texts into all three sinks.
+
+    Without an interval everything there is judged first, and then handed to
+    the sinks; the judging query is the first of the list.
+    """
+    judged = judge_events(texts.select("value"), routed_types)
+    # Only rejected events still need their text.
+    judged = judged.withColumn("value", F.when(F.col(TARGET) == QUARANTINE, F.col("value")))
+    path = f"{base}/judged"
+    judging = start_append(judged, path, f"{checkpoints}/judged", partition_by=[TARGET], interval=interval)
+    if interval is None:
+        judging.awaitTermination()
+    spark = texts.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+    def part(target: str) -> DataFrame:
+        return spark.readStream.schema(judged.schema).parquet(path).filter(F.col(TARGET) == target)
+
     return [
-        stream_landing(routed, f"{base}/landing", f"{checkpoints}/landing", interval),
-        stream_event_store(stored, f"{base}/events", f"{checkpoints}/events", interval),
-        stream_quarantine(rejected, f"{base}/quarantine", f"{checkpoints}/quarantine", interval=interval),
+        judging,
+        stream_landing(part(LANDING), f"{base}/landing", f"{checkpoints}/landing", interval),
+        stream_event_store(part(STORE), f"{base}/events", f"{checkpoints}/events", interval),
+        stream_quarantine(
+            part(QUARANTINE), f"{base}/quarantine", f"{checkpoints}/quarantine", interval=interval
+        ),
     ]

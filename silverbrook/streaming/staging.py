@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
+from silverbrook.operators.incremental import LOOKBACK_SECONDS
 from silverbrook.plans.staging import clicks_dedup, clicks_projection, stage_new_events
 from silverbrook.schema import EntitySpec
-from silverbrook.sources.tables import VersionedTable
+from silverbrook.sources.raw_events import good_events
+from silverbrook.sources.tables import Check, VersionedTable
 from silverbrook.streaming.landing import CLICKS_INTERVAL, start_append
 
-WATERMARK = "15 seconds"
 # Appending is cheap every minute; a merge rewrites the buckets it touches.
 MERGE_INTERVAL = "1 hour"
 SLICES = 16
@@ -37,9 +38,13 @@ def stream_clicks(
     return start_append(clicks_projection(landed), path, checkpoint, interval=interval)
 
 
-def first_click_seen(landed: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+def first_click_seen(landed: DataFrame, watermark: str) -> DataFrame:
     """Click rows with repeats dropped that arrive within the watermark.
 
+    ``watermark`` is how late a click may come behind the newest one. Later
+    clicks are dropped, first arrivals too: ``dropped_by_watermark`` counts
+    them, ``missed_clicks`` finds them.
+
     Keeps the first arrival of a click; ``stream_clicks_latest`` keeps the
     latest event instead. Repeats are first dropped within slices of the
     input, so that a click repeated very often is not left to a single task; a
@@ -52,6 +57,21 @@ def first_click_seen(landed: DataFrame, watermark: str = WATERMARK) -> DataFrame
     return once_per_slice.drop("_slice").dropDuplicatesWithinWatermark(["click_id"])
 
 
+def dropped_by_watermark(query: StreamingQuery) -> int:
+    """Rows that came too late for a query's watermark, as far as its progress reports go back."""
+    reports = [p.stateOperators for p in query.recentProgress]
+    # Dropped rows are counted by the first stateful operator that meets them.
+    return sum(int(s.numRowsDroppedByWatermark) for operators in reports for s in operators)
+
+
+def missed_clicks(landed: DataFrame, seen: DataFrame) -> DataFrame:
+    """Clicks of the landing table none of whose rows got through, latest event first of each.
+
+    A side table for late arrivals: ``seen`` is what ``first_click_seen`` kept.
+    """
+    return clicks_dedup(clicks_projection(landed)).join(seen.select("click_id"), "click_id", "left_anti")
+
+
 def stream_clicks_latest(
     landed: DataFrame,
     table: VersionedTable,
@@ -79,6 +99,8 @@ def stream_entity(
     interval: str | None = MERGE_INTERVAL,
     strict: bool = True,
     number_scale: int = 2,
+    lookback_seconds: int = LOOKBACK_SECONDS,
+    check: Check | None = None,
 ) -> StreamingQuery:
     """Keep an entity's staging table up to date from a stream of its raw events.
 
@@ -87,6 +109,6 @@ def stream_entity(
     """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        stage_new_events(batch, spec, table, strict, number_scale)
+        stage_new_events(good_events(batch), spec, table, strict, number_scale, lookback_seconds, check)
 
     return _start(raw.writeStream.foreachBatch(merge), checkpoint, interval)

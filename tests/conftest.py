@@ -12,7 +12,7 @@ from silverbrook.session import configure  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return configure(local_session("4"))
+    return configure(local_session("2"))
 
 
 @pytest.fixture

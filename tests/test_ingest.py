@@ -1,16 +1,32 @@
 import json
+import os
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from silverbrook.functions.events import CONTENT
-from silverbrook.operators.routing import validate_events
+from silverbrook.operators.routing import judge_events, validate_events
 from silverbrook.plans.build import FailedTests, build
 from silverbrook.sources.event_store import write_event_store, write_quarantine
-from silverbrook.sources.raw_events import load_raw_incremental, read_raw_events
+from silverbrook.sources.raw_events import (
+    good_events,
+    load_raw_incremental,
+    load_report,
+    read_bad_lines,
+    read_raw_events,
+    unloaded_events,
+    unloaded_files,
+)
+from silverbrook.sources.tables import VersionedTable
 from silverbrook.streaming.landing import start_ingest
-from silverbrook.streaming.staging import first_click_seen, start_append, stream_clicks
+from silverbrook.streaming.staging import (
+    dropped_by_watermark,
+    first_click_seen,
+    missed_clicks,
+    start_append,
+    stream_clicks,
+)
 
 
 def day():
@@ -49,6 +65,34 @@ def test_scan_skips_bad_lines_and_keeps_arrays_whole(spark, folder, rows):
     assert rows(scan.select(F.to_json(CONTENT))) == [("[1,2]",), ('{"id":"1"}',)]
 
 
+def test_text_after_a_value_is_a_bad_line(spark, folder, rows):
+    root = f"{folder}/s"
+    lines = ['{"id":"1"} junk', '{"id":"5"}[1]', '{"id":"2"} {"id":"3"}', "", "   ", '{"id":"4"', '{"id":"6"}']
+    spark.createDataFrame([(t,) for t in lines], "value string").coalesce(1).write.text(f"{root}/entity=a")
+    assert rows(read_raw_events(spark, root, "a"), "ce_id") == [("2",), ("3",), ("6",)]
+    bad = [('{"id":"1"} junk',), ('{"id":"4"',), ('{"id":"5"}[1]',)]
+    assert rows(read_bad_lines(spark, root, "a"), "bad_line") == bad
+    load_raw_incremental(spark, root, "a", f"{folder}/raw", f"{folder}/ckpt").awaitTermination()
+    table = spark.read.parquet(f"{folder}/raw")
+    assert rows(good_events(table), "ce_id") == [("2",), ("3",), ("6",)]
+    assert rows(load_report(table), "n_events", "n_bad_lines") == [(3, 3)]
+
+
+def test_files_that_were_too_old_are_reported_and_readable(spark, folder, rows):
+    root, table = f"{folder}/s", f"{folder}/raw"
+    store(spark, root, envelope("a.x", "1"))
+    load_raw_incremental(spark, root, "a", table, f"{folder}/ckpt").awaitTermination()
+    old = f"{root}/entity=a/yyyy=2024/MM=03/dd=09/old.txt"
+    with open(old, "w") as file:
+        file.write(json.dumps(envelope("a.x", "old")) + "\n")
+    os.utime(old, (0, 0))
+    load_raw_incremental(spark, root, "a", table, f"{folder}/ckpt").awaitTermination()
+    raw = spark.read.parquet(table)
+    assert rows(raw, "ce_id") == [("1",)]
+    assert [r.source_file.rsplit("/", 1)[1] for r in unloaded_files(spark, root, "a", raw).collect()] == ["old.txt"]
+    assert rows(unloaded_events(spark, root, "a", raw), "ce_id") == [("old",)]
+
+
 def test_lines_may_hold_several_objects(spark, folder, rows):
     values = [
         '{"a":"x}{y"}', '{"a":"\\\\"}', '{"a":"\\"} {\\""}', '{"a":{"b":[{"c":"}"},{"d":1}]}}',
@@ -120,11 +164,33 @@ def test_clicks_stream_does_not_deduplicate(spark, folder):
 def test_first_click_across_batches(spark, folder, rows):
     _clicks(spark, f"{folder}/l", ("1", "a", "home"), ("2", "b", "home"))
     landed = _clicks(spark, f"{folder}/l", ("3", "a", "cart"), ("4", "a", "cart"), ("5", "c", "cart"))
-    start_append(first_click_seen(landed), f"{folder}/c", f"{folder}/k", interval=None).awaitTermination()
+    start_append(first_click_seen(landed, "15 seconds"), f"{folder}/c", f"{folder}/k", interval=None).awaitTermination()
     kept = spark.read.parquet(f"{folder}/c")
     assert rows(kept, "click_id", "page_type") == [("a", "home"), ("b", "home"), ("c", "cart")]
 
 
+def test_late_clicks_are_counted_and_found(spark, folder, rows):
+    def landed(event_id, second):
+        e = {**envelope("ecommerce_clicks", event_id, click_id=event_id), "time": f"2024-01-01T00:{second // 60:02d}:{second % 60:02d}Z"}
+        valid, _ = validate_events(texts(spark, e))
+        part = valid.select(CONTENT, F.lit(None).cast("timestamp").alias("ingested_at"))
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/l")
+        stream = spark.readStream.schema(part.schema).parquet(f"{folder}/l")
+        run = start_append(first_click_seen(stream, "15 seconds"), f"{folder}/c", f"{folder}/k", interval=None)
+        run.awaitTermination()
+        return dropped_by_watermark(run)
+
+    assert [landed("a", 600), landed("b", 10), landed("c", 610)] == [0, 1, 0]
+    kept = spark.read.parquet(f"{folder}/c")
+    assert rows(kept, "click_id") == [("a",), ("c",)]
+    assert rows(missed_clicks(spark.read.parquet(f"{folder}/l"), kept), "click_id") == [("b",)]
+
+
+def test_events_are_parsed_once_for_all_sinks(spark):
+    plan = judge_events(texts(spark, envelope("a.b")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parse_json") + plan.count("parseJson") == 1
+
+
 def test_build_from_event_files(spark, folder):
     """Build, add events, build again; an entity without events gives an empty table."""
     prefix = "com.example.shop"
@@ -160,6 +226,16 @@ def test_build_from_event_files(spark, folder):
     store(spark, f"{folder}/s", upsert("order", "o0", 2, **{**order, "order_id": 2}))
     assert {r["order_id"] for r in run(mode="full").marts["fact_orders"].collect()} == {1, 2}
 
+    # A wrong path adds nothing and loses nothing.
+    for mode in ("incremental", "full"):
+        gone = build(spark, f"{folder}/nowhere", f"{folder}/w", mode, buckets=2)
+        assert {r["order_id"] for r in gone.marts["fact_orders"].collect()} == {1, 2}
+        assert gone.staging["products"].count() == 1
+
     store(spark, f"{folder}/s", upsert("order", "o3", 10, **{**order, "status": "lost"}))
     with pytest.raises(FailedTests, match="accepted_values"):
         run()
+    # Readers still have the version before the failed test.
+    orders = VersionedTable(spark, f"{folder}/w/staging/orders", ["order_id"])
+    assert {r["status"] for r in orders.read().collect()} == {"placed", "shipped"}
+    assert len(orders._names("commits")) <= 3

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from silverbrook.functions.masks import tag_columns
 from silverbrook.operators import security
-from silverbrook.plans.as_user import check_user_id, query_as_user
+from silverbrook.plans.as_user import RefusedQuery, answer_as_user, check_user_id, query_as_user
 from silverbrook.plans.secured import secured_view, secured_views
 from silverbrook.plans.semantic import SHOP_MODEL, SemanticError, semantic_query
 
@@ -138,13 +138,18 @@ def test_user_ids(bad):
 
 
 @pytest.fixture
-def ask(spark, folder, marts, grants):
+def load(folder, marts, grants):
     for name, df in {**marts, "grants": grants}.items():
         df.write.parquet(f"{folder}/{name}")
 
-    def load(session):
+    def read(session):
         return {n: session.read.parquet(f"{folder}/{n}") for n in marts}, session.read.parquet(f"{folder}/grants")
 
+    return read
+
+
+@pytest.fixture
+def ask(spark, load):
     return lambda sql, user=1, **more: query_as_user(spark, sql, user, load, **more)
 
 
@@ -156,8 +161,34 @@ def test_as_user_values(ask):
 
 
 def test_as_user_caps_rows(ask):
-    assert ask("SELECT explode(sequence(1, 2000)) AS i").count() == 500
-    assert [r[0] for r in ask("SELECT order_id FROM sv_fact_orders ORDER BY order_id DESC -- newest", max_rows=2).collect()] == [3, 2]
+    many = "SELECT explode(sequence(1, 600)) AS i FROM sv_fact_orders"
+    assert ask(many).count() == 1800
+    newest = "SELECT order_id FROM sv_fact_orders ORDER BY order_id DESC -- newest"
+    assert [r[0] for r in ask(newest, max_rows=2).collect()] == [3, 2]
+
+
+def test_as_user_tells_of_cut_rows(spark, ask, load):
+    cut, whole = (answer_as_user(spark, "SELECT * FROM sv_fact_orders", 1, load, n) for n in (2, 3))
+    assert (cut.cut, cut.rows.count(), whole.cut, whole.rows.count()) == (True, 2, False, 3)
+
+
+def test_as_user_refuses_what_reaches_beyond_the_views(ask):
+    for sql in (
+        "SELECT reflect('java.lang.System', 'getProperty', 'user.home')",
+        "SELECT java_method('java.lang.System', 'getenv', 'PATH') FROM sv_fact_orders",
+        "SELECT try_reflect('java.lang.System', 'getProperty', 'user.home')",
+        "SELECT * FROM sv_fact_orders WHERE status = reflect('java.lang.System', 'getProperty', 'user.home')",
+        "SELECT (SELECT reflect('java.lang.System', 'getProperty', 'user.home') FROM sv_dim_date LIMIT 1)",
+        "SELECT * FROM sv_fact_orders WHERE order_id IN (SELECT id FROM range(10))",
+        "SELECT * FROM range(1000000)",
+        "SELECT * FROM explode(sequence(1, 1000000))",
+        "SELECT explode(sequence(1, 1000000))",
+        "WITH r AS (SELECT * FROM range(5)) SELECT * FROM r",
+    ):
+        with pytest.raises(RefusedQuery):
+            ask(sql)
+    fine = "WITH o AS (SELECT * FROM sv_fact_orders) SELECT count(*) FROM o WHERE order_id IN (SELECT order_id FROM o) OR EXISTS (SELECT 1 FROM (VALUES (1)) v(x) WHERE x = o.order_id)"
+    assert ask(fine).first()[0] == 3
 
 
 def test_as_user_sees_only_own_views(ask, spark, folder, marts):

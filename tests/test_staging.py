@@ -40,7 +40,7 @@ def amounts(df):
 
 @pytest.fixture
 def table(spark, folder):
-    return VersionedTable(spark, f"{folder}/payments", SPEC.keys, 4)
+    return VersionedTable(spark, f"{folder}/payments", SPEC.keys, 4, SPEC.time_column)
 
 
 # Typed extraction
@@ -170,6 +170,45 @@ def test_new_events_give_what_rereading_gives(spark, folder, table):
     assert amounts(staged(table.read(), SPEC)) == amounts(staged(other.read(), SPEC))
 
 
+def test_a_stored_row_without_time_gives_way(spark, folder, table):
+    """Also for the merge of a stream: batch and stream agree."""
+    other = VersionedTable(spark, f"{folder}/other", SPEC.keys, 4)
+    first = [event(1, None, 1, "a"), event(2, 100, 2, "b")]
+    later = [event(1, 110, 9, "c")]
+    stage_entity(raw(spark, *first), SPEC, other)
+    stage_new_events(raw(spark, *first), SPEC, table)
+    assert amounts(table.read()) == amounts(other.read()) == {1: 1, 2: 2}
+    stage_entity(raw(spark, *first, *later), SPEC, other)
+    stage_new_events(raw(spark, *later), SPEC, table)
+    assert amounts(table.read()) == amounts(other.read()) == {1: 9, 2: 2}
+
+
+def test_unreadable_times_raise_in_every_mode(spark, folder, table):
+    bad = event(2, 100, 5, "x")
+    bad["time"] = "yesterday"
+    stage_entity(raw(spark, event(1, 100, 1, "a")), SPEC, table)
+    for run in (
+        lambda: stage_entity(raw(spark, bad), SPEC, table, "full"),
+        lambda: stage_entity(raw(spark, bad), SPEC, table),
+        lambda: stage_new_events(raw(spark, bad), SPEC, table),
+    ):
+        with pytest.raises(PySparkException):
+            run()
+    assert amounts(table.read()) == {1: 1}
+    stage_new_events(raw(spark, bad), SPEC, table, strict=False)
+    assert amounts(table.read()) == {1: 1}
+
+
+def test_late_and_untimed_events_are_counted(spark, table):
+    stage_new_events(raw(spark, event(1, 100, 1, "a")), SPEC, table)
+    stage_new_events(raw(spark, event(2, 10, 2, "b"), event(3, None, 3, "c"), event(4, 99, 4, "d")), SPEC, table)
+    stage_new_events(raw(spark, event(5, 10, 5, "e")), SPEC, table)  # nothing staged, still counted
+    counts = [(h.get("late_rows", 0), h.get("untimed_rows", 0)) for h in table.history()]
+    assert counts == [(0, 0), (1, 1), (1, 0)] and amounts(table.read()) == {1: 1, 4: 4}
+    stage_new_events(raw(spark, event(5, 10, 5, "e")), SPEC, table, lookback_seconds=1000)
+    assert amounts(table.read()) == {1: 1, 4: 4, 5: 5}
+
+
 def test_stream_equals_full_refresh(spark, folder, table):
     events = [event(i % 7, i, i, f"e{i}") for i in range(60)]
     for part in range(0, 60, 20):
@@ -191,9 +230,9 @@ def _kv(spark, *pairs):
 def test_table_merge_rewrites_touched_buckets_only(spark, folder, rows):
     table = VersionedTable(spark, folder, ["k"], 8)
     table.replace(_kv(spark, *[(i, "old") for i in range(100)]))
-    before = table._current()[1]
+    before = table.version().folders
     table.merge(_kv(spark, (3, "new"), (3000, "added")))
-    after = table._current()[1]
+    after = table.version().folders
     assert 1 <= sum(before.get(b) != after[b] for b in after) <= 2
     values = dict(rows(table.read()))
     assert len(values) == 101 and values[3] == "new" and values[4] == "old"
@@ -235,7 +274,59 @@ def test_commit_number_is_taken_once(spark, folder):
     table = VersionedTable(spark, folder)
     table.replace(_kv(spark, (1, "a")))
     with pytest.raises(PySparkException):
-        table._commit(1, {None: "x"}, table.read().schema)
+        table._commit(table.version())
+
+
+def test_buckets_and_keys_belong_to_the_table(spark, folder, rows):
+    table = VersionedTable(spark, folder, ["k"], 4)
+    table.replace(_kv(spark, *[(i, "old") for i in range(50)]))
+    for other in (VersionedTable(spark, folder, ["k"], 8), VersionedTable(spark, folder, ["v"]), VersionedTable(spark, folder)):
+        with pytest.raises(ValueError):
+            other.merge(_kv(spark, (1, "x")))
+        with pytest.raises(ValueError):
+            other.read()
+    again = VersionedTable(spark, folder, ["k"])
+    again.merge(_kv(spark, (1, "new"), (50, "new")))
+    again.rebucket(7)
+    again.merge(_kv(spark, (2, "new"), (51, "new")))
+    values = rows(VersionedTable(spark, folder, ["k"], 7).read())
+    assert len(values) == len({k for k, _ in values}) == 52
+    assert {k for k, v in values if v == "new"} == {1, 2, 50, 51}
+
+
+def test_a_failed_check_leaves_the_old_version(spark, folder, rows):
+    table = VersionedTable(spark, folder, ["k"], 2)
+    table.replace(_kv(spark, (1, "a")))
+
+    def refuse(new):
+        assert new.filter("v = 'b'").isEmpty()
+
+    for change in (table.replace, table.merge):
+        with pytest.raises(AssertionError):
+            change(_kv(spark, (1, "b")), check=refuse)
+        assert rows(table.read()) == [(1, "a")]
+    table.merge(_kv(spark, (1, "c")), check=refuse)
+    assert rows(table.read()) == [(1, "c")]
+
+
+def test_newest_time_comes_from_the_commit(spark, folder):
+    table = VersionedTable(spark, folder, ["k"], 4, "t")
+
+    def at(*seconds):
+        rows = [(i, START + timedelta(seconds=s) if s is not None else None) for i, s in enumerate(seconds)]
+        return spark.createDataFrame(rows, "k long, t timestamp")
+
+    def newest():
+        return spark.range(1).select(table.newest()).first()[0]
+
+    assert table.newest() is None
+    table.replace(at(5, 7, None))
+    assert newest() == START + timedelta(seconds=7)
+    table.merge(at(9))
+    assert newest() == START + timedelta(seconds=9)
+    # The row that held the newest time is replaced by an older one.
+    table.merge(at(1))
+    assert newest() == START + timedelta(seconds=7) == table.read().agg(F.max("t")).first()[0]
 
 
 def test_clean_keeps_the_newest_versions(spark, folder, rows):
