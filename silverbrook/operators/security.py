@@ -39,8 +39,16 @@ class Access:
     wildcard: bool = False
 
 
+class InvalidEntitlements(ValueError):
+    """Grants that break the table's constraints; nothing is granted by them."""
+
+
 def resolve_access(entitlements: DataFrame, user_id: int | None) -> dict[str, Access]:
-    """The user's highest level and wildcard per resource; nothing without a user."""
+    """The user's highest level and wildcard per resource; nothing without a user.
+
+    A grant of the user's with a level outside 0 to 2 or without an object
+    breaks the table's constraints and is refused.
+    """
     if user_id is None:
         return {}
     rows = (
@@ -49,9 +57,14 @@ def resolve_access(entitlements: DataFrame, user_id: int | None) -> dict[str, Ac
         .agg(
             F.max("access_level").alias("level"),
             F.bool_or((F.col("object_id") == WILDCARD) & (F.col("access_level") > 0)).alias("wild"),
+            F.count_if(
+                ~F.coalesce(F.col("access_level").isin(0, 1, 2), F.lit(False)) | F.col("object_id").isNull()
+            ).alias("bad"),
         )
         .collect()
     )
+    if any(r["bad"] for r in rows):
+        raise InvalidEntitlements(f"user {user_id} has grants that break the table's constraints")
     return {r["resource"]: Access(int(r["level"] or 0), bool(r["wild"])) for r in rows}
 
 

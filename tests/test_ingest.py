@@ -148,6 +148,27 @@ def test_ingest_restarts_without_losing_or_repeating(spark, folder):
     assert run(click, {"id": 1}) == (2, 1)
 
 
+def test_sinks_keep_up_with_an_interval(spark, folder):
+    """The queries of a running ingest write at every interval, without being restarted."""
+    def arrive(*events):
+        texts(spark, *events).coalesce(1).write.mode("append").text(f"{folder}/in")
+
+    arrive(envelope("ecommerce_clicks", "c"))
+    stream = spark.readStream.schema("value string").text(f"{folder}/in")
+    queries = start_ingest(stream, folder, f"{folder}/ckpt", interval="1 second")
+    try:
+        for count in (1, 2):
+            if count == 2:
+                arrive(envelope("ecommerce_clicks", "d"), envelope("a.b", "1"))
+            for query in queries:  # the judging query first, then what reads from it
+                query.processAllAvailable()
+            assert spark.read.parquet(f"{folder}/landing").count() == count
+        assert spark.read.text(f"{folder}/events").count() == 1
+    finally:
+        for query in queries:
+            query.stop()
+
+
 def _clicks(spark, path, *clicks):
     valid, _ = validate_events(texts(spark, *[envelope("ecommerce_clicks", i, click_id=c, page_type=p) for i, c, p in clicks]))
     landed = valid.select(CONTENT, F.lit(None).cast("timestamp").alias("ingested_at"))

@@ -127,6 +127,14 @@ def test_principals(spark):
     assert [cleared(p) for p in ("EU", "ALL", "OLD", None)] == [False, True, False, False]
 
 
+def test_grants_that_break_the_constraints_are_refused(spark, grants):
+    for bad in ((20, "order", 3, "*"), (20, "order", None, "*"), (20, "order", 1, None)):
+        table = grants.unionByName(spark.createDataFrame([bad], grants.schema))
+        with pytest.raises(security.InvalidEntitlements):
+            security.resolve_access(table, 20)
+        assert security.resolve_access(table, 9)["order"].level == 2
+
+
 # Running SQL as a user
 
 
