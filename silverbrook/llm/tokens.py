@@ -1,34 +1,48 @@
-"""Token ids of texts, by a tokenizers file whose words can be encoded on their own.
+"""Token ids of texts, by a byte-level tokenizers file whose words can be encoded on their own.
 
 A byte-level BPE cuts a text into words by a pattern and merges within words
-only, so a word has the same ids wherever it stands. Texts are cut at single
-spaces into units, units into words by the tokenizer's own pattern, and both
-are remembered; only words that a worker has not met go to the library. What
-the shortcut does not cover is encoded as a whole by the library: texts with
-two spaces in a row (a run of white space may cross units), with the text of a
-special token, or with characters whose class may differ between versions of
-Unicode. Every id comes from the tokenizers library either way.
+only, so a word has the same ids wherever it stands. Texts are cut before spaces
+and, where no other white space touches them, before line ends into units, and
+the ids of a unit are remembered; only units that a worker has not met go to
+the library. New units of letters, nearly all of them, go there many at a time
+as one text, in which each stays a word of its own; where its ids end follows
+from the bytes that each id stands for.
+
+What the shortcut does not cover is encoded as a whole by the library: texts
+with two spaces in a row (a run of white space may cross units), with the text
+of a special token, or with characters whose class may differ between versions
+of Unicode. Every id comes from the tokenizers library either way.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-#: Entries of the two memories; together some 150 MB in a worker.
-WORDS = 500_000
-UNITS = 300_000
+#: Units that are remembered: some 200 MB in a worker. Beyond it the first half is kept.
+UNITS = 1_000_000
 #: Characters of text encoded at a time.
 CHUNK_CHARS = 2_000_000
+#: New words that go to the library as one text.
+WORDS_AT_ONCE = 1000
 
 # Fixed value: the word pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Up to U+07FF, and common punctuation and currency signs: their classes are settled.
-_UNSETTLED = regex.compile("[^\u0000-߿ -₿]")
+_MARKS = frozenset(",.;:!?")
+_UNSETTLED = regex.compile("[^\u0000-\u07ff\u2000-\u20bf]")
+
+
+def _holes(ids: list[bytes | None]) -> Iterator[int]:
+    at = -1
+    for _ in range(ids.count(None)):
+        at = ids.index(None, at + 1)
+        yield at
 
 
 class Encoder:
@@ -37,47 +51,90 @@ class Encoder:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 2**16 else "<u4")
+        vocabulary = self.tokenizer.get_vocab()
+        self.dtype = np.dtype("<u2" if max(vocabulary.values()) < 2**16 else "<u4")
+        # One character of a byte-level token stands for one byte.
+        self.widths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.widths[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pattern = regex.compile(PATTERN)
-        self.words: dict[str, bytes] = {}
+        #: The ids of units: those that follow a space without it, those that follow a line end with it.
         self.units: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in found]
-
-    def _covered(self, text: str) -> bool:
-        if "  " in text or any(s in text for s in self.specials):
-            return False
-        return text.isascii() or _UNSETTLED.search(text) is None
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        data = np.array(list(chain.from_iterable(found)), self.dtype).tobytes()
+        ends = np.cumsum([0, *map(len, found)]) * self.dtype.itemsize
+        return [data[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist(), strict=False)]
+
+    def _cut(self, text: str) -> list[str] | None:
+        """The units of a text; None when it must be encoded as a whole."""
+        if "  " in text or " \n" in text or any(s in text for s in self.specials):
+            return None
+        if not text.isascii() and _UNSETTLED.search(text) is not None:
+            return None
+        lines = text.split("\n")
+        if len(lines) > 1:
+            if not lines[-1]:
+                lines.pop()
+            if all(line and not line[0].isspace() and not line[-1].isspace() for line in lines):
+                text = text.replace("\n", " \n")
+        return text.split(" ")
+
+    def _words(self, words: list[str], before: str) -> Iterator[bytes]:
+        """The ids of words of letters with a character before each: in the first id, or as one."""
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            text = before + before.join(words[at : at + WORDS_AT_ONCE])
+            data = self._library([text])[0]
+            raw = np.frombuffer(text.encode(), np.uint8)
+            # A word's last id is the one that ends where the word's bytes end.
+            word_ends = np.append(np.flatnonzero(raw == ord(before))[1:], len(raw))
+            id_ends = np.cumsum(self.widths[np.frombuffer(data, self.dtype)])
+            ends = ((np.searchsorted(id_ends, word_ends) + 1) * self.dtype.itemsize).tolist()
+            yield from map(data.__getitem__, map(slice, [0, *ends[:-1]], ends))
 
     def _learn(self, units: set[str]) -> None:
-        """Fill the memories for units, each written with the space before it."""
-        cut = [self.pattern.findall(u) for u in units]
-        missing = list({w for words in cut for w in words if w not in self.words})
-        self.words.update(zip(missing, self._library(missing), strict=True))
-        self.units.update(
-            (u, b"".join([self.words[w] for w in words])) for u, words in zip(units, cut, strict=True)
-        )
+        """Remember units: words after a space or a line end, with a mark after them, or anything else."""
+        words = {u for u in units if u.removeprefix("\n").isalpha()}
+        others = units - words
+        marked = [u for u in others if u[-1:] in _MARKS and u[:-1].removeprefix("\n").isalpha()]
+        others.difference_update(marked)
+        words.update(u[:-1] for u in marked)
+        new = words.difference(self.units)
+        after_line = [u[1:] for u in new if u[0] == "\n"]
+        after_space = [u for u in new if u[0] != "\n"]
+        self.units.update(zip(after_space, self._words(after_space, " "), strict=True))
+        self.units.update(zip(["\n" + u for u in after_line], self._words(after_line, "\n"), strict=True))
+        cut = {u: self.pattern.findall(u if u[:1] == "\n" else " " + u) for u in others}
+        pieces = list({w for found in cut.values() for w in found} | _MARKS)
+        known = dict(zip(pieces, self._library(pieces), strict=True))
+        self.units.update([(u, self.units[u[:-1]] + known[u[-1]]) for u in marked])
+        self.units.update([(u, b"".join([known[w] for w in found])) for u, found in cut.items()])
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > WORDS:
-            self.words.clear()
         if len(self.units) > UNITS:
-            self.units.clear()
-        easy = [self._covered(t) for t in texts]
-        pieces = []
-        for text, fine in zip(texts, easy, strict=True):
-            parts = text.split(" ") if fine and text else []
-            pieces.append(parts[:1] + [" " + p for p in parts[1:]])
-        self._learn({u for parts in pieces for u in parts if u not in self.units} - {""})
-        self.units[""] = b""
+            # What was met first is met most.
+            self.units = dict(islice(self.units.items(), UNITS // 2))
+        known = self.units.get
+        easy, firsts, found, missing = [], [], [], []
+        for text in texts:
+            units = self._cut(text)
+            easy.append(units is not None)
+            if units is not None:
+                ids = list(map(known, units))
+                # What comes first stands after nothing.
+                firsts.append(units[0])
+                ids[0] = b""
+                found.append(ids)
+                if None in ids:
+                    missing.extend([(ids, i, units[i]) for i in _holes(ids)])
+        if missing:
+            self._learn({unit for _, _, unit in missing})
+            for ids, i, unit in missing:
+                ids[i] = self.units[unit]
         hard = iter(self._library([t for t, fine in zip(texts, easy, strict=True) if not fine]))
-        return [
-            b"".join(map(self.units.__getitem__, parts)) if fine else next(hard)
-            for parts, fine in zip(pieces, easy, strict=True)
-        ]
+        whole = map(bytes.__add__, self._library(firsts), map(b"".join, found))
+        return [next(whole) if fine else next(hard) for fine in easy]
 
     def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """The ids of each text, in order; a few texts are held at a time."""
