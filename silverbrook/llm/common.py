@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from silverbrook.session import shared_dir
@@ -52,8 +52,6 @@ def first_of_equal(df: DataFrame, *keys: str) -> DataFrame:
     Which one is undefined when they differ elsewhere. A group limit before the
     shuffle leaves one row per key and task, so a hot key does no harm.
     """
-    from pyspark.sql import Window
-
     number = fresh(df, "_nth")
     ranked = df.withColumn(number, F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1))))
     return ranked.filter(F.col(number) == 1).drop(number)

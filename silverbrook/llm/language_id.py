@@ -11,9 +11,9 @@ together. The last window of a text overlaps the one before, whose bytes count
 once; a text shorter than a window is padded with spaces, which do not count.
 
 Training uses a bounded sample: ``TEXTS_PER_LANG`` labelled texts of each
-language, those with the smallest hash of their id, and ``WINDOWS_PER_TEXT``
-windows of each. The sample is drawn by Spark (a group limit before the shuffle)
-and fits the driver; prediction reads every byte of every text.
+language, those drawn by a hash of their id, and ``WINDOWS_PER_TEXT``
+windows of each. The sample is drawn by Spark and fits the driver; prediction
+reads every byte of every text.
 
 Defined cases: ``und`` with score 0 for a text that is null or has no letter,
 and for every text when no labelled row exists; repeated rows are predicted
@@ -294,9 +294,13 @@ def training_sample(docs: DataFrame, texts_per_lang: int = TEXTS_PER_LANG) -> Da
     labelled = docs.filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
     ).select("lang", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text")
+    # Drawn by a hash first, about twice as many as needed, so that a language of
+    # any size sends few rows to the task that ranks them.
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("rows"))
+    drawn = F.pmod(F.xxhash64("doc"), F.lit(2**40)) * F.col("rows") < F.lit(2**40 * 2.0 * texts_per_lang)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc"), "doc", F.xxhash64("text"))
-    # Ranked without the texts first, so that these move for the sample only.
-    return labelled.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= texts_per_lang).select("lang", "text")
+    ranked = labelled.join(counts, "lang").filter(drawn).withColumn("nth", F.row_number().over(order))
+    return ranked.filter(F.col("nth") <= texts_per_lang).select("lang", "text")
 
 
 def learn(docs: DataFrame) -> Network | None:

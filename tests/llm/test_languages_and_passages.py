@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -67,8 +68,9 @@ def test_held_out_accuracy(spark):
 
 def test_nothing_is_learned_from_held_out_rows(spark, edge_docs, no_docs):
     docs = _docs(spark)
-    ids = lang.training_sample(docs, 10**6).join(docs, ["lang", "text"]).select("doc_id", lang.held_out(docs["doc_id"]).alias("h"))
-    assert not ids.filter("h AND doc_id < 0").collect() and ids.count() > 300
+    learned = sorted((r.lang, r.text) for r in lang.training_sample(docs, 10**6).collect())
+    labelled = [r for r in docs.collect() if r.lang is not None and r.text is not None and r.doc_id is not None]
+    assert learned == sorted((r.lang, r.text) for r in labelled if zlib.crc32(str(r.doc_id).encode()) % 4 != 2)
     assert lang.training_sample(docs, 5).count() == 10
     assert lang.predict_languages(edge_docs, None).filter("lang_pred <> 'und' OR score <> 0").isEmpty()
     assert lang.learn(no_docs) is None and lang.language_id(no_docs).count() == 0
@@ -98,7 +100,7 @@ def test_hash_rolls_over_its_window():
 def test_insertions_move_near_cuts_only():
     data = random.Random(2).randbytes(20_000)
     a = set(sub.cuts(np.frombuffer(data, np.uint8)))
-    b = {x - 3 for x in sub.cuts(np.frombuffer(data[:1000] + b"new" + data[1000:], np.uint8))}
+    b = {x - 3 if x > 1000 else x for x in sub.cuts(np.frombuffer(data[:1000] + b"new" + data[1000:], np.uint8))}
     assert len(a ^ b) < 20
 
 

@@ -154,6 +154,6 @@ def test_pipeline_edge_cases(spark, clashing_docs, no_docs):
 
 def test_registered_queries_read_whole_tables(spark):
     sf_dir = "/root/testdata/sf0.001"
-    docs = duckdb.sql(f"SELECT count(*) FROM '{sf_dir}/documents.parquet'").fetchone()[0]
+    docs = duckdb.sql(f"SELECT count(*) FROM '{sf_dir}/documents.parquet'").fetchall()[0][0]
     for name in ("op2_token_frames", "op3_language_id", "op8_minhash_near_dedup", "op9_sharding"):
         assert QUERIES[name](spark, sf_dir).count() == docs
