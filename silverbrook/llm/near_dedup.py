@@ -14,16 +14,18 @@ chance of 3 in 10 million, and a closer pair less.
 
 A bucket links all its nodes to one centre: as many candidates as members, not
 all pairs. Candidates are confirmed on the full sets. A link between two
-members of a bucket that the centre does not reach is not lost: while the
-members of a bucket still lie in several components, further centres are taken
-from its smallest component and compared with the members outside, then retired.
-A bucket is done when one component is left or all but one were centres, so no
-pair of a bucket is skipped except those already joined or whose sizes rule
-out the threshold. Only the few buckets that mix components take part.
+members of a bucket that the centre does not reach is not lost: where the
+members of a bucket then still lie in several components, those outside its
+largest one are compared with all its members. They are dealt in blocks of a
+bounded size, so a crowded bucket is many small groups; a block estimates
+similarities from signatures, confirms what comes within six deviations of the
+threshold on the full sets, and returns links only. A pair is looked at in the
+first band it shares.
 
 Rows move by bucket key and node with counts first, hot buckets stay on the
 side of a join that adaptive execution can split, and sets are computed again
-for candidates only, since all sets together are larger than the texts.
+for nodes that share a bucket, once, since all sets together are larger than
+the texts.
 
 Defined cases: a text that is null, empty or white space has an empty set and
 is linked with nothing; a text of fewer words has one shingle, the whole
@@ -40,7 +42,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverbrook.llm.common import digest16, fresh, stored
@@ -51,8 +53,10 @@ BANDS = 32
 ROWS = 6
 #: Linked when 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 85
-#: Further centres of a bucket in one round.
-CENTRES = 16
+#: Bytes of sets in a block of a bucket.
+BLOCK_BYTES = 4_000_000
+#: Deviations of an estimated similarity below the threshold that are still confirmed.
+DEVIATIONS = 6
 #: Characters of text shingled at a time.
 CHUNK_CHARS = 2_000_000
 
@@ -184,18 +188,23 @@ def _shingled(words_each: int):
     return shingled
 
 
+def _linked(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
+    """Whether two sorted sets reach the threshold, by their whole contents."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    both = int((b[at] == a).sum())
+    return 100 * both >= threshold * (len(a) + len(b) - both)
+
+
 def _confirm(threshold: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column("left_set"), batch.column("right_set"), strict=True):
-                a = np.frombuffer(x.as_buffer(), np.uint64)
-                b = np.frombuffer(y.as_buffer(), np.uint64)
-                if len(a) > len(b):
-                    a, b = b, a
-                at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-                both = int((b[at] == a).sum())
-                good.append(100 * both >= threshold * (len(a) + len(b) - both))
+            pairs = zip(batch.column("left_set"), batch.column("right_set"), strict=True)
+            good = [
+                _linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), threshold)
+                for x, y in pairs
+            ]
             kept = pa.array(good, pa.bool_())
             yield pa.record_batch([batch.column("a"), batch.column("b")], ["a", "b"]).filter(kept)
 
@@ -207,51 +216,104 @@ def _close_in_size(threshold: int):
     return 100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")
 
 
-class _Sets:
-    """The shingle sets of candidate nodes, computed from their texts when first needed."""
-
-    def __init__(self, docs: DataFrame, classes: DataFrame, words_each: int) -> None:
-        self.docs = docs
-        self.classes = classes
-        self.words_each = words_each
-        self.parts: list[DataFrame] = []
-        self.known: DataFrame | None = None
-
-    def need(self, pairs: DataFrame) -> DataFrame:
-        """Sets that cover the nodes of the pairs."""
-        nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        if self.known is not None:
-            nodes = nodes.join(self.known, "node", "left_anti")
-        nodes = stored(nodes, "set-nodes")
-        if not nodes.isEmpty():
-            # A document that has the node's set; a document may serve only one node.
-            source = self.classes.join(nodes, "node", "left_semi").select(F.col("doc_id").alias("source")).distinct()
-            texts = self.docs.select("doc_id", F.col("text").cast("string"))
-            texts = texts.join(source, F.col("doc_id").eqNullSafe(F.col("source")), "left_semi").select("text")
-            sets = texts.mapInArrow(_shingled(self.words_each), _SETS)
-            self.parts.append(stored(sets.join(nodes, "node", "left_semi"), "sets"))
-            self.known = nodes if self.known is None else self.known.unionByName(nodes)
-        found = self.parts[0]
-        for part in self.parts[1:]:
-            found = found.unionByName(part)
-        return found
+def _shingle_table(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words_each: int) -> DataFrame:
+    """(node, shingles) of the given nodes, from a document of each."""
+    source = classes.join(nodes, "node", "left_semi").select(F.col("doc_id").alias("source")).distinct()
+    texts = docs.select("doc_id", F.col("text").cast("string"))
+    texts = texts.join(source, F.col("doc_id").eqNullSafe(F.col("source")), "left_semi").select("text")
+    sets = texts.mapInArrow(_shingled(words_each), _SETS)
+    # Rows that repeat a doc_id may bring other nodes, or one node more than once.
+    return sets.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left_set"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right_set"))
-    # Sets with equal nodes may be there once per document with that id: any one will do.
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left_set", "right_set")
     return both.mapInArrow(_confirm(threshold), "a binary, b binary")
 
 
+def _compared(bands: int, rows: int, threshold: int):
+    """Links between the queries and the members of one block of a bucket."""
+
+    def compare(key: tuple, group: pa.Table) -> pa.Table:
+        asks = np.array(group["asks"].to_pylist(), bool)
+        labels, nodes = group["label"].to_pylist(), group["node"].to_pylist()
+        codes = np.unique(np.array([x.hex() for x in labels]), return_inverse=True)[1]
+        sets = [np.frombuffer(x, np.uint64) for x in group["shingles"].to_pylist()]
+        sizes = np.array([len(x) for x in sets])
+        band = group["band"][0].as_py()
+        signs = np.stack([signature(x, bands * rows) for x in sets])
+        members = np.flatnonzero(~asks)
+        t = threshold / 100
+        found: list[tuple[bytes, bytes]] = []
+        for i in np.flatnonzero(asks):
+            small, large = np.minimum(sizes[members], sizes[i]), np.maximum(sizes[members], sizes[i])
+            same = signs[members] == signs[i]
+            spread = np.sqrt(t * (1 - t) / np.minimum(small, bands * rows))
+            near = (
+                (codes[members] != codes[i])
+                & (100 * small >= threshold * large)
+                & (same.mean(axis=1) >= t - DEVIATIONS * spread)
+            )
+            for at in np.flatnonzero(near):
+                whole = same[at].reshape(bands, rows).all(axis=1)
+                if whole.argmax() == band and _linked(sets[i], sets[members[at]], threshold):
+                    found.append((nodes[i], nodes[members[at]]))
+        return pa.table(
+            {
+                "a": pa.array([x for x, _ in found], pa.binary()),
+                "b": pa.array([x for _, x in found], pa.binary()),
+            }
+        )
+
+    return compare
+
+
+def _links_across(members: DataFrame, labels: DataFrame, sets: DataFrame, bands: int, rows: int, threshold: int) -> DataFrame:
+    """Links that the centres did not reach: within buckets whose members lie in several components."""
+    labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    sizes = labelled.groupBy("bucket", "label").agg(F.count("*").alias("size"), F.sum("n").alias("hashes"))
+    buckets = sizes.groupBy("bucket").agg(
+        F.count("*").alias("labels"),
+        F.max_by("label", F.struct("size", "label")).alias("main"),
+        F.sum("hashes").alias("hashes"),
+        (F.sum("hashes") - F.max_by("hashes", F.struct("size", "label"))).alias("asking"),
+    )
+
+    def blocks(hashes: str):
+        return F.ceil(F.col(hashes) * 8 / BLOCK_BYTES).cast("int")
+
+    buckets = buckets.filter("labels > 1").select(
+        "bucket", "main", blocks("hashes").alias("blocks"), blocks("asking").alias("ask_blocks")
+    )
+    rows_open = stored(labelled.join(buckets, "bucket"), "open-buckets").join(sets, "node")
+    own = F.pmod(F.xxhash64("node"), F.lit(2**31)).cast("int")
+    columns = ["bucket", "band", "node", "label", "shingles"]
+    # Every member meets every block of queries, every query every block of members.
+    as_member = rows_open.select(
+        *columns,
+        F.lit(False).alias("asks"),
+        (own % F.col("blocks")).alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("ask_blocks") - 1)).alias("ask_block"),
+    )
+    as_query = rows_open.filter("label <> main").select(
+        *columns,
+        F.lit(True).alias("asks"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        (own % F.col("ask_blocks")).alias("ask_block"),
+    )
+    dealt = as_member.unionByName(as_query)
+    compare = _compared(bands, rows, threshold)
+    return dealt.groupBy("bucket", "ask_block", "block").applyInArrow(compare, "a binary, b binary")
+
+
 def near_groups(
     docs: DataFrame,
     words_each: int = SHINGLE_WORDS,
     bands: int = BANDS,
     rows: int = ROWS,
     threshold: int = THRESHOLD,
-    centres: int = CENTRES,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable) and kept of every row."""
     described = docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
@@ -264,50 +326,21 @@ def near_groups(
         F.first("bands").alias("bands"),
     )
     classes = stored(classes, "classes")
-    sizes = classes.select("node", "n")
-    members = classes.select("node", "n", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("centre")).filter("size > 1")
-    members = stored(members.join(shared, "bucket").select("bucket", "node", "n", "centre"), "buckets")
-    sets = _Sets(docs, classes, words_each)
+    every = classes.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
+    shared = every.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("centre"))
+    shared = shared.filter("size > 1").select("bucket", "centre")
+    members = stored(every.join(shared, "bucket"), "buckets")
+    nodes = members.select("node").distinct()
+    sets = stored(_shingle_table(docs, classes, nodes, words_each), "sets")
 
-    # First round: every bucket's members against its smallest node.
     pairs = members.filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b"), F.col("n").alias("n_b"))
-    pairs = pairs.distinct().join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")
-    tested = stored(pairs.filter(_close_in_size(threshold)).select("a", "b"), "candidates")
-    links = stored(_confirmed(tested, sets.need(tested), threshold), "links")
+    pairs = pairs.distinct().join(classes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")
+    links = stored(_confirmed(pairs.filter(_close_in_size(threshold)), sets, threshold), "links")
     labels = stored(components(links), "labels")
-    open_members = members.filter("node <> centre").select("bucket", "node", "n")
-
-    while True:
-        labelled = open_members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-        labelled = stored(labelled.join(mixed, "bucket", "left_semi"), "open-buckets")
-        if labelled.isEmpty():
-            break
-        # The smallest component of each bucket, and up to ``centres`` of its nodes.
-        groups = labelled.groupBy("bucket", "label").agg(F.count("*").alias("size"))
-        smallest = groups.groupBy("bucket").agg(F.min(F.struct("size", "label")).alias("s")).select("bucket", F.col("s.label").alias("label"))
-        # A group limit before the shuffle keeps this to a few rows per task and bucket.
-        nth = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-        chosen = labelled.join(smallest, ["bucket", "label"]).withColumn("nth", nth).filter(F.col("nth") <= centres)
-        chosen = stored(
-            chosen.select("bucket", F.col("label").alias("own"), F.col("node").alias("centre"), F.col("n").alias("n_c")),
-            "centres",
-        )
-        pairs = labelled.join(chosen, "bucket").filter("label <> own").select(
-            F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b"),
-            F.col("n").alias("n_a"), F.col("n_c").alias("n_b"),
-        )
-        pairs = pairs.filter(_close_in_size(threshold)).select("a", "b").distinct()
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "candidates")
-        if not pairs.isEmpty():
-            new = stored(_confirmed(pairs, sets.need(pairs), threshold), "links")
-            tested = tested.unionByName(pairs)
-            if not new.isEmpty():
-                joined = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(new)
-                labels = stored(components(joined), "labels")
-        retired = chosen.select("bucket", F.col("centre").alias("node"))
-        open_members = labelled.join(retired, ["bucket", "node"], "left_anti").select("bucket", "node", "n")
+    across = stored(_links_across(members, labels, sets, bands, rows, threshold), "links-across")
+    if not across.isEmpty():
+        stars = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+        labels = stored(components(stars.unionByName(across)), "labels")
 
     found = described.join(labels, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("label", "node").alias("label")
@@ -315,8 +348,8 @@ def near_groups(
     linked = found.filter("label IS NOT NULL")
     least = linked.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     alone = found.filter("label IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    every = linked.join(least, "label").select("doc_id", "n_shingles", "component_id").unionByName(alone)
-    return every.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    result = linked.join(least, "label").select("doc_id", "n_shingles", "component_id").unionByName(alone)
+    return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_repeats(docs: DataFrame) -> DataFrame:
