@@ -12,8 +12,9 @@ from pyspark.sql.types import DataType, DateType, DecimalType, TimestampNTZType,
 from silverbrook.plans.secured import secured_views
 from silverbrook.session import configure
 
-# Plans that call code by name, and leaves that hold no stored rows.
+# Expressions that call code by name, those that hold a plan, and leaves without stored rows.
 _REFLECTIVE = ("CallMethodViaReflection", "TryReflect", "ScalaUDF", "PythonUDF")
+_SUBQUERIES = ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery")
 _HARMLESS = ("OneRowRelation", "LocalRelation", "CTERelationRef")
 
 
@@ -82,9 +83,8 @@ def _refuse_in_plan(plan, views: set[str]) -> None:
         raise RefusedQuery(f"only the user's views can be read, not {kind}")
     if kind == "Generate" and _kind(children[0]) == "OneRowRelation":
         raise RefusedQuery("a table function needs rows of a view")
-    for inner in [*children, *_items(plan.innerChildren())]:
-        if hasattr(inner, "children") and "LogicalPlan" not in _kind(inner):
-            _refuse_in_plan(inner, views)
+    for child in children:
+        _refuse_in_plan(child, views)
     for expression in _items(plan.expressions()):
         for nested in _subqueries(expression):
             _refuse_in_plan(nested, views)
@@ -95,9 +95,6 @@ def _subqueries(expression) -> list:
     return own + [p for child in _items(expression.children()) for p in _subqueries(child)]
 
 
-_SUBQUERIES = ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery", "InSubquery")
-
-
 def query_as_user(
     spark: SparkSession,
     sql: str,
