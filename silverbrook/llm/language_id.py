@@ -10,8 +10,8 @@ does not grow with a text and windows of many texts go through the network
 together. The last window of a text overlaps the one before, whose bytes count
 once; a text shorter than a window is padded with spaces, which do not count.
 
-Training uses a bounded sample: ``TEXTS_PER_LANG`` labelled texts of each
-language, those drawn by a hash of their id, and ``WINDOWS_PER_TEXT``
+Training uses a bounded sample: ``TEXTS_PER_LANG`` labelled texts of each of the
+``MAX_LANGUAGES`` languages with the most, those drawn by a hash of their id, and ``WINDOWS_PER_TEXT``
 windows of each. The sample is drawn by Spark and fits the driver; prediction
 reads every byte of every text.
 
@@ -36,6 +36,7 @@ from silverbrook.llm.common import NO_ID
 UNKNOWN = "und"
 #: Bound of the training sample.
 TEXTS_PER_LANG = 400
+MAX_LANGUAGES = 1000
 WINDOWS_PER_TEXT = 8
 #: Bytes of a training window and of a window that is predicted.
 TRAIN_WINDOW = 48
@@ -295,11 +296,13 @@ def training_sample(docs: DataFrame, texts_per_lang: int = TEXTS_PER_LANG) -> Da
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
     ).select("lang", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text")
     # Drawn by a hash first, about twice as many as needed, so that a language of
-    # any size sends few rows to the task that ranks them.
+    # any size sends few rows to the task that ranks them. The counts have a row
+    # per language and are limited, so they may be sent to every task.
     counts = labelled.groupBy("lang").agg(F.count("*").alias("rows"))
+    counts = counts.orderBy(F.desc("rows"), "lang").limit(MAX_LANGUAGES)
     drawn = F.pmod(F.xxhash64("doc"), F.lit(2**40)) * F.col("rows") < F.lit(2**40 * 2.0 * texts_per_lang)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc"), "doc", F.xxhash64("text"))
-    ranked = labelled.join(counts, "lang").filter(drawn).withColumn("nth", F.row_number().over(order))
+    ranked = labelled.join(F.broadcast(counts), "lang").filter(drawn).withColumn("nth", F.row_number().over(order))
     return ranked.filter(F.col("nth") <= texts_per_lang).select("lang", "text")
 
 
