@@ -10,7 +10,9 @@ One hash per shingle gives the whole signature: the hash range is cut into
 borrows from a bin chosen by a hash of its own number and the attempt, until
 one is not empty (optimal densification). Bands of ``ROWS`` slots are bucket
 keys: a pair at the threshold of 0.85 meets in none of 32 bands of 6 with a
-chance of 3 in 10 million, and a closer pair less.
+chance of 3 in 10 million, and a closer pair less. The pipeline's stage takes
+pairs from 0.80 on as near copies; there 32 bands of 6 would miss 6 in 100,000,
+so it uses 40 bands of 5, which miss 1 in 8 million.
 
 A bucket links all its nodes to one centre: as many candidates as members, not
 all pairs. Candidates are confirmed on the full sets. A link between two
@@ -53,6 +55,10 @@ BANDS = 32
 ROWS = 6
 #: Linked when 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 85
+#: Threshold of the pipeline's stage, and bands for it.
+STAGE_THRESHOLD = 80
+STAGE_BANDS = 40
+STAGE_ROWS = 5
 #: Bytes of sets in a block of a bucket.
 BLOCK_BYTES = 4_000_000
 #: Deviations of an estimated similarity below the threshold that are still confirmed.
@@ -352,8 +358,11 @@ def near_groups(
     return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def drop_near_repeats(docs: DataFrame) -> DataFrame:
+def drop_near_repeats(
+    docs: DataFrame, bands: int = STAGE_BANDS, rows: int = STAGE_ROWS, threshold: int = STAGE_THRESHOLD
+) -> DataFrame:
     """The rows that stay, with all their columns: those of each group's smallest doc_id."""
     keep = fresh(docs, "keep_id")
-    stays = near_groups(docs).filter("kept").select(F.col("doc_id").alias(keep)).distinct()
+    groups = near_groups(docs, bands=bands, rows=rows, threshold=threshold)
+    stays = groups.filter("kept").select(F.col("doc_id").alias(keep)).distinct()
     return docs.join(stays, docs["doc_id"].eqNullSafe(stays[keep]), "left_semi")

@@ -1,8 +1,10 @@
 import random
 
+import corpus_pipeline
 import numpy as np
 from pyspark.sql import functions as F
 
+from silverbrook.llm.common import table
 from silverbrook.llm.components import components
 from silverbrook.llm.near_dedup import drop_near_repeats, near_groups, shingle_sets, signature
 
@@ -120,3 +122,43 @@ def test_components(spark):
     got = {r.node: r.label for r in components(frame).collect()}
     assert got == {x: root(x) for x in nodes}
     assert components(frame.filter(F.lit(False))).count() == 0
+
+
+def _similar(a, b):
+    a, b = shingles_by_hand(a), shingles_by_hand(b)
+    return 100 * len(a & b) / len(a | b)
+
+
+def test_the_stage_on_the_given_documents_against_all_pairs(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    ids, sets = zip(*((r.doc_id, shingles_by_hand(r.text)) for r in docs.collect()), strict=True)
+    least = dict(zip(ids, ids, strict=True))
+    pairs = [
+        (ids[i], ids[j])
+        for i, a in enumerate(sets)
+        for j, b in enumerate(sets[:i])
+        if a and b and 100 * len(a & b) >= 80 * len(a | b)
+    ]
+    for _ in ids:
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    out = corpus_pipeline.near(spark, docs, "").select("doc_id").collect()
+    assert {r.doc_id for r in out} == {d for d in ids if least[d] == d} < set(ids)
+
+
+def test_the_stage_takes_pairs_from_80_percent_on(spark):
+    random.seed(11)
+    words = iter(f"u{i}" for i in range(10**6))
+    rows, want = [], set()
+    # Sets of 4 n and 5 n shingles, one within the other: 0.80; with one shingle more, under it.
+    for n in (1, 2, 5, 17, 60):
+        for more in (0, 1):
+            long = [next(words) for _ in range(5 * n + 4 + more)]
+            pair = [" ".join(long), " ".join(long[: 4 * n + 4])]
+            assert (_similar(*pair) == 80) == (not more) and _similar(*pair) <= 80
+            want |= {len(rows), len(rows) + 1} if more else {len(rows)}
+            rows += [(len(rows) + i, text) for i, text in enumerate(pair)]
+    docs = spark.createDataFrame(random.sample(rows, len(rows)), "doc_id long, text string").repartition(3)
+    assert {r.doc_id for r in drop_near_repeats(docs).collect()} == want
+    # The query of the operator keeps its own threshold.
+    assert near_groups(docs).filter("kept").count() == len(rows)
