@@ -300,7 +300,9 @@ def training_sample(docs: DataFrame, texts_per_lang: int = TEXTS_PER_LANG) -> Da
     # per language and are limited, so they may be sent to every task.
     counts = labelled.groupBy("lang").agg(F.count("*").alias("rows"))
     counts = counts.orderBy(F.desc("rows"), "lang").limit(MAX_LANGUAGES)
-    drawn = F.pmod(F.xxhash64("doc"), F.lit(2**40)) * F.col("rows") < F.lit(2**40 * 2.0 * texts_per_lang)
+    # Shares are compared, as doubles: a product of hash and count leaves a long at 2^23 rows.
+    share = F.pmod(F.xxhash64("doc"), F.lit(2**40)).cast("double") / F.lit(2.0**40)
+    drawn = share < F.lit(2.0 * texts_per_lang) / F.col("rows")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc"), "doc", F.xxhash64("text"))
     ranked = labelled.join(F.broadcast(counts), "lang").filter(drawn).withColumn("nth", F.row_number().over(order))
     return ranked.filter(F.col("nth") <= texts_per_lang).select("lang", "text")

@@ -76,6 +76,12 @@ def test_nothing_is_learned_from_held_out_rows(spark, edge_docs, no_docs):
     assert lang.learn(no_docs) is None and lang.language_id(no_docs).count() == 0
 
 
+def test_a_language_of_more_than_2_to_the_23_rows_is_drawn(spark):
+    docs = spark.range(11_500_000).selectExpr("id AS doc_id", "'the and with' AS text", "'en' AS lang")
+    assert docs.filter(~lang.held_out(docs["doc_id"])).count() > 2**23
+    assert lang.training_sample(docs, 400).count() == 400
+
+
 # ---- repeated passages
 
 
