@@ -5,9 +5,10 @@ longer than one; what is left over is packed. Each task sorts the remainders by
 falling length and puts each into the open window with the least room that
 still holds it; a segment tree over remaining capacities finds that window in
 log(window) steps. Nothing is shuffled: a task packs what it reads, holds
-lengths and checksums only (not ids) and hands on its windows after
-``PACK_PIECES`` remainders, so memory is bounded and at most the last windows
-of a task are partly empty.
+lengths and checksums, and ids only where they are asked for. It packs what it
+holds after ``PACK_PIECES`` remainders or ``PACK_BYTES`` of ids and hands pieces
+on in batches of ``BATCH_BYTES`` of ids, so memory is bounded and at most the
+last windows of each packing are partly empty.
 
 Defined cases: a null or empty text is its end id alone; a window-long document
 is one full window; repeated rows are packed like any others; no documents give
@@ -31,8 +32,12 @@ from silverbrook.llm.tokens import encoder
 
 WINDOW = 1024
 END_ID = 0
-#: Remainders sorted and packed at a time.
+#: Remainders sorted and packed at a time, and bytes of their ids.
 PACK_PIECES = 200_000
+PACK_BYTES = 64_000_000
+#: Pieces handed on at a time, and bytes of their ids.
+BATCH_PIECES = 50_000
+BATCH_BYTES = 4_000_000
 #: Bits of a sequence id below the task's number.
 TASK_BITS = 40
 
@@ -111,17 +116,25 @@ def _packer(path: str, window: int, end_id: int, with_ids: bool):
         sequences = 0
         whole: list[tuple] = []
         rest: list[tuple] = []
+        held = 0
 
-        def packed() -> list[tuple]:
-            nonlocal sequences
+        def packed() -> Iterator[pa.RecordBatch]:
+            nonlocal sequences, held
             places = best_fit_decreasing([r[2] for r in rest], window)
-            out = [
-                (*r[:5], base + sequences + s, offset, *r[5:])
-                for r, (s, offset) in zip(rest, places, strict=True)
-            ]
+            out: list[tuple] = []
+            size = 0
+            for i, (s, offset) in enumerate(places):
+                r, rest[i] = rest[i], ()
+                out.append((*r[:5], base + sequences + s, offset, *r[5:]))
+                size += 4 * r[2]
+                if len(out) >= BATCH_PIECES or with_ids and size >= BATCH_BYTES:
+                    yield _batch(out, with_ids)
+                    out, size = [], 0
+            if out:
+                yield _batch(out, with_ids)
             sequences += 1 + max((s for s, _ in places), default=-1)
             rest.clear()
-            return out
+            held = 0
 
         for batch in batches:
             ids = batch.column(0).to_pylist()
@@ -137,12 +150,15 @@ def _packer(path: str, window: int, end_id: int, with_ids: bool):
                         sequences += 1
                     else:
                         rest.append((*row, *extra))
-            if len(rest) >= PACK_PIECES:
-                whole += packed()
-            if whole:
-                yield _batch(whole, with_ids)
-                whole = []
-        yield _batch(packed(), with_ids)
+                        held += len(piece)
+                    if len(whole) >= BATCH_PIECES or with_ids and 4 * window * len(whole) >= BATCH_BYTES:
+                        yield _batch(whole, with_ids)
+                        whole = []
+                if len(rest) >= PACK_PIECES or with_ids and held >= PACK_BYTES:
+                    yield from packed()
+        if whole:
+            yield _batch(whole, with_ids)
+        yield from packed()
 
     return pack
 

@@ -2,11 +2,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from silverbrook.llm import packing
 from silverbrook.llm.packing import best_fit_decreasing, pack_documents, sequences
 from silverbrook.llm.token_frames import FrameReader, find_documents, read_digests, write_tokens
 from silverbrook.llm.tokens import Encoder
@@ -121,3 +123,25 @@ def test_pieces_hold_every_id_once(edge_docs, clashing_docs, edge_rows, no_docs)
     assert sum(r.length for r in made) == sum(r.length for r in rows)
     assert pack_documents(clashing_docs, PATH).count() == len(rows)
     assert pack_documents(no_docs, PATH).count() == 0
+
+
+def test_batches_of_pieces_are_bounded_by_the_bytes_of_their_ids(monkeypatch):
+    monkeypatch.setattr(packing, "PACK_BYTES", 60_000, raising=False)
+    monkeypatch.setattr(packing, "BATCH_BYTES", 20_000, raising=False)
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda _: 0})())
+    texts = [" ".join(f"w{i % 97}" for i in range(n)) for n in range(0, 1500, 5)]
+    docs = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    batches = list(packing._packer(PATH, 1024, 0, True)(iter([docs])))
+    assert all(sum(map(len, b.column("ids").to_pylist())) < 20_000 + 4 * 1024 for b in batches)
+    rows = [r for b in batches for r in b.to_pylist()]
+    whole, rooms = {}, {}
+    for r in sorted(rows, key=lambda r: (r["doc_id"], r["start"])):
+        whole[r["doc_id"]] = whole.get(r["doc_id"], b"") + r["ids"]
+        rooms.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert [np.frombuffer(whole[d], "<u4").tolist() for d in range(len(texts))] == [[*ids_of(t), 0] for t in texts]
+    for parts in rooms.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 1024
