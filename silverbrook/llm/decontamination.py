@@ -7,14 +7,15 @@ in the passage unchanged (pigeonhole), so exact hits of all pieces, found in one
 walk over the text by an Aho-Corasick automaton, lose no passage. The text
 around a hit is verified with Myers' bit-parallel edit distance, one machine
 operation per character for the whole item; neighbouring hits of an item share
-one verification.
+one verification, which tells every passage that overlaps no closer one.
 
 Documents are scanned where they are read; nothing is shuffled. The items are
 sent to every task after their size was measured: up to ``BLOCK_CHARS`` at once,
 a larger benchmark in blocks, one pass each, whose results are stored.
 
 Defined cases: a null or empty document matches nothing; items whose plain form
-has under ``MIN_CHARS`` characters are no passages and match nothing; repeated
+has under ``MIN_CHARS`` characters match without edits and as whole words only;
+an item without any character matches nothing; repeated
 items are reported under each of their ids, repeated documents once per row;
 empty tables give no rows; other columns are ignored.
 """
@@ -22,6 +23,7 @@ empty tables give no rows; other columns are ignored.
 from __future__ import annotations
 
 import string
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -34,7 +36,7 @@ from silverbrook.llm.common import stored
 
 #: Edits allowed per character of an item.
 ERROR_RATE = 0.08
-#: Plain characters below which an item is too short to be told from chance.
+#: Plain characters below which an item with edits is too short to be told from chance.
 MIN_CHARS = 32
 #: Characters of items that are sent to the tasks at once.
 BLOCK_CHARS = 4_000_000
@@ -70,13 +72,12 @@ class Pattern:
         for i, c in enumerate(item):
             self.masks[c] |= 1 << i
 
-    def best_end(self, text: str) -> tuple[int, int]:
-        """The smallest distance of the item to any substring, and the first place where one ends."""
+    def scores(self, text: str) -> Iterator[int]:
+        """At each character the smallest distance of the item to a substring that ends there."""
         ones, top = (1 << self.length) - 1, 1 << (self.length - 1)
         up, down, score = ones, 0, self.length
-        best, end = score, 0
         masks = self.masks
-        for at, c in enumerate(text, 1):
+        for c in text:
             eq = masks.get(c, 0)
             x = eq | down
             diagonal = ((((x & up) + up) & ones) ^ up) | x
@@ -86,22 +87,32 @@ class Pattern:
                 score += 1
             elif down_row & top:
                 score -= 1
-                if score < best:
-                    best, end = score, at
+            yield score
             # A passage may start anywhere: the row above the item is all zeros.
             up_row = (up_row << 1) & ones
             down_row = (down_row << 1) & ones
             up = down_row | (ones & ~(x | up_row))
             down = up_row & x
+
+    def best_end(self, text: str) -> tuple[int, int]:
+        """The smallest distance of the item to any substring, and the first place where one ends."""
+        best, end = self.length, 0
+        for at, score in enumerate(self.scores(text), 1):
+            if score < best:
+                best, end = score, at
         return best, end
 
 
 class Matcher:
-    """The items of a block, their pieces in one automaton."""
+    """The items of a block, their pieces in one automaton.
+
+    Items of fewer characters than ``least`` must stand unchanged, between word bounds.
+    """
 
-    def __init__(self, items: list[tuple[str, list[int]]], rate: float) -> None:
+    def __init__(self, items: list[tuple[str, list[int]]], rate: float, least: int = 0) -> None:
         self.items = items
-        self.budgets = [budget(text, rate) for text, _ in items]
+        self.least = least
+        self.budgets = [budget(text, rate) if len(text) >= least else 0 for text, _ in items]
         self.patterns: dict[int, tuple[Pattern, Pattern]] = {}
         owners: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for number, (text, _) in enumerate(items):
@@ -120,7 +131,7 @@ class Matcher:
         return self.patterns[number]
 
     def find(self, text: str) -> Iterator[tuple[int, int, int, int]]:
-        """Per item within its budget: its number, distance, and the passage's start and end."""
+        """Passages of items within their budgets, an item's closest last: its number, distance, start and end."""
         if not self.items or not text:
             return
         starts: dict[int, set[int]] = defaultdict(set)
@@ -128,13 +139,18 @@ class Matcher:
             for number, at in places:
                 starts[number].add(end + 1 - length - at)
         for number, begun in starts.items():
-            found = self._verify(number, sorted(begun), text)
-            if found is not None:
-                yield number, *found
-
-    def _verify(self, number: int, begun: list[int], text: str) -> tuple[int, int, int] | None:
+            length = len(self.items[number][0])
+            if length < self.least:
+                whole = (a for a in sorted(begun) if text[a - 1 : a] in ("", " ") and text[a + length :][:1] in ("", " "))
+                found = [(0, a, a + length) for a in whole]
+            else:
+                found = sorted(set(self._verify(number, sorted(begun), text)), key=lambda x: (-x[0], x[1:]))
+            for passage in found:
+                yield number, *passage
+
+    def _verify(self, number: int, begun: list[int], text: str) -> Iterator[tuple[int, int, int]]:
         k, item = self.budgets[number], self.items[number][0]
-        best = None
+        forward, backward = self._pattern(number)
         at = 0
         while at < len(begun):
             low = high = begun[at]
@@ -142,17 +158,22 @@ class Matcher:
             while at < len(begun) and begun[at] <= high + 2 * k + 1:
                 high = begun[at]
                 at += 1
-            window = text[max(0, low - k) : high + len(item) + k]
-            if len(window) < len(item) - k:
-                continue
-            forward, backward = self._pattern(number)
-            distance, end = forward.best_end(window)
-            if distance <= k and (best is None or distance < best[0]):
+            first = max(0, low - k)
+            window = text[first : high + len(item) + k]
+            ends = sorted((score, end) for end, score in enumerate(forward.scores(window), 1) if score <= k)
+            taken: list[tuple[int, int]] = []
+            for distance, end in ends:
+                # Any passage that ends here has len(item) - k characters at least.
+                place = bisect_left(taken, (end,))
+                before = taken[place - 1 : place]
+                if before and before[0][1] > end - max(1, len(item) - k):
+                    continue
                 # The same walk backwards from that end finds where the passage starts.
-                _, length = backward.best_end(window[:end][::-1])
-                end += max(0, low - k)
-                best = distance, end - length, end
-        return best
+                _, length = backward.best_end(window[max(0, end - len(item) - k) : end][::-1])
+                if before and before[0][1] > end - length:
+                    continue
+                taken.insert(place, (end - length, end))
+                yield distance, first + end - length, first + end
 
 
 def _scanner(items: list[tuple[str, list[int]]], rate: float):
@@ -160,7 +181,7 @@ def _scanner(items: list[tuple[str, list[int]]], rate: float):
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not held:
-            held.append(Matcher(items, rate))
+            held.append(Matcher(items, rate, MIN_CHARS))
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -184,7 +205,7 @@ def _plain_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, list[int]]]]:
     """The items' plain texts and ids, in blocks of a bounded size."""
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-    items = items.mapInArrow(_plain_items, "item_id long, text string").filter(F.length("text") >= MIN_CHARS)
+    items = items.mapInArrow(_plain_items, "item_id long, text string").filter("text <> ''")
     items = stored(items.groupBy("text").agg(F.array_sort(F.collect_set("item_id")).alias("ids")), "items")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-2 * chars // BLOCK_CHARS) if chars > BLOCK_CHARS else 1
@@ -194,10 +215,9 @@ def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, list[int]]]]:
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
-    """(doc_id, item_id, distance, passage_start, passage_end) of every item within its budget in a document.
+    """(doc_id, item_id, distance, passage_start, passage_end) of every passage within its item's budget.
 
-    Places count characters of the document's plain form; of several passages
-    of one item in a document the closest is told.
+    Places count characters of the document's plain form.
     """
     rows = docs.select("doc_id", F.col("text").cast("string"))
     every: DataFrame | None = None
@@ -217,7 +237,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR
 
         def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not held:
-                held.append(Matcher(items, rate))
+                held.append(Matcher(items, rate, MIN_CHARS))
             for batch in batches:
                 texts = map(plain, batch.column("text").to_pylist())
                 free = [next(held[0].find(t), None) is None for t in texts]

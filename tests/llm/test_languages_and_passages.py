@@ -223,3 +223,25 @@ def test_passages_edge_cases(spark, benchmark, edge_docs, clashing_docs, no_docs
     kept = drop_contaminated(clashing_docs, benchmark)
     assert kept.columns == clashing_docs.columns and kept.count() == clashing_docs.count()
     assert plain(" A,b\t\nC ") == "a b c"
+
+
+def test_short_items_and_every_passage_of_an_item(spark, benchmark):
+    filler = " ".join(f"filler{i}" for i in range(50))
+    near = ITEM.replace("many", "mny")
+    rows = [
+        (0, f"{filler} Too, short! {filler} too short"),
+        (1, f"{filler} too shorty, into short, too  long"),
+        (2, f"{ITEM} {filler} {near} {ITEM}"),
+        (3, filler),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.distance, r.passage_start, r.passage_end) for r in find_passages(docs, benchmark).collect())
+    item, text = plain(ITEM), plain(filler)
+    at = len(item) + 1 + len(text) + 1
+    end = at + len(item) - 1
+    places = [(0, 0, len(item)), (0, end + 1, end + 1 + len(item)), (1, at, end)]
+    first = len(text) + 1
+    again = first + 10 + len(text) + 1
+    want = [(0, 4, 0, first, first + 9), (0, 4, 0, again, again + 9)]
+    assert got == sorted(want + [(2, i, *p) for i in (1, 2) for p in places])
+    assert sorted(r.doc_id for r in drop_contaminated(docs, benchmark).collect()) == [1, 3]
