@@ -18,12 +18,16 @@ from silverbrook.llm.packing import pack_documents
 from silverbrook.llm.queries import tokenizer_file
 
 #: Pooled probability below which no language is taken as known: less sure than
-#: the documents of any one language are, more than an even choice among four.
+#: the documents of any one language are, more than an even choice among four
+#: (with more learned languages it falls in proportion).
 MIN_SCORE = 0.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or in no language that the labelled ones teach, go."""
+    """Documents without letters, or in no language that the labelled ones teach, go.
+
+    Where no labelled document teaches a language, all with letters stay.
+    """
     return documents_in_known_languages(docs, learn(docs), MIN_SCORE)
 
 

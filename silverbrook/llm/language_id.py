@@ -46,6 +46,8 @@ UNITS = 8
 STEPS = 160
 BATCH = 256
 RATE = 0.02
+#: Learned languages for which a least score is given.
+SCORED_LANGUAGES = 4
 #: Windows that go through the network together.
 WINDOWS_AT_ONCE = 2048
 
@@ -338,12 +340,22 @@ def language_id(docs: DataFrame) -> DataFrame:
 
 
 def documents_in_known_languages(docs: DataFrame, network: Network | None, min_score: float) -> DataFrame:
-    """The rows, with all their columns, whose language is known with at least ``min_score``."""
+    """The rows, with all their columns, whose language is known with at least ``min_score``.
+
+    ``min_score`` holds for up to ``SCORED_LANGUAGES`` learned languages and falls
+    in proportion beyond, as an even choice does. Where no language was learned
+    nothing is known against a text: all rows with a letter stay.
+    """
+    if network is not None:
+        min_score *= min(1.0, SCORED_LANGUAGES / len(network.languages))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = classify(network, batch.column("text").to_pylist())
-            known = [lang != UNKNOWN and score >= min_score for lang, score in found]
+            texts = batch.column("text").to_pylist()
+            if network is None:
+                known = [has_letter(text or "") for text in texts]
+            else:
+                known = [lang != UNKNOWN and score >= min_score for lang, score in classify(network, texts)]
             yield batch.filter(pa.array(known, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -1,10 +1,12 @@
 import random
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from silverbrook.llm import language_id as lang
 from silverbrook.llm import substring_dedup as sub
@@ -82,6 +84,22 @@ def test_a_language_of_more_than_2_to_the_23_rows_is_drawn(spark):
     assert lang.training_sample(docs, 400).count() == 400
 
 
+def test_documents_stay_where_nothing_or_many_languages_were_learned(spark):
+    docs = _docs(spark, 40)
+    ids = {r.doc_id for r in docs.collect()} - {40, 41, 42}
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.language(spark, unlabelled, "")
+    assert {r.doc_id for r in kept.collect()} == ids and kept.columns == unlabelled.columns
+    # One of ten languages at about three times an even choice.
+    net = lang.Network.random([f"l{i}" for i in range(10)], 2)
+    net.output[:], net.bias[:] = 0, 0
+    net.bias[3] = np.log(3.9)
+    assert 0.25 < lang.classify(net, ["some text"])[0][1] < 0.4
+    assert {r.doc_id for r in lang.documents_in_known_languages(docs, net, 0.4).collect()} == ids
+    net.bias[3] = 0
+    assert lang.documents_in_known_languages(docs, net, 0.4).count() == 0
+
+
 # ---- repeated passages
 
 
