@@ -19,7 +19,7 @@ def shingles_by_hand(text, n=5):
     return frozenset(tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1)))
 
 
-def groups_by_hand(rows):
+def groups_by_hand(rows, threshold=85):
     """Component of each row by comparing all pairs; missing ids come last."""
     sets = [shingles_by_hand(t) for _, t in rows]
     parent = list(range(len(rows)))
@@ -32,7 +32,7 @@ def groups_by_hand(rows):
     for i, a in enumerate(sets):
         for j in range(i):
             b = sets[j]
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= threshold * len(a | b):
                 parent[root(i)] = root(j)
     least = {}
     for i, (doc, _) in enumerate(rows):

@@ -135,7 +135,7 @@ def test_pipeline_stages_against_brute_force(spark):
         elif name == "exact_dedup":
             want = set({" ".join((t or "").split()) + "|" * (t[:1].isspace()) + "." * (t[-1:].isspace()): d for d, t in sorted(before.items(), reverse=True)}.values())
         elif name == "near_dedup":
-            want = {int(d) for d, _, c in groups_by_hand(list(before.items())) if d == c}
+            want = {int(d) for d, _, c in groups_by_hand(list(before.items()), 80) if d == c}
         else:
             items = [" ".join(r.text.split()).lower() for r in table(spark, sf_dir, "benchmark").collect()]
             want = {d for d, t in before.items() if not any(i in " ".join(t.split()).lower() for i in items)}
