@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and the SQL of those that SQL can express."""
+"""The registered queries of the operators, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -17,11 +17,16 @@ from silverbrook.llm.near_dedup import near_groups
 from silverbrook.llm.packing import pack_documents
 from silverbrook.llm.sharding import shard
 from silverbrook.llm.substring_dedup import repeated_passages
+from silverbrook.llm.token_counts import token_counts
 from silverbrook.llm.token_frames import read_digests, write_tokens
 from silverbrook.llm.url_filters import filter_captures, url_host
 from silverbrook.session import shared_dir
 
 
+#: Tokens beyond which a document is too long for the model's context.
+CONTEXT = 2048
+
+
 def tokenizer_file() -> str:
     """The byte-level vocabulary that the registered queries use."""
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -122,6 +127,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_frames": op2_token_frames,
@@ -133,6 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_sharding": op9_sharding,
     "op10_decontamination": op10_decontamination,
+    "op12_token_counts": op12_token_counts,
 }
 
 ORACLES: dict[str, str] = {
