@@ -16,6 +16,7 @@ from silverbrook.llm.line_dedup import line_dedup
 from silverbrook.llm.near_dedup import near_groups
 from silverbrook.llm.packing import pack_documents
 from silverbrook.llm.sharding import shard
+from silverbrook.llm.spelling import spelling_forms
 from silverbrook.llm.substring_dedup import repeated_passages
 from silverbrook.llm.token_counts import token_counts
 from silverbrook.llm.token_frames import read_digests, write_tokens
@@ -132,6 +133,10 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_forms(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_frames": op2_token_frames,
@@ -144,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_decontamination": op10_decontamination,
     "op12_token_counts": op12_token_counts,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
