@@ -21,6 +21,7 @@ from silverbrook.llm.substring_dedup import repeated_passages
 from silverbrook.llm.token_counts import token_counts
 from silverbrook.llm.token_frames import read_digests, write_tokens
 from silverbrook.llm.url_filters import filter_captures, url_host
+from silverbrook.llm.whitening import whiten
 from silverbrook.session import shared_dir
 
 
@@ -128,6 +129,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whiten(table(spark, sf_dir, "embeddings"))
+    # A long holds it up to some ten million vectors like these; beyond that it is null here.
+    return white.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return counted.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
@@ -148,6 +155,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_sharding": op9_sharding,
     "op10_decontamination": op10_decontamination,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_token_counts": op12_token_counts,
     "op13_spelling_variants": op13_spelling_variants,
 }
