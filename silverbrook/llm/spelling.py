@@ -16,15 +16,16 @@ What keeps the frontier small, without losing a pair:
 - An edit lies in the second half of a word or of the reversed word. Every word
   is in the trie forwards and backwards, and edits are tried from the middle on
   only: the crowded nodes near the root are never branched at.
-- A subtree with a single word is not walked: its edge holds the word, and the
-  rest is compared at once. A word alone below a node has nothing to find there.
+- A subtree with a single word is not walked: its edge holds the word's 64-bit
+  hash, and the state's word as it would then be is compared with it at once. A
+  word alone below a node has nothing to find there.
 - An edge tells the code points that may follow, so a state with an edit that
   cannot go on is not stored.
 
-A node has at most one edge for each of ``LETTERS`` and the end, hence a word few
-states at a level, whose number is bounded by its length and letters. A node that
-many words pass through sits in a plain inner join, which adaptive execution
-splits. Each level is stored, so a lost executor repeats tasks of one level.
+A node has at most one edge for each of the 90 letters and the end, hence a word
+few states at a level, whose number is bounded by its length and the letters. A
+node that many words pass through sits in a plain inner join, which adaptive
+execution splits. Each level is stored, so a lost executor repeats tasks of one level.
 
 Words of over ``LONG`` code points, which would need as many levels, are paired
 by hashes of the word without one code point, a row for each place, and then
@@ -49,7 +50,6 @@ from silverbrook.llm.common import stored, text_or_empty
 # The code points of words, the share of damaged runs (one in so
 # many), and the words and forms that count.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LETTERS = LOWER + "".join(map(chr, range(0xC0, 0x100)))
 DAMAGED = 31
 LEAST_LENGTH = 7
 LEAST_COUNT = 2
@@ -60,8 +60,6 @@ LONG = 64
 
 #: Stand before a word, before a reversed word and after either; no letters, and END is before all of them.
 FORWARD, BACKWARD, END = ">", "<", " "
-#: Letters told by one number.
-BITS = 60
 #: Base of the hash of long words.
 BASE = 6364136223846793005
 
@@ -88,55 +86,54 @@ def word_counts(docs: DataFrame, least_count: int = LEAST_COUNT) -> DataFrame:
     return counts.filter(F.col("n") >= least_count)
 
 
-def _at(word: str | Column, position: Column) -> Column:
-    """The code point at a position (from 0); END behind the last one, nothing behind that."""
-    return F.substring(F.concat(word, F.lit(END)), position + 1, F.lit(1))
+def _at(word: str, position: str | Column) -> Column:
+    """The code point at a position (from 0) of a marked word; nothing behind its end."""
+    place = F.col(position) if isinstance(position, str) else position
+    return F.substring(word, place + 1, F.lit(1))
 
 
-def _bits(letter: Column) -> tuple[Column, Column]:
-    """A letter as one bit of two numbers; none for no letter."""
-    place = F.when(letter != "", F.instr(F.lit(END + LETTERS), letter) - 1)
-    one = F.lit(1).cast("long")
-    low = F.when(place < BITS, F.call_function("shiftleft", one, place))
-    high = F.when(place >= BITS, F.call_function("shiftleft", one, place - BITS))
-    return F.coalesce(low, F.lit(0).cast("long")), F.coalesce(high, F.lit(0).cast("long"))
+def _bit(letter: Column) -> Column:
+    """A letter as one of 64 bits, which some letters share; no bit for no letter."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(letter) % 64)
+    return F.when(letter != "", bit).otherwise(F.lit(0).cast("long"))
 
 
 def _both_ways(words: DataFrame) -> DataFrame:
-    """Each word forwards and backwards, with its mark, and the place from which on edits are tried."""
+    """Each word forwards and backwards, with its marks, and the place from which on edits are tried."""
     half = F.length("word") / 2
     forward = words.select(
-        F.concat(F.lit(FORWARD), "word").alias("word"), (1 + F.floor(half)).cast("int").alias("start")
+        F.concat(F.lit(FORWARD), "word", F.lit(END)).alias("word"), (1 + F.floor(half)).cast("int").alias("start")
     )
     backward = words.select(
-        F.concat(F.lit(BACKWARD), F.reverse("word")).alias("word"), (1 + F.ceil(half)).cast("int").alias("start")
+        F.concat(F.lit(BACKWARD), F.reverse("word"), F.lit(END)).alias("word"),
+        (1 + F.ceil(half)).cast("int").alias("start"),
     )
     return forward.unionByName(backward)
 
 
 def _edges(frontier: DataFrame, depth: int) -> DataFrame:
-    """(node, letter, leaf, low, high) of the level's edges.
+    """(node, letter, leaf, follow) of the level's edges.
 
-    ``leaf`` is the word of an edge with a single one below; the two numbers
-    tell the letters that follow the edge.
+    ``leaf`` is the hash of the word of an edge with a single one below;
+    ``follow`` has the bits of the letters that follow the edge. Both are
+    numbers, so the aggregation needs no sort.
     """
-    low, high = _bits(_at("word", F.lit(depth + 1)))
     steps = frontier.filter("edits = 0").select(
-        "node", _at("word", F.lit(depth)).alias("letter"), "word", low.alias("low"), high.alias("high")
+        "node",
+        _at("word", F.lit(depth)).alias("letter"),
+        F.xxhash64("word").alias("hash"),
+        _bit(_at("word", F.lit(depth + 1))).alias("bit"),
     )
     found = steps.groupBy("node", "letter").agg(
-        F.count("*").alias("words"),
-        F.min("word").alias("some"),
-        F.bit_or("low").alias("low"),
-        F.bit_or("high").alias("high"),
+        F.count("*").alias("words"), F.bit_xor("hash").alias("hash"), F.bit_or("bit").alias("follow")
     )
-    return found.select("node", "letter", F.when(F.col("words") == 1, F.col("some")).alias("leaf"), "low", "high")
+    return found.select("node", "letter", F.when(F.col("words") == 1, F.col("hash")).alias("leaf"), "follow")
 
 
 def _step(frontier: DataFrame, depth: int) -> DataFrame:
-    """The states one level below ``depth``, and those that came to a ``leaf``, another word, with their rest."""
-    position, letter = F.col("position"), F.col("letter")
-    own, then = _at("word", position), _at("word", position + 1)
+    """The states one level below ``depth``, and those that came to another word, the only one there (``other``)."""
+    position, letter, own, then = (F.col(c) for c in ("position", "letter", "own", "then"))
+    states = frontier.withColumns({"own": _at("word", position), "then": _at("word", position + 1)})
     may_edit = (F.col("edits") == 0) & (F.col("start") <= depth)
     matches = letter == own
     # Of equal code points in a row only the last is passed over: the others give the same word.
@@ -153,23 +150,23 @@ def _step(frontier: DataFrame, depth: int) -> DataFrame:
             F.when(replaces, moved(position + 1, F.lit(1))),
         )
     )
-    joined = frontier.join(_edges(frontier, depth), "node").filter(matches | passes | replaces)
-    states = joined.select(
-        "word", "start", F.concat("node", "letter").alias("node"), "leaf", "low", "high", F.inline(moves)
+    joined = states.join(_edges(frontier, depth), "node").filter(matches | passes | replaces)
+    found = joined.select(
+        "word", "start", F.concat("node", "letter").alias("node"), "leaf", "follow", F.inline(moves)
     )
-    low, high = _bits(_at("word", F.col("position")))
-    follows = F.col("low").bitwiseAND(low) + F.col("high").bitwiseAND(high) != 0
+    follows = F.col("follow").bitwiseAND(_bit(_at("word", "position"))) != 0
     goes_on = F.col("leaf").isNull() & ((F.col("edits") == 0) | follows)
     rest = F.substring("word", F.col("position") + 1, F.length("word"))
-    ends = (F.col("edits") == 1) & (rest == F.substring("leaf", F.lit(depth + 2), F.length("leaf")))
-    return states.filter(goes_on | ends).select("word", "start", "position", "node", "edits", "leaf")
+    ends = (F.col("edits") == 1) & (F.xxhash64(F.concat("node", rest)) == F.col("leaf"))
+    other = F.when(F.col("leaf").isNotNull(), F.concat("node", rest))
+    return found.filter(goes_on | ends).select("word", "start", "position", "node", "edits", other.alias("other"))
 
 
 def trie_pairs(words: DataFrame) -> DataFrame:
     """Pairs (word, other) of words of at most ``LONG`` code points, one edit apart, some of them twice."""
     both = _both_ways(words.select("word").filter(F.length("word") <= LONG))
     first = both.agg(F.min("start")).first()[0]
-    pairs = both.select("word", F.col("word").alias("leaf")).filter("false")
+    pairs = both.select("word", F.col("word").alias("other")).filter("false")
     if first is not None:
         frontier = both.select(
             "word",
@@ -180,16 +177,16 @@ def trie_pairs(words: DataFrame) -> DataFrame:
         )
         for depth in range(first, LONG + 2):
             moved = stored(_step(frontier, depth), "frontier")
-            pairs = pairs.unionByName(moved.filter("leaf IS NOT NULL").select("word", "leaf"))
-            frontier = moved.filter("leaf IS NULL").drop("leaf")
+            pairs = pairs.unionByName(moved.filter("other IS NOT NULL").select("word", "other"))
+            frontier = moved.filter("other IS NULL").drop("other")
             if frontier.isEmpty():
                 break
 
     def plain(marked: str) -> Column:
-        rest = F.substring(marked, F.lit(2), F.length(marked))
-        return F.when(F.startswith(F.col(marked), F.lit(FORWARD)), rest).otherwise(F.reverse(rest))
+        bare = F.substring(marked, F.lit(2), F.length(marked) - 2)
+        return F.when(F.startswith(F.col(marked), F.lit(FORWARD)), bare).otherwise(F.reverse(bare))
 
-    return pairs.select(plain("word").alias("word"), plain("leaf").alias("other"))
+    return pairs.select(plain("word").alias("word"), plain("other").alias("other"))
 
 
 def _without_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
