@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from py4j.java_gateway import is_instance_of
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, DecimalType, TimestampNTZType, TimestampType
@@ -12,8 +13,20 @@ from pyspark.sql.types import DataType, DateType, DecimalType, TimestampNTZType,
 from silverbrook.plans.secured import secured_views
 from silverbrook.session import configure
 
-# Expressions that call code by name, those that hold a plan, and leaves without stored rows.
-_REFLECTIVE = ("CallMethodViaReflection", "TryReflect", "ScalaUDF", "PythonUDF")
+# What a user's SQL may consist of. Spark's own expressions are
+# taken if they are deterministic; what has no input of its own, where things
+# from outside would come in, must be named here. Then expressions that hold a
+# plan, and relations without stored rows.
+_BUILT_IN = "org.apache.spark.sql.catalyst.expressions."
+_USER_DEFINED = _BUILT_IN + "UserDefinedExpression"
+_LEAVES = (
+    "AttributeReference", "OuterReference", "Literal", "NamedLambdaVariable", "CommonExpressionRef",
+    "CurrentDate", "CurrentTimestamp", "CurrentTime", "LocalTimestamp", "Now",
+    "CurrentRow", "UnboundedPreceding", "UnboundedFollowing",
+    "RowNumber", "Rank", "DenseRank", "PercentRank", "CumeDist",
+    "Pi", "EulerNumber",
+    "CreateArray", "CreateMap", "CreateNamedStruct", "Concat",
+)
 _SUBQUERIES = ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery")
 _HARMLESS = ("OneRowRelation", "LocalRelation", "CTERelationRef")
 
@@ -60,15 +73,26 @@ def _kind(node) -> str:
     return node.getClass().getSimpleName().rstrip("$")
 
 
-def _refuse_in_expression(expression) -> None:
-    kind = _kind(expression)
-    if kind in _REFLECTIVE:
-        raise RefusedQuery(f"calls into the engine are not allowed: {expression.toString()[:80]}")
-    for child in _items(expression.children()):
-        _refuse_in_expression(child)
+def _refuse_in_expression(spark: SparkSession, expression) -> None:
+    """Only Spark's own expressions over the views' columns, literals and the current time."""
+    children = _items(expression.children())
+    allowed = (
+        expression.getClass().getName().startswith(_BUILT_IN)
+        and expression.deterministic()
+        and not is_instance_of(spark.sparkContext._gateway, expression, _USER_DEFINED)
+        and (bool(children) or _kind(expression) in (*_LEAVES, *_SUBQUERIES))
+    )
+    if not allowed:
+        raise RefusedQuery(f"{expression.toString()[:80]} is not allowed")
+    for child in children:
+        _refuse_in_expression(spark, child)
+
 
+def _reads_a_view(plan) -> bool:
+    return _kind(plan) == "View" or any(map(_reads_a_view, _items(plan.children())))
 
-def _refuse_in_plan(plan, views: set[str]) -> None:
+
+def _refuse_in_plan(spark: SparkSession, plan, views: set[str]) -> None:
     """Walk an analysed plan; inside a view of the user's nothing is looked at."""
     kind = _kind(plan)
     if kind == "View":
@@ -76,18 +100,17 @@ def _refuse_in_plan(plan, views: set[str]) -> None:
         if name not in views or not plan.isTempView():
             raise RefusedQuery(f"{name} is not one of the user's views")
         return
-    for expression in _items(plan.expressions()):
-        _refuse_in_expression(expression)
     children = _items(plan.children())
     if not children and kind not in _HARMLESS:
         raise RefusedQuery(f"only the user's views can be read, not {kind}")
-    if kind == "Generate" and _kind(children[0]) == "OneRowRelation":
+    if kind == "Generate" and not _reads_a_view(plan):
         raise RefusedQuery("a table function needs rows of a view")
     for child in children:
-        _refuse_in_plan(child, views)
+        _refuse_in_plan(spark, child, views)
     for expression in _items(plan.expressions()):
+        _refuse_in_expression(spark, expression)
         for nested in _subqueries(expression):
-            _refuse_in_plan(nested, views)
+            _refuse_in_plan(spark, nested, views)
 
 
 def _subqueries(expression) -> list:
@@ -108,9 +131,11 @@ def query_as_user(
     and ``answer_as_user`` tells whether rows were cut.
 
     ``load`` builds the marts and the entitlements in the session it is given.
-    The SQL stands in a subquery, so commands are refused, and it cannot name
-    files; the marts themselves must not be in a catalog the session shares
-    with others. Results hold only permitted rows; as in any engine without an
+    The SQL stands in a subquery, so commands are refused, it cannot name
+    files, and ``${...}`` in it stands for itself and not for a setting or the
+    environment. It may use Spark's own deterministic expressions over its
+    views and nothing that tells of the host; the marts themselves must not be
+    in a catalog the session shares with others. Results hold only permitted rows; as in any engine without an
     optimisation barrier, a predicate of the user's own may be evaluated
     before the row filter.
     """
@@ -139,8 +164,9 @@ def answer_as_user(
     for name, view in views.items():
         view.createOrReplaceTempView(name)
     session.conf.set("spark.sql.runSQLOnFiles", "false")
+    session.conf.set("spark.sql.variable.substitute", "false")
     result = session.sql(f"SELECT * FROM (\n{sql.strip().rstrip(';')}\n)")
-    _refuse_in_plan(result._jdf.queryExecution().analyzed(), set(views))
+    _refuse_in_plan(session, result._jdf.queryExecution().analyzed(), set(views))
     cut = False
     if max_rows is not None:
         cut = not result.offset(max_rows).isEmpty()

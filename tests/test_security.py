@@ -191,6 +191,15 @@ def test_as_user_refuses_what_reaches_beyond_the_views(ask):
         "SELECT * FROM range(1000000)",
         "SELECT * FROM explode(sequence(1, 1000000))",
         "SELECT explode(sequence(1, 1000000))",
+        "SELECT explode(sequence(1, 1000000)) FROM (SELECT 1)",
+        "SELECT explode(sequence(1, x)) FROM (VALUES (1000000)) v(x)",
+        "SELECT t.i FROM (SELECT 1) LATERAL VIEW explode(sequence(1, 1000000)) t AS i",
+        "SELECT current_user(), user(), session_user() FROM sv_fact_orders",
+        "SELECT current_database(), current_catalog() FROM sv_fact_orders",
+        "SELECT version() FROM sv_fact_orders",
+        "SELECT input_file_name() FROM sv_fact_orders",
+        "SELECT uuid(), rand(), spark_partition_id() FROM sv_fact_orders",
+        "SELECT order_id FROM sv_fact_orders ORDER BY rand()",
         "WITH r AS (SELECT * FROM range(5)) SELECT * FROM r",
     ):
         with pytest.raises(RefusedQuery):
@@ -199,6 +208,31 @@ def test_as_user_refuses_what_reaches_beyond_the_views(ask):
     assert ask(fine).first()[0] == 3
 
 
+def test_as_user_reads_no_setting_and_no_environment(spark, ask, monkeypatch):
+    monkeypatch.setenv("SECRET_OF_THE_HOST", "secret")
+    spark.conf.set("spark.some.secret", "secret")
+    for name in ("env:HOME", "env:SECRET_OF_THE_HOST", "system:user.dir", "system:java.home", "spark.some.secret", "spark.checkpoint.dir"):
+        # Within quotes it stands for itself; elsewhere it is no SQL.
+        assert ask(f"SELECT '${{{name}}}' AS said FROM sv_fact_orders").first().said == f"${{{name}}}"
+        with pytest.raises(PySparkException):
+            ask(f"SELECT ${{{name}}} FROM sv_fact_orders")
+    spark.conf.unset("spark.some.secret")
+
+
+def test_as_user_may_call_functions_of_their_rows(ask):
+    fine = """
+        SELECT upper(status) AS s, count(*) AS n, sum(amount) FILTER (WHERE order_id > 0) AS total,
+          max(current_date()) >= date'2024-01-01' AS now, array_size(array()) AS none,
+          max(transform(array(order_id), i -> i + 1)[0]) AS next, avg(nullif(amount, 0)) AS mean
+        FROM sv_fact_orders WHERE status LIKE 'p%' OR status IN ('a', 'b') OR order_date < now()
+        GROUP BY ALL ORDER BY 1 NULLS LAST"""
+    assert ask(fine).count() > 0
+    ranked = "SELECT * FROM (SELECT order_id, row_number() OVER (ORDER BY order_id) AS nth, rank() OVER (ORDER BY status) AS r, lag(order_id) OVER (ORDER BY order_id) AS before FROM sv_fact_orders) WHERE nth <= 2"
+    assert ask(ranked).count() == 2
+    grouped = "SELECT status, grouping(status) AS g, ceil(sum(amount)) AS c FROM sv_fact_orders GROUP BY ROLLUP (status)"
+    assert ask(grouped).count() > 1
+
+
 def test_as_user_sees_only_own_views(ask, spark, folder, marts):
     marts["fact_orders"].createOrReplaceTempView("secret_orders")
     for sql in (
