@@ -46,7 +46,6 @@ from silverbrook.streaming.landing import start_ingest, stream_event_store, stre
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-BUCKETS = 8
 # The entities that events are stored under.
 STORED = ("error", "signup")
 
@@ -313,7 +312,7 @@ def run_clicks_projection_stream(inp: Inputs) -> DataFrame:
 @query
 def run_clicks_dedup_stream(inp: Inputs) -> DataFrame:
     base = shared_dir(inp.spark, "clicks")
-    table = VersionedTable(inp.spark, f"{base}/clicks", ["click_id"], BUCKETS)
+    table = VersionedTable(inp.spark, f"{base}/clicks", ["click_id"])
     _as_landing_arrives(
         inp, base, lambda landed: streams.stream_clicks_latest(landed, table, f"{base}/ckpt", interval=None)
     )
@@ -399,16 +398,12 @@ def run_merge_upsert(inp: Inputs) -> DataFrame:
 
 @query
 def merge_upsert_table(inp: Inputs) -> DataFrame:
-    """The same merges on a stored table: twice each, which changes nothing, and with other buckets in between."""
-    path, keys = shared_dir(inp.spark, "merge"), ["user_id", "k"]
-    table = VersionedTable(inp.spark, path, keys, BUCKETS)
+    """The same merges on a stored table, twice each, which changes nothing: large batches are folded, others kept aside."""
+    table = VersionedTable(inp.spark, shared_dir(inp.spark, "merge"), ["user_id", "k"])
     table.replace(_per_click(inp, MERGE_ORDER[0]))
     for event_type in MERGE_ORDER[1:]:
         for _ in range(2):
             materialize(_per_click(inp, event_type), "clicks", "incremental", table)
-        if event_type == "error":
-            table.rebucket(BUCKETS // 2)
-            table = VersionedTable(inp.spark, path, keys)
     return table.read()
 
 
@@ -432,7 +427,7 @@ def stage_incremental(inp: Inputs) -> DataFrame:
     """A first load of older events, then an incremental one over all of them, twice."""
     spec = ENTITIES["payments"]
     base = shared_dir(inp.spark, "staging")
-    table = VersionedTable(inp.spark, f"{base}/payments", spec.keys, BUCKETS, spec.time_column)
+    table = VersionedTable(inp.spark, f"{base}/payments", spec.keys, spec.time_column)
     inp.entity_raw("payments", "payment").write.parquet(f"{base}/raw")
     raw = inp.spark.read.parquet(f"{base}/raw")
     staging.stage_entity(raw.filter(F.col("ce_time") < F.lit(date(1998, 7, 1))), spec, table)
@@ -446,7 +441,7 @@ def _stage_in_slices(inp: Inputs, years: Sequence[tuple[int, int]]) -> Versioned
     base = shared_dir(inp.spark, "staging")
     inp.entity_raw("payments", "payment").write.parquet(f"{base}/all")
     raw = inp.spark.read.parquet(f"{base}/all")
-    table = VersionedTable(inp.spark, f"{base}/payments", spec.keys, BUCKETS, spec.time_column)
+    table = VersionedTable(inp.spark, f"{base}/payments", spec.keys, spec.time_column)
     for first, last in years:
         raw.filter(F.year("ce_time").between(first, last)).write.mode("append").parquet(f"{base}/raw")
         stream = inp.spark.readStream.schema(raw.schema).parquet(f"{base}/raw")
@@ -465,7 +460,8 @@ def stage_stream(inp: Inputs) -> DataFrame:
 def late_rows_report(inp: Inputs) -> DataFrame:
     """Raw events of which the middle years come last: all of those are late, and counted."""
     table = _stage_in_slices(inp, ((1900, 1997), (2000, 2100), (1998, 1999)))
-    counts = [(h["version"], h.get("late_rows", 0), h.get("untimed_rows", 0)) for h in table.history()]
+    versions = [table.version(n) for n in range(1, table.version().number + 1)]
+    counts = [(v.number, v.counts.get("late_rows", 0), v.counts.get("untimed_rows", 0)) for v in versions]
     return inp.spark.createDataFrame(counts, "version long, late_rows long, untimed_rows long")
 
 
@@ -566,7 +562,6 @@ def _built(inp: Inputs):
             f"{base}/{events}",
             f"{base}/warehouse",
             event_prefix=PREFIX,
-            buckets=BUCKETS,
             landing=f"{base}/landing",
             **more,
         )

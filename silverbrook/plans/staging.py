@@ -98,7 +98,7 @@ def stage_new_events(
     The table's own version of a key competes with the new ones by time, which
     gives what re-reading the raw events within the look-back would give.
     Events that came too late or have no time are not staged; their numbers
-    are kept with the commit (``VersionedTable.history``).
+    are kept with the commit (``Version.counts``).
     """
     counts = None
     newest = table.newest()

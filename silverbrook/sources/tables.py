@@ -5,143 +5,102 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from silverbrook.operators.dedup import latest_per_key
 from silverbrook.operators.incremental import merge_upsert
 
-BUCKET = "table_bucket"
 VERSION = "table_version"
-#: Buckets of a new table; pick a number so that one holds a few gigabytes.
-BUCKETS = 64
-_PART = "bucket int, folder string, newest bigint"
-_COMMIT = f"parts array<struct<{_PART}>>, about string"
+#: Rows of merged batches, as a share of the base, beyond which they are folded into it.
+FOLD_SHARE = 0.25
+#: Batches that a reader puts together at most.
+BATCHES = 16
 
 Check = Callable[[DataFrame], None]
 Counts = Mapping[str, int] | Callable[[], Mapping[str, int]]
 
 
-def _known(counts: Counts | None) -> Mapping[str, int]:
-    return counts() if callable(counts) else counts or {}
-
-
 @dataclass(frozen=True)
 class Version:
-    """One commit: the folder and newest time (microseconds) of each bucket, and how they were made."""
-
-    number: int = 0
-    folders: Mapping[int | None, str] = field(default_factory=dict)
-    newest: Mapping[int | None, int | None] = field(default_factory=dict)
-    schema: StructType | None = None
+    """One commit: the folders of the base and of the batches merged since, and how they go together."""
+
+    number: int
+    base: str
+    rows: int
+    batches: tuple[str, ...] = ()
+    batch_rows: int = 0
+    #: Microseconds of the newest time that was ever committed since the last replacement.
+    newest: int | None = None
+    schema: Mapping = field(default_factory=dict)
     keys: tuple[str, ...] = ()
-    buckets: int = BUCKETS
     time_col: str | None = None
+    newest_by: str | None = None
+    tie_break: tuple[str, ...] = ()
+    #: Whether all rows went through a check.
+    checked: bool = False
     counts: Mapping[str, int] = field(default_factory=dict)
 
+    @property
+    def names(self) -> list[str]:
+        return self.struct.names
+
+    @property
+    def struct(self) -> StructType:
+        return StructType.fromJson(self.schema)
+
 
 class VersionedTable:
     """Parquet table whose versions are written aside and then switched to.
 
-    With ``keys`` the rows are spread over buckets by a hash of the key and a
-    merge rewrites only the buckets it touches. Keys and the number of buckets
-    belong to the table: they are stored with it, another choice is refused,
-    and ``rebucket`` rewrites it. With ``time_col`` every commit also knows the
-    newest time of each bucket, so that nobody has to scan for it.
+    A merge writes its batch alone, next to what is there; readers put base and
+    batches together by key (merge on read). Only the few keys of the batches
+    take part: all other rows of the base pass by a join with those keys, which
+    are broadcast while they are small. Batches that grow beyond ``FOLD_SHARE``
+    of the base are folded into a new base, more than ``BATCHES`` of them into
+    one, so a row is rewritten a few times only while the table doubles.
 
-    A commit is one small file listing the current folder of each bucket, so a
-    run that dies before it leaves the old version in place. One writer at a
-    time: two at once may both find a commit number free, and the later one
-    wins; nothing here prevents that.
+    Keys belong to the table: they are stored with it and another choice is
+    refused. With ``time_col`` every commit knows the newest time, as seen while
+    writing, so that nobody has to scan for it.
+
+    A commit is one small file, so a run that dies before it leaves the old
+    version in place. One writer at a time: two at once may both find a commit
+    number free, and the later one wins; nothing here prevents that.
     """
 
     def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        keys: Sequence[str] = (),
-        buckets: int | None = None,
-        time_col: str | None = None,
+        self, spark: SparkSession, path: str, keys: Sequence[str] = (), time_col: str | None = None
     ) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = tuple(keys)
-        self.buckets = buckets
         self.time_col = time_col
 
-    def _last_commit(self) -> int | None:
-        """The newest commit's number, from file names alone."""
-        try:
-            files = self.spark.read.format("binaryFile").load(f"{self.path}/commits/*/*.json")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-        number = F.regexp_extract("path", r"/commits/(\d+)/", 1).cast("bigint")
-        return files.select(F.max(number)).first()[0]
-
     def version(self, number: int | None = None) -> Version | None:
         """The newest commit, or that of a number; None while there is none."""
-        number = self._last_commit() if number is None else number
+        number = max(self._commits(), default=None) if number is None else number
         if number is None:
             return None
-        row = self.spark.read.schema(_COMMIT).json(f"{self.path}/commits/{number}").first()
-        about = json.loads(row["about"])
-        found = Version(
-            number,
-            {p["bucket"]: p["folder"] for p in row["parts"]},
-            {p["bucket"]: p["newest"] for p in row["parts"]},
-            StructType.fromJson(about["schema"]),
-            tuple(about["keys"]),
-            about["buckets"],
-            about["time_col"],
-            about["counts"],
-        )
+        about = json.loads(self.spark.read.text(f"{self.path}/commits/{number}").first()[0])
+        lists = {name: tuple(about[name]) for name in ("batches", "keys", "tie_break")}
+        found = Version(**{**about, **lists})
         if found.keys != self.keys:
             raise ValueError(f"{self.path} has the keys {found.keys}, not {self.keys}")
-        if self.keys and self.buckets not in (None, found.buckets):
-            raise ValueError(f"{self.path} has {found.buckets} buckets, not {self.buckets}; see rebucket")
         return found
 
-    def _commit(self, version: Version) -> None:
-        parts = [
-            {"bucket": b, "folder": f, "newest": version.newest.get(b)} for b, f in version.folders.items()
-        ]
-        about = {
-            "schema": version.schema.jsonValue(),
-            "keys": version.keys,
-            "buckets": version.buckets,
-            "time_col": version.time_col,
-            "counts": dict(version.counts),
-        }
-        listed = F.from_json(F.lit(json.dumps(parts)), f"array<struct<{_PART}>>")
-        commit = self.spark.range(1).select(listed.alias("parts"), F.lit(json.dumps(about)).alias("about"))
-        commit.coalesce(1).write.mode("errorifexists").json(f"{self.path}/commits/{version.number}")
-
-    def _read(self, folders: Mapping[int | None, str], schema: StructType) -> DataFrame:
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        data = f"{self.path}/data"
-        paths = [
-            f"{data}/{folder}" + ("" if bucket is None else f"/{BUCKET}={bucket}")
-            for bucket, folder in folders.items()
-        ]
-        reader = self.spark.read.schema(schema).option("basePath", data)
-        return reader.parquet(*paths).select(*schema.names)
-
     def exists(self) -> bool:
-        return self._last_commit() is not None
+        return bool(self._commits())
 
     def read(self) -> DataFrame:
         """The committed rows."""
         version = self.version()
         if version is None:
             raise FileNotFoundError(f"no committed version in {self.path}")
-        return self._read(version.folders, version.schema)
+        return self._resolved(version)
 
     def newest(self) -> Column | None:
         """The newest time of the committed rows as a literal, from the commit alone."""
@@ -149,46 +108,62 @@ class VersionedTable:
         if version is None or self.time_col is None:
             return None
         if version.time_col != self.time_col:
-            return F.lit(self.read().agg(F.max(self.time_col)).first()[0])
-        micros = max((m for m in version.newest.values() if m is not None), default=None)
-        return F.timestamp_micros(F.lit(micros).cast("bigint"))
-
-    def history(self) -> list[dict]:
-        """Number and counts of every commit that is still there, oldest first."""
-        numbers = sorted(int(name) for name in self._names("commits"))
-        return [{"version": n, **self.version(n).counts} for n in numbers]
-
-    def _in_buckets(self, df: DataFrame, buckets: int) -> DataFrame:
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(buckets)).cast("int")
-        # Large buckets are split over tasks and small ones share a task: few files, no hot task.
-        return df.withColumn(BUCKET, bucket).hint("rebalance", BUCKET)
-
-    def _write(
-        self, df: DataFrame, number: int, buckets: int
-    ) -> tuple[dict[int | None, str], dict[int | None, int | None]]:
-        """Write rows into a new folder; the folder and the newest time of each bucket it holds."""
+            return F.lit(self._resolved(version).agg(F.max(self.time_col)).first()[0])
+        return F.timestamp_micros(F.lit(version.newest).cast("bigint"))
+
+    def _rows(self, folders: Sequence[str], version: Version, with_version: bool = False) -> DataFrame:
+        schema = StructType(version.struct.fields)
+        if with_version:
+            schema = schema.add(VERSION, "string")
+        data = f"{self.path}/data"
+        rows = self.spark.read.schema(schema).option("basePath", data)
+        return rows.parquet(*[f"{data}/{folder}" for folder in folders]).select(*schema.names)
+
+    def _latest_of(self, folders: Sequence[str], version: Version) -> DataFrame:
+        """The rows of batches, one per key."""
+        if version.newest_by is not None:
+            rows = self._rows(folders, version)
+            return latest_per_key(rows, self.keys, version.newest_by, "last", version.tie_break)
+        rows = self._rows(folders, version, with_version=True)
+        number = F.split_part(VERSION, F.lit("-"), F.lit(1)).cast("int")
+        return latest_per_key(rows.withColumn(VERSION, number), self.keys, VERSION).drop(VERSION)
+
+    def _merged(self, base: DataFrame, folders: Sequence[str], version: Version) -> DataFrame:
+        """``base`` with the rows of batches."""
+        latest = self._latest_of(folders, version)
+        if version.newest_by is None:
+            return merge_upsert(base, latest, self.keys)
+        keys = self._rows(folders, version).select(*self.keys)
+        there = base.join(keys, list(self.keys), "left_semi").select(*base.columns)
+        winners = latest_per_key(
+            there.unionByName(latest), self.keys, version.newest_by, "last", version.tie_break
+        )
+        others = base.join(keys, list(self.keys), "left_anti").select(*base.columns)
+        return others.unionByName(winners)
+
+    def _resolved(self, version: Version) -> DataFrame:
+        base = self._rows([version.base], version)
+        return self._merged(base, version.batches, version) if version.batches else base
+
+    def _write(self, df: DataFrame, number: int) -> tuple[str, int, int | None]:
+        """Write rows into a new folder; its name, their number and the newest time."""
         folder = f"{VERSION}={number}-{uuid.uuid4().hex[:8]}"
-        target = f"{self.path}/data/{folder}"
-        if self.keys:
-            self._in_buckets(df, buckets).write.partitionBy(BUCKET).parquet(target)
-            written = self._buckets_of(f"data/{folder}")
-        else:
-            df.write.parquet(target)
-            written = [None]
-        newest: dict[int | None, int | None] = {}
-        if self.time_col is not None and written:
-            rows = self._read({b: folder for b in written}, df.schema)
-            if self.keys:
-                data = self.spark.read.schema(f"{BUCKET} int, `{self.time_col}` {df.schema[self.time_col].dataType.simpleString()}")
-                rows = data.parquet(target)
-            else:
-                rows = rows.withColumn(BUCKET, F.lit(None).cast("int"))
-            times = rows.groupBy(BUCKET).agg(F.unix_micros(F.max(F.col(self.time_col).cast("timestamp"))))
-            newest = {r[0]: r[1] for r in times.collect()}  # a row per bucket
-        return {b: folder for b in written}, newest
+        counted = [F.count(F.lit(1)).alias("rows")]
+        if self.time_col is not None:
+            newest = F.max(F.col(self.time_col).cast("timestamp"))
+            counted.append(F.unix_micros(newest).alias("newest"))
+        seen = Observation()
+        df.observe(seen, *counted).write.parquet(f"{self.path}/data/{folder}")
+        found = seen.get
+        if "rows" not in found:  # Spark may drop the observation of an input that it knows to be empty
+            written = self.spark.read.schema(df.schema).parquet(f"{self.path}/data/{folder}")
+            found = written.agg(*counted).first().asDict()
+        return folder, found["rows"], found.get("newest")
 
-    def _buckets_of(self, below: str) -> list[int]:
-        return sorted(int(n.split("=")[1]) for n in self._names(below) if n.startswith(f"{BUCKET}="))
+    def _commit(self, version: Version) -> None:
+        line = F.lit(json.dumps(asdict(version))).alias("value")
+        commit = self.spark.range(1).select(line).coalesce(1)
+        commit.write.mode("errorifexists").text(f"{self.path}/commits/{version.number}")
 
     def replace(
         self,
@@ -204,27 +179,19 @@ class VersionedTable:
         """
         before = self.version()
         number = before.number + 1 if before else 1
-        buckets = before.buckets if before else self.buckets or BUCKETS
-        self._put(df, number, buckets, require_keys, check, counts)
-
-    def _put(self, df, number, buckets, require_keys=False, check=None, counts=None) -> None:
-        folders, newest = self._write(df, number, buckets)
-        rows = self._read(folders, df.schema)
-        if require_keys:
-            self._check_keys(rows)
-        if check is not None:
-            check(rows)
-        self._commit(
-            Version(number, folders, newest, df.schema, self.keys, buckets, self.time_col, _known(counts))
+        base, rows, newest = self._write(df, number)
+        version = Version(
+            number,
+            base,
+            rows,
+            newest=newest,
+            schema=df.schema.jsonValue(),
+            keys=self.keys,
+            time_col=self.time_col,
+            checked=check is not None,
         )
-
-    def rebucket(self, buckets: int) -> None:
-        """Rewrite the table with another number of buckets."""
-        self.buckets = None
-        before = self.version()
-        if before is not None:
-            self._put(self._read(before.folders, before.schema), before.number + 1, buckets)
-        self.buckets = buckets
+        self._check([base], version, require_keys, check)
+        self._commit(replace(version, counts=_known(counts)))
 
     def merge(
         self,
@@ -236,53 +203,60 @@ class VersionedTable:
     ) -> None:
         """Update rows by key and insert the rest.
 
-        The batch is written once and read back, so it is computed once. With
-        ``newest_by`` the newer of the stored and the new row stays, and a
-        stored row without a time gives way to any; without, the new row
-        always stays. Merging the same batch again changes nothing. ``counts``,
-        or what it returns once the batch was computed, are kept with the commit.
+        With ``newest_by`` the newer of the stored and the new row stays, and a
+        stored row without a time gives way to any; without, the new row always
+        stays. Merging the same batch again changes nothing. ``check`` sees the
+        batch; rows that an earlier check saw are not tested again, and keys are
+        unique by construction. ``counts``, or what it returns once the batch
+        was computed, are kept with the commit.
         """
-        version = self.version()
-        if version is None:
+        before = self.version()
+        if before is None:
             self.replace(batch, require_keys=True, check=check, counts=counts)
             return
-        staged = f"batches/{uuid.uuid4().hex}"
-        self._in_buckets(batch, version.buckets).write.partitionBy(BUCKET).parquet(f"{self.path}/{staged}")
-        touched = self._buckets_of(staged)
-        folders, newest = dict(version.folders), dict(version.newest)
-        if touched:
-            stored_batch = self.spark.read.schema(version.schema).parquet(f"{self.path}/{staged}")
-            stored_batch = stored_batch.select(*version.schema.names)
-            self._check_keys(stored_batch)
-            old = self._read({b: folders[b] for b in touched if b in folders}, version.schema)
-            if newest_by is None:
-                merged = merge_upsert(old, stored_batch, self.keys)
-            else:
-                merged = latest_per_key(
-                    old.unionByName(stored_batch), self.keys, newest_by, "last", tie_break
-                )
-            written, times = self._write(merged, version.number + 1, version.buckets)
-            folders.update(written)
-            newest.update(times)
+        number = before.number + 1
+        folder, rows, newest = self._write(batch.select(*before.names), number)
+        self._check([folder], before, True, check if rows else None)
         found = _known(counts)
-        if not touched and not any(found.values()):
-            self._delete(staged)
+        if not rows and not any(found.values()):
             return
-        if check is not None and touched:
-            check(self._read(folders, version.schema))
-        self._commit(
-            Version(
-                version.number + 1,
-                folders,
-                newest,
-                version.schema,
-                self.keys,
-                version.buckets,
-                self.time_col if version.time_col == self.time_col else None,
-                found,
-            )
+        after = replace(
+            before,
+            number=number,
+            newest=max((t for t in (before.newest, newest) if t is not None), default=None),
+            time_col=self.time_col if before.time_col == self.time_col else None,
+            newest_by=newest_by,
+            tie_break=tuple(tie_break),
+            checked=before.checked and check is not None,
+            counts=found,
         )
-        self._delete(staged)
+        if rows:
+            other_rule = (before.newest_by, before.tie_break) != (newest_by, after.tie_break)
+            grown = before.batch_rows + rows > FOLD_SHARE * before.rows
+            if grown or before.batches and other_rule:
+                whole = self._merged(self._resolved(before), [folder], after)
+                base, rows, newest = self._write(whole, number)
+                after = replace(after, base=base, rows=rows, newest=newest, batches=(), batch_rows=0)
+            else:
+                batches = (*before.batches, folder)
+                if len(batches) > BATCHES:
+                    together, rows, _ = self._write(self._latest_of(batches, after), number)
+                    after = replace(after, batches=(together,), batch_rows=rows)
+                else:
+                    after = replace(after, batches=batches, batch_rows=before.batch_rows + rows)
+            if check is not None and not before.checked:
+                check(self._resolved(after))
+                after = replace(after, checked=True)
+        self._commit(after)
+
+    def _check(self, folders: Sequence[str], version: Version, with_keys: bool, check: Check | None) -> None:
+        rows = self._rows(folders, version)
+        if with_keys:
+            missing = rows.filter(" OR ".join(f"`{k}` IS NULL" for k in self.keys))
+            if not missing.isEmpty():
+                raise ValueError(f"rows without a key ({', '.join(self.keys)}) cannot be merged")
+        if check is not None:
+            check(rows)
 
     def clean(self, keep: int = 2) -> None:
         """Delete what the newest ``keep`` commits do not refer to.
@@ -290,35 +264,25 @@ class VersionedTable:
         Readers that still use an older version must be done; nothing else may
         write meanwhile.
         """
-        newest = self._last_commit()
-        if newest is None:
-            return
-        kept = range(max(1, newest - keep + 1), newest + 1)
-        there = [int(name) for name in self._names("commits")]
-        folders = {f for n in kept if n in there for f in self.version(n).folders.values()}
-        for name in self._names("data"):
-            if name not in folders:
-                self._delete(f"data/{name}")
-        for number in there:
-            if number not in kept:
-                self._delete(f"commits/{number}")
-        for name in self._names("batches"):
-            self._delete(f"batches/{name}")
+        commits = sorted(self._commits())
+        kept = [self.version(n) for n in commits[-keep:]]
+        folders = {f for v in kept for f in (v.base, *v.batches)}
+        files, data = self._hadoop("data/*")
+        for status in (files.globStatus(data) or []) if kept else []:
+            if status.getPath().getName() not in folders:
+                files.delete(status.getPath(), True)
+        for number in commits[:-keep]:
+            files.delete(self._hadoop(f"commits/{number}")[1], True)
+
+    def _commits(self) -> list[int]:
+        """The numbers of the commits, from file names alone."""
+        files, parts = self._hadoop("commits/*/part-*")
+        return sorted({int(s.getPath().getParent().getName()) for s in files.globStatus(parts) or []})
 
     def _hadoop(self, below: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{below}")
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def _names(self, below: str) -> list[str]:
-        files, path = self._hadoop(below)
-        found = files.listStatus(path) if files.exists(path) else []
-        return [status.getPath().getName() for status in found if status.isDirectory()]
-
-    def _delete(self, below: str) -> None:
-        files, path = self._hadoop(below)
-        files.delete(path, True)
 
-    def _check_keys(self, batch: DataFrame) -> None:
-        missing = batch.filter(" OR ".join(f"`{k}` IS NULL" for k in self.keys))
-        if not missing.isEmpty():
-            raise ValueError(f"rows without a key ({', '.join(self.keys)}) cannot be merged")
+def _known(counts: Counts | None) -> dict[str, int]:
+    return dict(counts() if callable(counts) else counts or {})

@@ -232,7 +232,7 @@ def test_build_from_event_files(spark, folder):
         upsert("order_item", "i1", 1, order_item_id=1, order_id=1, product_id=1, quantity=2),
         upsert("order_item", "i2", 1, order_item_id=2, order_id=1, product_id=99, quantity=2),
     )
-    run = lambda **more: build(spark, f"{folder}/s", f"{folder}/w", buckets=2, **more)
+    run = lambda **more: build(spark, f"{folder}/s", f"{folder}/w", **more)
     built = run()
     assert built.staging["stores"].count() == 0
     assert built.marts["dim_date"].count() == 3650
@@ -249,7 +249,7 @@ def test_build_from_event_files(spark, folder):
 
     # A wrong path adds nothing and loses nothing.
     for mode in ("incremental", "full"):
-        gone = build(spark, f"{folder}/nowhere", f"{folder}/w", mode, buckets=2)
+        gone = build(spark, f"{folder}/nowhere", f"{folder}/w", mode)
         assert {r["order_id"] for r in gone.marts["fact_orders"].collect()} == {1, 2}
         assert gone.staging["products"].count() == 1
 
@@ -259,4 +259,4 @@ def test_build_from_event_files(spark, folder):
     # Readers still have the version before the failed test.
     orders = VersionedTable(spark, f"{folder}/w/staging/orders", ["order_id"])
     assert {r["status"] for r in orders.read().collect()} == {"placed", "shipped"}
-    assert len(orders._names("commits")) <= 3
+    assert len(orders._commits()) <= 3

@@ -10,9 +10,11 @@ from silverbrook.operators.dedup import latest_per_key
 from silverbrook.operators.incremental import lookback_filter, merge_upsert, skipped_late
 from silverbrook.plans.staging import stage_entity, stage_new_events, staged
 from silverbrook.schema import ENTITIES, Column
+from silverbrook.sources import tables
 from silverbrook.sources.raw_events import RAW_SCHEMA, with_event_columns
 from silverbrook.sources.tables import VersionedTable
 from silverbrook.streaming.staging import stream_entity
+from tests.conftest import executed_plan
 
 SPEC = ENTITIES["payments"]
 START = datetime(2024, 1, 1)
@@ -40,7 +42,7 @@ def amounts(df):
 
 @pytest.fixture
 def table(spark, folder):
-    return VersionedTable(spark, f"{folder}/payments", SPEC.keys, 4, SPEC.time_column)
+    return VersionedTable(spark, f"{folder}/payments", SPEC.keys, SPEC.time_column)
 
 
 # Typed extraction
@@ -159,7 +161,7 @@ def test_new_events_give_what_rereading_gives(spark, folder, table):
         [event(1, 100, 11, "b"), event(4, 86, 41, "a"), event(2, 130, 21, "x")],
         [event(6, 116, 6, "y"), event(7, 114, 7, "y")],
     ]
-    other = VersionedTable(spark, f"{folder}/other", SPEC.keys, 4)
+    other = VersionedTable(spark, f"{folder}/other", SPEC.keys)
     seen = []
     for batch in batches:
         seen += batch
@@ -172,7 +174,7 @@ def test_new_events_give_what_rereading_gives(spark, folder, table):
 
 def test_a_stored_row_without_time_gives_way(spark, folder, table):
     """Also for the merge of a stream: batch and stream agree."""
-    other = VersionedTable(spark, f"{folder}/other", SPEC.keys, 4)
+    other = VersionedTable(spark, f"{folder}/other", SPEC.keys)
     first = [event(1, None, 1, "a"), event(2, 100, 2, "b")]
     later = [event(1, 110, 9, "c")]
     stage_entity(raw(spark, *first), SPEC, other)
@@ -203,7 +205,8 @@ def test_late_and_untimed_events_are_counted(spark, table):
     stage_new_events(raw(spark, event(1, 100, 1, "a")), SPEC, table)
     stage_new_events(raw(spark, event(2, 10, 2, "b"), event(3, None, 3, "c"), event(4, 99, 4, "d")), SPEC, table)
     stage_new_events(raw(spark, event(5, 10, 5, "e")), SPEC, table)  # nothing staged, still counted
-    counts = [(h.get("late_rows", 0), h.get("untimed_rows", 0)) for h in table.history()]
+    found = [table.version(n).counts for n in (1, 2, 3)]
+    counts = [(c.get("late_rows", 0), c.get("untimed_rows", 0)) for c in found]
     assert counts == [(0, 0), (1, 1), (1, 0)] and amounts(table.read()) == {1: 1, 4: 4}
     stage_new_events(raw(spark, event(5, 10, 5, "e")), SPEC, table, lookback_seconds=1000)
     assert amounts(table.read()) == {1: 1, 4: 4, 5: 5}
@@ -215,7 +218,7 @@ def test_stream_equals_full_refresh(spark, folder, table):
         raw(spark, *events[part : part + 20]).coalesce(1).write.mode("append").parquet(f"{folder}/raw")
     stream = spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{folder}/raw")
     stream_entity(stream, SPEC, table, f"{folder}/ckpt", None).awaitTermination()
-    full = VersionedTable(spark, f"{folder}/full", SPEC.keys, 4)
+    full = VersionedTable(spark, f"{folder}/full", SPEC.keys)
     stage_entity(raw(spark, *events), SPEC, full, "full")
     assert amounts(table.read()) == amounts(full.read())
 
@@ -227,19 +230,68 @@ def _kv(spark, *pairs):
     return spark.createDataFrame(list(pairs), "k long, v string")
 
 
-def test_table_merge_rewrites_touched_buckets_only(spark, folder, rows):
-    table = VersionedTable(spark, folder, ["k"], 8)
-    table.replace(_kv(spark, *[(i, "old") for i in range(100)]))
-    before = table.version().folders
-    table.merge(_kv(spark, (3, "new"), (3000, "added")))
-    after = table.version().folders
-    assert 1 <= sum(before.get(b) != after[b] for b in after) <= 2
-    values = dict(rows(table.read()))
-    assert len(values) == 101 and values[3] == "new" and values[4] == "old"
+def _size(table):
+    files, data = table._hadoop("data")
+    return files.getContentSummary(data).getLength()
+
+
+def test_a_small_merge_writes_its_batch_alone(spark, folder, rows):
+    table = VersionedTable(spark, folder, ["k"], "t")
+    rows_of = lambda ids, v: ids.select(
+        F.col("id").alias("k"), F.lit(v).alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("filler"),
+        F.timestamp_seconds("id").alias("t"),
+    )
+    table.replace(rows_of(spark.range(0, 100_000, 1, 4), "old"))
+    base, whole = table.version().base, _size(table)
+    spread = spark.range(0, 100_000, 100).union(spark.range(200_000, 200_010))  # 1 % of the keys, and new ones
+    table.merge(rows_of(spread, "new"))
+    after = table.version()
+    assert after.base == base and len(after.batches) == 1 and after.batch_rows == 1010
+    assert _size(table) - whole < 0.05 * whole
+    counted = {r["v"]: r["count"] for r in table.read().groupBy("v").count().collect()}
+    assert counted == {"new": 1010, "old": 99_000}
+    assert spark.range(1).select(table.newest()).first()[0] == datetime(1970, 1, 3, 7, 33, 29)
+    # The base is not shuffled to put them together.
+    plan = executed_plan(table.read())
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_large_batches_are_folded_and_many_put_together(spark, folder, rows, monkeypatch):
+    monkeypatch.setattr(tables, "BATCHES", 3)
+    for newest_by in (None, "v"):
+        table = VersionedTable(spark, f"{folder}/{newest_by}", ["k"])
+        want = {i: "0" for i in range(100)}
+        table.replace(_kv(spark, *want.items()))
+        seen = []
+        for round_ in range(1, 9):
+            batch = {i: str(round_) for i in range(round_, round_ + 2 + 30 * (round_ == 7))}
+            want |= batch
+            for _ in range(2):
+                table.merge(_kv(spark, *batch.items()), newest_by)
+                assert dict(rows(table.read())) == want
+            seen.append((len(table.version().batches), table.version().base == seen[0][2] if seen else True, table.version().base))
+        assert max(n for n, *_ in seen) <= 3
+        assert [same for _, same, _ in seen] == [True] * 6 + [False] * 2
+    # Batches that go together by another rule are folded first.
+    table.merge(_kv(spark, (5, "00")))
+    assert dict(rows(table.read())) == want | {5: "00"} and not table.version().batches
+
+
+def test_only_what_is_new_is_tested(spark, folder, rows):
+    table = VersionedTable(spark, folder, ["k"])
+    seen = []
+    see = lambda df: seen.append(df.count())
+    table.replace(_kv(spark, *[(i, "a") for i in range(100)]))
+    table.merge(_kv(spark, (1, "b")), check=see)  # the base was never tested: once, with it
+    table.merge(_kv(spark, (2, "b"), (100, "b")), check=see)
+    assert seen == [1, 100, 2] and table.version().checked
+    table.merge(_kv(spark, (3, "b")))
+    table.merge(_kv(spark, (4, "b")), check=see)
+    assert seen == [1, 100, 2, 1, 101]
 
 
 def test_table_survives_a_run_that_dies(spark, folder, rows, monkeypatch):
-    table = VersionedTable(spark, folder, ["k"], 2)
+    table = VersionedTable(spark, folder, ["k"])
     table.replace(_kv(spark, (1, "a")))
     with monkeypatch.context() as m:
         m.setattr(table, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
@@ -251,7 +303,7 @@ def test_table_survives_a_run_that_dies(spark, folder, rows, monkeypatch):
 
 
 def test_table_refuses_missing_keys(spark, folder, rows):
-    table = VersionedTable(spark, folder, ["k"], 2)
+    table = VersionedTable(spark, folder, ["k"])
     with pytest.raises(ValueError):
         table.merge(_kv(spark, (None, "x")))
     assert not table.exists()
@@ -262,7 +314,7 @@ def test_table_refuses_missing_keys(spark, folder, rows):
 
 
 def test_table_empty_batches_and_empty_tables(spark, folder, rows):
-    table = VersionedTable(spark, folder, ["k"], 2)
+    table = VersionedTable(spark, folder, ["k"])
     table.replace(_kv(spark).limit(0))
     assert table.read().columns == ["k", "v"] and rows(table.read()) == []
     table.merge(_kv(spark, (1, "a")))
@@ -277,25 +329,23 @@ def test_commit_number_is_taken_once(spark, folder):
         table._commit(table.version())
 
 
-def test_buckets_and_keys_belong_to_the_table(spark, folder, rows):
-    table = VersionedTable(spark, folder, ["k"], 4)
+def test_keys_belong_to_the_table(spark, folder, rows):
+    table = VersionedTable(spark, folder, ["k"])
     table.replace(_kv(spark, *[(i, "old") for i in range(50)]))
-    for other in (VersionedTable(spark, folder, ["k"], 8), VersionedTable(spark, folder, ["v"]), VersionedTable(spark, folder)):
+    for other in (VersionedTable(spark, folder, ["v"]), VersionedTable(spark, folder)):
         with pytest.raises(ValueError):
             other.merge(_kv(spark, (1, "x")))
         with pytest.raises(ValueError):
             other.read()
     again = VersionedTable(spark, folder, ["k"])
     again.merge(_kv(spark, (1, "new"), (50, "new")))
-    again.rebucket(7)
-    again.merge(_kv(spark, (2, "new"), (51, "new")))
-    values = rows(VersionedTable(spark, folder, ["k"], 7).read())
-    assert len(values) == len({k for k, _ in values}) == 52
-    assert {k for k, v in values if v == "new"} == {1, 2, 50, 51}
+    values = rows(VersionedTable(spark, folder, ["k"]).read())
+    assert len(values) == len({k for k, _ in values}) == 51
+    assert {k for k, v in values if v == "new"} == {1, 50}
 
 
 def test_a_failed_check_leaves_the_old_version(spark, folder, rows):
-    table = VersionedTable(spark, folder, ["k"], 2)
+    table = VersionedTable(spark, folder, ["k"])
     table.replace(_kv(spark, (1, "a")))
 
     def refuse(new):
@@ -310,7 +360,7 @@ def test_a_failed_check_leaves_the_old_version(spark, folder, rows):
 
 
 def test_newest_time_comes_from_the_commit(spark, folder):
-    table = VersionedTable(spark, folder, ["k"], 4, "t")
+    table = VersionedTable(spark, folder, ["k"], "t")
 
     def at(*seconds):
         rows = [(i, START + timedelta(seconds=s) if s is not None else None) for i, s in enumerate(seconds)]
@@ -330,14 +380,16 @@ def test_newest_time_comes_from_the_commit(spark, folder):
 
 
 def test_clean_keeps_the_newest_versions(spark, folder, rows):
-    table = VersionedTable(spark, folder, ["k"], 4)
+    table = VersionedTable(spark, folder, ["k"])
     table.replace(_kv(spark, *[(i, "0") for i in range(20)]))
     for round_ in "123":
         table.merge(_kv(spark, (1, round_)))
     table.clean(keep=2)
-    assert sorted(table._names("commits")) == ["3", "4"] and table._names("batches") == []
-    assert len(table._names("data")) == 3  # the first still holds untouched buckets
-    values = dict(rows(table.read()))
-    assert len(values) == 20 and values[1] == "3"
+    assert table._commits() == [3, 4]
+    files, data = table._hadoop("data/*")
+    assert len(files.globStatus(data)) == 4  # the base and three batches
+    table.replace(_kv(spark, *[(i, "0") for i in range(20)]))
+    table.clean(keep=1)
+    assert table._commits() == [5] and len(files.globStatus(data)) == 1
     table.merge(_kv(spark, (1, "4")))
     assert dict(rows(table.read()))[1] == "4"
