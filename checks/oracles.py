@@ -301,6 +301,11 @@ ORACLES = {
     "materialize_stream": _sql(_CLICKS_ALL, "clicks"),
     "clicks_projection_stream": _sql(_CLICKS_ALL, "clicks"),
     "clicks_dedup_stream": _sql("SELECT * FROM clicks_latest", "clicks_latest"),
+    "stream_cadence": _sql(
+        """SELECT ce_id, click_id, CAST(CASE WHEN day(make_timestamp(ce_time)) <= 10 THEN 1
+          WHEN day(make_timestamp(ce_time)) <= 20 THEN 2 ELSE 3 END AS BIGINT) AS turn FROM clicks""",
+        "clicks",
+    ),
     "clicks_first_stream": _sql(
         """SELECT click_id, MIN(CASE WHEN day(make_timestamp(ce_time)) <= 10 THEN 1
           WHEN day(make_timestamp(ce_time)) <= 20 THEN 2 ELSE 3 END)::BIGINT AS slice

@@ -42,7 +42,15 @@ from silverbrook.sources.raw_events import (
 )
 from silverbrook.sources.tables import VersionedTable
 from silverbrook.streaming import staging as streams
-from silverbrook.streaming.landing import start_ingest, stream_event_store, stream_landing
+from silverbrook.streaming.landing import (
+    JUDGED_ON,
+    forget_judged,
+    make_folder,
+    read_batches,
+    start_ingest,
+    stream_event_store,
+    stream_landing,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -184,17 +192,25 @@ def event_quarantine(inp: Inputs) -> DataFrame:
 
 
 def _text_stream(inp: Inputs, texts: DataFrame, base: str) -> DataFrame:
-    texts.select("value").write.text(f"{base}/incoming")
+    texts.select("value").write.mode("append").text(f"{base}/incoming")
     return inp.spark.readStream.schema("value string").text(f"{base}/incoming")
 
 
 @query
 def run_stream_all_sinks(inp: Inputs) -> DataFrame:
-    """Incoming texts through all three sinks; what reached each of them."""
+    """Texts of two days through all three sinks; what reached each of them. The first day is then dropped."""
     base = shared_dir(inp.spark, "ingest")
-    texts = _text_stream(inp, inp.faulty_texts(), base)
-    for running in start_ingest(texts, base, f"{base}/checkpoints", interval=None):
-        running.awaitTermination()
+    first = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    for day, part in (("2024-01-01", first), ("2024-01-02", ~first)):
+        texts = _text_stream(inp, inp.faulty_texts().filter(F.coalesce(part, F.lit(False))), base)
+        arrival = F.lit(day).cast("date")
+        running = start_ingest(texts, base, f"{base}/checkpoints", interval=None, arrival=arrival)
+        for each in running:
+            each.awaitTermination()
+    gone = forget_judged(running, inp.spark, f"{base}")
+    left = inp.spark.read.option("ignoreMissingFiles", "true").parquet(f"{base}/judged")
+    if gone != ["2024-01-01"] or not left.filter(F.col(JUDGED_ON) < "2024-01-02").isEmpty():
+        raise RuntimeError(f"days that were dropped: {gone}")
     landed = inp.spark.read.parquet(f"{base}/landing").select(
         F.lit("landing").alias("sink"), F.col("ingested_at").isNull().alias("untimed")
     )
@@ -286,13 +302,13 @@ def clicks_dedup(inp: Inputs) -> DataFrame:
 
 
 def _as_landing_arrives(
-    inp: Inputs, base: str, run: Callable[[DataFrame], StreamingQuery]
+    inp: Inputs, base: str, run: Callable[[DataFrame], StreamingQuery], slices=((1, 10), (11, 20), (21, 31))
 ) -> list[StreamingQuery]:
     """Let the landing table grow slice of time by slice of time, and the stream catch up after each."""
     inp.landing().select(CONTENT, "ingested_at", "ce_time").write.parquet(f"{base}/all")
     landed = inp.spark.read.parquet(f"{base}/all")
     schema, runs = landed.drop("ce_time").schema, []
-    for first, last in ((1, 10), (11, 20), (21, 31)):
+    for first, last in slices:
         part = landed.filter(F.dayofmonth("ce_time").between(first, last)).drop("ce_time")
         part.write.mode("append").parquet(f"{base}/landing")
         runs.append(run(inp.spark.readStream.schema(schema).parquet(f"{base}/landing")))
@@ -309,6 +325,36 @@ def run_clicks_projection_stream(inp: Inputs) -> DataFrame:
     return inp.spark.read.parquet(f"{base}/clicks").drop("ingested_at")
 
 
+@query
+def stream_cadence(inp: Inputs) -> DataFrame:
+    """A click stream that runs every second while its input grows: clicks, and the trigger's turn that shows them."""
+    base = shared_dir(inp.spark, "cadence")
+    inp.landing().select(CONTENT, "ingested_at", "ce_time").write.parquet(f"{base}/all")
+    landed = inp.spark.read.parquet(f"{base}/all")
+    make_folder(inp.spark, f"{base}/landing")
+    stream = streams.read_landing(inp.spark, f"{base}/landing", landed.drop("ce_time").schema)
+    running = streams.stream_clicks(stream, f"{base}/clicks", f"{base}/ckpt", interval="1 second")
+    shown = None
+    try:
+        for turn, (first, last) in enumerate(((1, 10), (11, 20), (21, 31)), 1):
+            part = landed.filter(F.dayofmonth("ce_time").between(first, last)).drop("ce_time")
+            part.write.mode("append").parquet(f"{base}/landing")
+            running.processAllAvailable()
+            # What readers see now, and did not see a turn ago.
+            clicks = inp.spark.read.parquet(f"{base}/clicks").select("ce_id", "click_id")
+            new = clicks if shown is None else clicks.join(shown, "ce_id", "left_anti")
+            new.withColumn("turn", F.lit(turn)).select("ce_id", "click_id", "turn").write.mode("append").parquet(
+                f"{base}/shown"
+            )
+            shown = inp.spark.read.parquet(f"{base}/shown").select("ce_id")
+        turns = [p for p in running.recentProgress if p.numInputRows]
+        if len(turns) < 3 or sum(p.numInputRows for p in turns) != landed.count() or not running.isActive:
+            raise RuntimeError(f"turns with rows: {[p.numInputRows for p in turns]}")
+    finally:
+        running.stop()
+    return inp.spark.read.parquet(f"{base}/shown")
+
+
 @query
 def run_clicks_dedup_stream(inp: Inputs) -> DataFrame:
     base = shared_dir(inp.spark, "clicks")
@@ -319,30 +365,34 @@ def run_clicks_dedup_stream(inp: Inputs) -> DataFrame:
     return table.read().drop("ingested_at")
 
 
-def _first_clicks(inp: Inputs, base: str, watermark: str) -> tuple[DataFrame, list[StreamingQuery]]:
-    def run(landed: DataFrame) -> StreamingQuery:
-        first = streams.first_click_seen(landed, watermark)
-        return streams.start_append(first, f"{base}/clicks", f"{base}/ckpt", interval=None)
-
-    runs = _as_landing_arrives(inp, base, run)
-    return inp.spark.read.parquet(f"{base}/clicks"), runs
-
-
 @query
 def run_clicks_first_stream(inp: Inputs) -> DataFrame:
     """Clicks kept and the slice of time each is kept from: that of its first arrival."""
-    kept, _ = _first_clicks(inp, shared_dir(inp.spark, "clicks"), "40 days")
+    base = shared_dir(inp.spark, "clicks")
+
+    def run(landed: DataFrame) -> StreamingQuery:
+        first = streams.first_click_seen(landed, "40 days")
+        return streams.start_append(first, f"{base}/clicks", f"{base}/ckpt", interval=None)
+
+    _as_landing_arrives(inp, base, run)
+    kept = inp.spark.read.parquet(f"{base}/clicks")
     day = F.dayofmonth("ce_time")
     return kept.select("click_id", F.when(day <= 10, 1).when(day <= 20, 2).otherwise(3).alias("slice"))
 
 
 @query
 def clicks_missed_by_watermark(inp: Inputs) -> DataFrame:
-    """With a watermark of 15 seconds: every click is either kept or in the side table, none in both."""
+    """With a watermark of 15 seconds and the middle of the month coming last: every click is kept or in the side table."""
     base = shared_dir(inp.spark, "clicks")
-    kept, _ = _first_clicks(inp, base, "15 seconds")
-    missed = streams.missed_clicks(inp.spark.read.parquet(f"{base}/landing"), kept)
-    # A click that comes again long after is kept again: the state has forgotten it.
+    table = VersionedTable(inp.spark, f"{base}/clicks", ["click_id", "ce_id"], "ce_time")
+
+    def run(landed: DataFrame) -> StreamingQuery:
+        return streams.stream_first_clicks(landed, table, f"{base}/late", f"{base}/ckpt", "15 seconds", None)
+
+    _as_landing_arrives(inp, base, run, ((1, 10), (21, 31), (11, 20)))
+    kept = table.read()
+    missed = streams.missed_clicks(read_batches(inp.spark, f"{base}/late", kept.schema), kept)
+    # A click that comes again long after is kept again.
     every = kept.select("click_id").distinct().unionByName(missed.select("click_id"))
     return every.groupBy("click_id").agg(F.count("*").alias("times"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, MapType, VariantType
 
@@ -39,6 +39,19 @@ def latest_per_key(
         order.desc_nulls_first() if nulls == "first" else order.desc_nulls_last(),
         *[_sortable(c, types[c]).desc_nulls_last() for c in [*tie_break, *rest]],
     )
-    return (
-        df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
-    )
+    return _first(df, window)
+
+
+def earliest_per_key(
+    df: DataFrame, keys: Sequence[str], order_col: str, tie_break: Sequence[str] = ()
+) -> DataFrame:
+    """Keep the row with the smallest ``order_col`` of each key; a NULL is larger than any.
+
+    Ties go to the smallest ``tie_break`` columns, which should settle them.
+    """
+    order = [F.col(c).asc_nulls_last() for c in (order_col, *tie_break)]
+    return _first(df, Window.partitionBy(*keys).orderBy(*order))
+
+
+def _first(df: DataFrame, window: WindowSpec) -> DataFrame:
+    return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")

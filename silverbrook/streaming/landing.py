@@ -1,19 +1,21 @@
 """Streams from incoming event texts to the landing table, the file store and the quarantine.
 
 One query reads the source, judges every event in one pass and appends the
-verdicts to a table partitioned by target; each sink is a query of its own on
-its part of that table. Spark's file sink commits a micro-batch as a whole, so
-every sink gets each event exactly once, also after a restart, and none waits
-for another.
+verdicts to a table partitioned by day and target; each sink is a query of its
+own on its part of that table. Spark's file sink commits a micro-batch as a
+whole, so every sink gets each event exactly once, also after a restart, and
+none waits for another. Days that all sinks have passed are dropped
+(``forget_judged``), so the table does not grow for ever.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from silverbrook.functions.events import CONTENT
 from silverbrook.operators.routing import LANDING, QUARANTINE, STORE, TARGET, judge_events
@@ -31,6 +33,12 @@ LANDING_SCHEMA = "record_content variant, record_metadata variant, ingested_at t
 SINK_INTERVAL = "60 seconds"
 CLICKS_INTERVAL = "1 minute"
 
+# The day an event was judged, and the folders of micro-batches that were audited.
+JUDGED_ON = "judged_on"
+BATCH = "batch"
+
+Audit = Callable[[DataFrame], object]
+
 
 def landing_rows(routed: DataFrame, partition_key: str = "ce_id") -> DataFrame:
     """Events with their metadata; the load time stays NULL for streamed rows."""
@@ -43,6 +51,62 @@ def landing_rows(routed: DataFrame, partition_key: str = "ce_id") -> DataFrame:
     )
 
 
+def start(writer: DataStreamWriter, checkpoint: str, interval: str | None) -> StreamingQuery:
+    """Start a stream that runs every ``interval``, or once over what is there with ``None``."""
+    writer = writer.option("checkpointLocation", checkpoint)
+    if interval is None:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=interval).start()
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
+def write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
+    """Write a micro-batch into a folder of its own; a repeated one replaces itself.
+
+    The folder is named after the query too, so that one started afresh, which
+    counts from 0 again, replaces nothing.
+    """
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={query}-{batch_id}")
+
+
+def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The rows of the micro-batches below ``path``, none if there are none."""
+    make_folder(spark, path)
+    rows = spark.read.schema(schema).parquet(path)
+    return rows.drop(BATCH)
+
+
+def start_audited(
+    rows: DataFrame,
+    path: str,
+    refused: str,
+    checkpoint: str,
+    audit: Audit,
+    interval: str | None = CLICKS_INTERVAL,
+) -> StreamingQuery:
+    """Append those micro-batches that pass an audit; the others are kept in ``refused``.
+
+    ``audit`` sees a micro-batch before any reader does; what it returns is
+    false when all is well. A refused micro-batch is written whole, stops
+    nothing and is not seen again: the next ones are judged on their own.
+    """
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            if not held.isEmpty():
+                write_batch(held, refused if audit(held) else path, batch_id)
+        finally:
+            held.unpersist()
+
+    return start(rows.writeStream.foreachBatch(publish), checkpoint, interval)
+
+
 def start_append(
     rows: DataFrame,
     path: str,
@@ -56,14 +120,11 @@ def start_append(
     writer = (
         rows.writeStream.format(file_format)
         .option("path", path)
-        .option("checkpointLocation", checkpoint)
         .options(**(options or {}))
         .partitionBy(*partition_by)
         .outputMode("append")
     )
-    if interval is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=interval).start()
+    return start(writer, checkpoint, interval)
 
 
 def stream_landing(
@@ -112,22 +173,29 @@ def start_ingest(
     checkpoints: str,
     routed_types: Iterable[str] = ROUTED_TYPES,
     interval: str | None = SINK_INTERVAL,
+    arrival: Column | None = None,
 ) -> list[StreamingQuery]:
     """Validate and route a stream of event texts into all three sinks.
 
     Without an interval everything there is judged first, and then handed to
-    the sinks; the judging query is the first of the list.
+    the sinks; the judging query is the first of the list. ``arrival`` is the
+    day of judging, the current date by default.
     """
     judged = judge_events(texts.select("value"), routed_types)
     # Only rejected events still need their text.
     judged = judged.withColumn("value", F.when(F.col(TARGET) == QUARANTINE, F.col("value")))
+    day = F.current_date() if arrival is None else arrival
+    # Partition columns stand last and in the order of the folders, as a stream that reads them has them.
+    others = [c for c in judged.columns if c != TARGET]
+    judged = judged.select(*others, day.alias(JUDGED_ON), TARGET)
     path = f"{base}/judged"
-    judging = start_append(judged, path, f"{checkpoints}/judged", partition_by=[TARGET], interval=interval)
+    judging = start_append(
+        judged, path, f"{checkpoints}/judged", partition_by=[JUDGED_ON, TARGET], interval=interval
+    )
     if interval is None:
         judging.awaitTermination()
     spark = texts.sparkSession
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    make_folder(spark, path)
 
     def part(target: str) -> DataFrame:
         return spark.readStream.schema(judged.schema).parquet(path).filter(F.col(TARGET) == target)
@@ -140,3 +208,25 @@ def start_ingest(
             part(QUARANTINE), f"{base}/quarantine", f"{checkpoints}/quarantine", interval=interval
         ),
     ]
+
+
+def forget_judged(queries: list[StreamingQuery], spark: SparkSession, base: str, keep: int = 1) -> list[str]:
+    """Drop the days of the judged table that all sinks have passed, but the newest ``keep``; their names.
+
+    ``queries`` are those of ``start_ingest``, running or done. The days are
+    listed first; then every sink works off what is there, which it has
+    committed when its turn is over. Days only ever grow at the newest, so
+    nothing comes to an older one afterwards.
+    """
+    judged = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/judged/{JUDGED_ON}=*")
+    files = judged.getFileSystem(spark._jsc.hadoopConfiguration())
+    days = sorted(files.globStatus(judged) or [], key=lambda status: status.getPath().getName())
+    passed = days[: max(0, len(days) - keep)]
+    for query in queries[1:] if passed else []:
+        if query.isActive:
+            query.processAllAvailable()
+        elif query.exception() is not None:
+            raise RuntimeError("a sink has failed: nothing is dropped") from query.exception()
+    for status in passed:
+        files.delete(status.getPath(), True)
+    return [status.getPath().getName().partition("=")[2] for status in passed]

@@ -2,30 +2,25 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from silverbrook.operators.dedup import earliest_per_key
 from silverbrook.operators.incremental import LOOKBACK_SECONDS
 from silverbrook.plans.staging import clicks_dedup, clicks_projection, stage_new_events
 from silverbrook.schema import EntitySpec
 from silverbrook.sources.raw_events import good_events
 from silverbrook.sources.tables import Check, VersionedTable
-from silverbrook.streaming.landing import CLICKS_INTERVAL, start_append
+from silverbrook.streaming.landing import CLICKS_INTERVAL, start, start_append, write_batch
 
 # A merge writes its batch alone, but readers put batches together: fewer are better for them.
 MERGE_INTERVAL = "10 minutes"
 SLICES = 16
 
 
-def _start(writer: DataStreamWriter, checkpoint: str, interval: str | None) -> StreamingQuery:
-    writer = writer.option("checkpointLocation", checkpoint)
-    if interval is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=interval).start()
-
-
 def read_landing(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The landing table as a stream."""
     return spark.readStream.schema(schema).parquet(path)
@@ -43,7 +38,7 @@ def first_click_seen(landed: DataFrame, watermark: str) -> DataFrame:
 
     ``watermark`` is how late a click may come behind the newest one. Later
     clicks are dropped, first arrivals too: ``dropped_by_watermark`` counts
-    them, ``missed_clicks`` finds them.
+    them. ``stream_first_clicks`` keeps them aside instead.
 
     Keeps the first arrival of a click; ``stream_clicks_latest`` keeps the
     latest event instead. Repeats are first dropped within slices of the
@@ -64,12 +59,53 @@ def dropped_by_watermark(query: StreamingQuery) -> int:
     return sum(int(s.numRowsDroppedByWatermark) for operators in reports for s in operators)
 
 
-def missed_clicks(landed: DataFrame, seen: DataFrame) -> DataFrame:
-    """Clicks of the landing table none of whose rows got through, latest event first of each.
-
-    A side table for late arrivals: ``seen`` is what ``first_click_seen`` kept.
+def stream_first_clicks(
+    landed: DataFrame,
+    table: VersionedTable,
+    late: str,
+    checkpoint: str,
+    watermark: str,
+    interval: str | None = CLICKS_INTERVAL,
+) -> StreamingQuery:
+    """Keep the first arrival of each click in a table, and late clicks in files below ``late``.
+
+    The watermark is the newest time that the table has committed less
+    ``watermark``, the time that a stream's own watermark has. In the same pass
+    over a micro-batch, rows behind it, and rows without an id, go to ``late``;
+    of the others those are added whose click the table has not seen since the
+    watermark, so that only the table's newest rows are looked at. A click that
+    comes again later is kept again. The table needs the keys (click_id, ce_id)
+    and the time column ce_time. Each commit names its micro-batch: a repeated
+    one changes nothing.
     """
-    return clicks_dedup(clicks_projection(landed)).join(seen.select("click_id"), "click_id", "left_anti")
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        before = table.version()
+        if before is not None and before.counts.get(query, -1) >= batch_id:
+            return
+        aside = F.col("click_id").isNull() | F.col("ce_id").isNull()
+        known = None
+        if before is not None:
+            bound = table.newest() - F.expr(f"INTERVAL {watermark}")
+            aside = aside | F.coalesce(F.col("ce_time") < bound, F.lit(False))
+            known = table.read().filter(F.col("ce_time") >= bound).select("click_id")
+        held = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            write_batch(held.filter(aside), late, batch_id)
+            first = earliest_per_key(held.filter(~aside), ["click_id"], "ce_time", ["ce_id"])
+            if known is not None:
+                first = first.join(known, "click_id", "left_anti").select(*held.columns)
+            table.merge(first, counts={query: batch_id})
+        finally:
+            held.unpersist()
+
+    return start(clicks_projection(landed).writeStream.foreachBatch(add), checkpoint, interval)
+
+
+def missed_clicks(late: DataFrame, kept: DataFrame) -> DataFrame:
+    """Late clicks none of whose rows was kept, the latest event of each; the landing table is not read."""
+    return clicks_dedup(late).join(kept.select("click_id"), "click_id", "left_anti")
 
 
 def stream_clicks_latest(
@@ -88,7 +124,7 @@ def stream_clicks_latest(
     def merge(batch: DataFrame, _batch_id: int) -> None:
         table.merge(clicks_dedup(batch), newest_by="ce_time", tie_break=["ce_id"])
 
-    return _start(clicks_projection(landed).writeStream.foreachBatch(merge), checkpoint, interval)
+    return start(clicks_projection(landed).writeStream.foreachBatch(merge), checkpoint, interval)
 
 
 def stream_entity(
@@ -111,4 +147,4 @@ def stream_entity(
     def merge(batch: DataFrame, _batch_id: int) -> None:
         stage_new_events(good_events(batch), spec, table, strict, number_scale, lookback_seconds, check)
 
-    return _start(raw.writeStream.foreachBatch(merge), checkpoint, interval)
+    return start(raw.writeStream.foreachBatch(merge), checkpoint, interval)

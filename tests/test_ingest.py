@@ -19,13 +19,14 @@ from silverbrook.sources.raw_events import (
     unloaded_files,
 )
 from silverbrook.sources.tables import VersionedTable
-from silverbrook.streaming.landing import start_ingest
+from silverbrook.streaming.landing import forget_judged, read_batches, start_ingest
 from silverbrook.streaming.staging import (
     dropped_by_watermark,
     first_click_seen,
     missed_clicks,
     start_append,
     stream_clicks,
+    stream_first_clicks,
 )
 
 
@@ -204,7 +205,85 @@ def test_late_clicks_are_counted_and_found(spark, folder, rows):
     assert [landed("a", 600), landed("b", 10), landed("c", 610)] == [0, 1, 0]
     kept = spark.read.parquet(f"{folder}/c")
     assert rows(kept, "click_id") == [("a",), ("c",)]
-    assert rows(missed_clicks(spark.read.parquet(f"{folder}/l"), kept), "click_id") == [("b",)]
+
+
+def test_late_clicks_are_kept_aside_in_the_stream(spark, folder, rows):
+    table = VersionedTable(spark, f"{folder}/t", ["click_id", "ce_id"], "ce_time")
+
+    def run(*events, restart=False):
+        clicks = []
+        for event_id, click, second in events:
+            e = envelope("ecommerce_clicks", event_id, **({"click_id": click} if click else {}))
+            clicks.append({**e, "time": f"2024-01-01T00:{second // 60:02d}:{second % 60:02d}Z"})
+        valid, _ = validate_events(texts(spark, *clicks))
+        part = valid.select(CONTENT, F.lit(None).cast("timestamp").alias("ingested_at"))
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/l")
+        stream = spark.readStream.schema(part.schema).parquet(f"{folder}/l")
+        stream_first_clicks(stream, table, f"{folder}/late", f"{folder}/k", "15 seconds", None).awaitTermination()
+        kept = table.read()
+        late = read_batches(spark, f"{folder}/late", kept.schema)
+        return rows(kept, "click_id", "ce_id"), rows(late, "ce_id"), rows(missed_clicks(late, kept), "click_id")
+
+    assert run(("1", "a", 600), ("2", "a", 590), ("3", "b", 100)) == ([("a", "2"), ("b", "3")], [], [])
+    # The watermark is 585 now: a click seen since is a repeat, an older one late, one without an id kept aside.
+    kept, late, missed = run(("4", "a", 595), ("5", "c", 100), ("6", "a", 10), ("7", None, 610), ("8", "d", 610))
+    assert (kept, late, missed) == ([("a", "2"), ("b", "3"), ("d", "8")], [("5",), ("6",), ("7",)], [("c",), (None,)])
+    # Long after, a click is kept again.
+    kept, late, _ = run(("9", "a", 2000), ("10", "e", 2000))
+    assert kept == [("a", "2"), ("a", "9"), ("b", "3"), ("d", "8"), ("e", "10")] and len(late) == 3
+    # A micro-batch that is repeated after its commit changes nothing.
+    number = table.version().number
+    for log in ("commits/2", "commits/.2.crc"):
+        os.remove(f"{folder}/k/{log}")
+    assert run(("11", "f", 2001))[0] == [*kept, ("f", "11")] and table.version().number == number + 1
+
+
+def test_a_bad_batch_of_clicks_is_kept_out(spark, folder, rows):
+    landing, warehouse = f"{folder}/l", f"{folder}/w"
+
+    def run(*clicks):
+        _clicks(spark, landing, *clicks)
+        return build(spark, f"{folder}/none", warehouse, landing=landing).clicks
+
+    def _clicks(spark, path, *clicks):
+        full = [envelope("ecommerce_clicks", i, click_id=c, customer_id=1, session_id=1, product_id=1, page_type=p, action="view", page_url="u", device_type="mobile") for i, c, p in clicks]
+        valid, _ = validate_events(texts(spark, *full))
+        landed = valid.select(CONTENT, F.lit(None).cast("variant").alias("record_metadata"), F.lit(None).cast("timestamp").alias("ingested_at"))
+        landed.coalesce(1).write.mode("append").parquet(path)
+
+    assert rows(run(("1", "a", "home")), "click_id") == [("a",)]
+    with pytest.raises(FailedTests, match="accepted_values"):
+        run(("2", "b", "nowhere"), ("3", "c", "home"))
+    kept = lambda name: spark.read.parquet(f"{warehouse}/{name}")
+    assert rows(kept("clicks"), "click_id") == [("a",)]
+    assert rows(kept("refused/clicks"), "click_id") == [("b",), ("c",)]
+    # The next build is not stopped by it.
+    assert rows(run(("4", "d", "home")), "click_id") == [("a",), ("d",)]
+
+
+def test_days_that_all_sinks_have_passed_are_dropped(spark, folder):
+    def arrive(*events):
+        texts(spark, *events).coalesce(1).write.mode("append").text(f"{folder}/in")
+
+    stream = lambda: spark.readStream.schema("value string").text(f"{folder}/in")
+    for number in (1, 2, 3):
+        arrive(envelope("ecommerce_clicks", str(number)), envelope("a.b", str(number)), {"id": number})
+        arrival = F.lit(datetime(2024, 1, number)).cast("date")
+        queries = start_ingest(stream(), folder, f"{folder}/k", interval="1 second", arrival=arrival)
+        try:
+            for query in queries:
+                query.processAllAvailable()
+            if number == 2:
+                assert forget_judged(queries, spark, folder) == ["2024-01-01"]
+                assert forget_judged(queries, spark, folder) == []
+        finally:
+            for query in queries:
+                query.stop()
+    assert sorted(n for n in os.listdir(f"{folder}/judged") if n.startswith("judged_on")) == ["judged_on=2024-01-02", "judged_on=2024-01-03"]
+    # Sinks that start again after it lose and repeat nothing.
+    assert spark.read.parquet(f"{folder}/landing").count() == 3
+    assert spark.read.text(f"{folder}/events").count() == 3
+    assert spark.read.schema("raw string").json(f"{folder}/quarantine").count() == 3
 
 
 def test_events_are_parsed_once_for_all_sinks(spark):
