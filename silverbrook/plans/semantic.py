@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import suppress
 from dataclasses import dataclass
 from functools import reduce
 
@@ -134,20 +135,89 @@ class BoundModel:
 _PARTIAL = {"sum": F.sum, "count": F.count}
 
 
+Groups = Mapping[str, Sequence[Metric]]
+
+
+def _folds(model: SemanticModel, groups: Groups, fields: Sequence[Field]) -> dict[str, str]:
+    """Entities whose metrics another one's can take along: entity -> the next such one on its way.
+
+    So it is when all fields lie behind the other one, as those of orders do for
+    order items; distinct counts cannot be summed per key. Without fields no
+    entity has to be joined.
+    """
+    folds: dict[str, str] = {}
+    if not fields:
+        return folds
+    for entity, metrics in groups.items():
+        ways = {}
+        for other in groups:
+            with suppress(SemanticError):
+                ways[other] = model.path(entity, other)
+        behind = [
+            (len(way), other)
+            for other, way in ways.items()
+            if way and all(model.path(entity, f.entity)[: len(way)] == way for f in fields)
+        ]
+        if behind and not any(m.function == "count_distinct" for m in metrics):
+            folds[entity] = min(behind)[1]
+    return folds
+
+
+def _rows_of(entity: str) -> str:
+    return f"_rows_of_{entity}"
+
+
+def _with_folded(
+    bound: BoundModel, entity: str, groups: Groups, folds: Mapping[str, str], columns: Sequence[Column]
+) -> DataFrame:
+    """Columns and metric inputs of an entity's rows, with the sums of what is folded into it."""
+    inputs = [F.col(m.column).alias(f"_{m.name}") for m in groups[entity]]
+    folded = [e for e, other in folds.items() if other == entity]
+    if len(groups) > 1:
+        inputs.append(F.lit(1).alias(_rows_of(entity)))
+    if folded:
+        inputs.append(F.col(bound.model.entity(entity).key).alias("_key"))
+    state = bound.tables[entity].select(*columns, *inputs)
+    for other in folded:
+        # One row per key on both sides; rows that refer to nothing keep their sums.
+        state = state.join(_along(bound, other, groups, folds), "_key", "full_outer")
+    return state.drop("_key")
+
+
+def _along(bound: BoundModel, entity: str, groups: Groups, folds: Mapping[str, str]) -> DataFrame:
+    """Metrics and number of rows of an entity, and of those folded into it, per key of the one it folds into."""
+    way = bound.model.path(entity, folds[entity])
+    state = _with_folded(bound, entity, groups, folds, [F.col(way[0].source_key).alias("_next")])
+    own = {f"_{m.name}": _PARTIAL[m.function] for m in groups[entity]}
+    sums = [c for c in state.columns if c != "_next"]
+    state = state.groupBy("_next").agg(*[own.get(c, F.sum)(c).alias(c) for c in sums])
+    for hop, following in zip(way, way[1:], strict=False):
+        on_the_way = bound.tables[hop.target].select(
+            F.col(hop.target_key).alias("_target_key"), F.col(following.source_key).alias("_after")
+        )
+        state = left_join_one(state, on_the_way, "_next", "_target_key", spread_by=["_next"])
+        state = state.groupBy(F.col("_after").alias("_next")).agg(*[F.sum(c).alias(c) for c in sums])
+    return state.withColumnRenamed("_next", "_key")
+
+
 def _by_entity(
     bound: BoundModel,
-    metrics: Sequence[Metric],
+    base: str,
+    groups: Groups,
+    folds: Mapping[str, str],
     dims: Sequence[Field],
     where: Sequence[tuple[Field, Predicate]],
 ) -> DataFrame:
-    """Metrics of one entity by dimensions reachable from it.
+    """Metrics of the entity ``base``, and of others folded into it, by dimensions reachable from it.
 
     Rows are aggregated to the keys and dimensions still needed before every
     join. A fact therefore reaches the shuffle already summed per key, and
     joins work on sums instead of on rows, which also takes the weight out of
-    keys that many rows share.
+    keys that many rows share. Entities that are folded in come as one row per
+    key of ``base``; from there on all share its attributes and its joins.
     """
-    model, base = bound.model, metrics[0].entity
+    model, folded = bound.model, [e for e in groups if e != base]
+    metrics = [m for own in groups.values() for m in own]
     wanted = list(dict.fromkeys([*dims, *[f for f, _ in where]]))
     hops: list[Relationship] = []
     for fld in wanted:
@@ -164,19 +234,18 @@ def _by_entity(
                 df = df.filter(predicate(F.col(fld.output)))
         return df
 
-    inputs = [F.col(m.column).alias(f"_{m.name}") for m in metrics]
-    state = filtered(bound.tables[base].select(*columns_of(base), *inputs), base)
+    state = filtered(_with_folded(bound, base, groups, folds, columns_of(base)), base)
     distinct = [f"_{m.name}" for m in metrics if m.function == "count_distinct"]
-    additive = [m for m in metrics if m.function != "count_distinct"]
+    counted = {f"_{m.name}": _PARTIAL[m.function] for m in groups[base] if m.function in _PARTIAL}
+    sums = [f"_{m.name}" for e in folded for m in groups[e]]
+    sums += [_rows_of(e) for e in groups] if folded else []
 
     def collapse(df: DataFrame, first: bool, joined: int) -> DataFrame:
         """Partial aggregates by whatever later joins and the result still need."""
         fields = [f.output for f in wanted if f.output in df.columns]
         pending = [f"_{r.name}" for r in hops[joined:] if f"_{r.name}" in df.columns]
-        partial = [
-            (_PARTIAL[m.function] if first else F.sum)(f"_{m.name}").alias(f"_{m.name}")
-            for m in additive
-        ]
+        partial = [(of if first else F.sum)(name).alias(name) for name, of in counted.items()]
+        partial += [F.sum(name).alias(name) for name in sums]
         needed = [*fields, *pending, *distinct]
         return df.groupBy(*needed).agg(*partial) if partial else df.select(*needed).distinct()
 
@@ -187,7 +256,7 @@ def _by_entity(
             F.col(hop.target_key).alias("_target_key"), *columns_of(hop.target)
         )
         key = f"_{hop.name}"
-        grain = [c for c in state.columns if c not in {f"_{m.name}" for m in additive}]
+        grain = [c for c in state.columns if c not in {*counted, *sums}]
         state = left_join_one(state, target, key, "_target_key", spread_by=grain)
         state = filtered(state.drop(key), hop.target)
         if position + 1 < len(hops):
@@ -197,13 +266,17 @@ def _by_entity(
     for m in metrics:
         source = F.col(f"_{m.name}")
         if m.function == "count_distinct":
-            final.append(F.count_distinct(source).alias(m.name))
+            value = F.count_distinct(source)
         elif m.function == "sum":
-            final.append(F.sum(source).alias(m.name))
-        elif hops:
-            final.append(F.coalesce(F.sum(source), F.lit(0)).cast("bigint").alias(m.name))
+            value = F.sum(source)
+        elif hops or m.entity != base:
+            value = F.coalesce(F.sum(source), F.lit(0)).cast("bigint")
         else:
-            final.append(F.count(source).alias(m.name))
+            value = F.count(source)
+        if folded and dims:
+            # An entity without rows there says nothing about a combination.
+            value = F.when(F.sum(_rows_of(m.entity)) > 0, value)
+        final.append(value.alias(m.name))
     return state.groupBy(*[d.output for d in dims]).agg(*final)
 
 
@@ -218,7 +291,9 @@ def semantic_query(
     """Metrics by dimensions, with filters on dimensions, an order and a limit.
 
     Dimensions come out as ``entity_column``. Metrics of different entities
-    are aggregated apart and put together on equal dimensions, NULL included.
+    are put together on equal dimensions, NULL included. Where one entity lies
+    on the other's way to the dimensions, its attributes serve both and are read
+    once; otherwise each is aggregated apart.
     ``order_by`` lists (output column, ``asc``/``desc``); dimensions break ties.
     """
     model = bound.model
@@ -231,7 +306,14 @@ def semantic_query(
     groups: dict[str, list[Metric]] = defaultdict(list)
     for metric in chosen:
         groups[metric.entity].append(metric)
-    parts = [_by_entity(bound, group, fields, filters) for group in groups.values()]
+    folds = _folds(model, groups, [*fields, *[f for f, _ in filters]])
+    bases: dict[str, dict[str, list[Metric]]] = defaultdict(dict)
+    for entity, own in groups.items():
+        base = entity
+        while base in folds:
+            base = folds[base]
+        bases[base][entity] = own
+    parts = [_by_entity(bound, base, own, folds, fields, filters) for base, own in bases.items()]
     outputs = [f.output for f in fields]
     if len(parts) == 1:
         result = parts[0]

@@ -303,3 +303,23 @@ def test_secured_model_hides_rows_and_values(marts, grants):
     assert _rows(semantic_query(user9, ["total_revenue"], ["first_name"], order_by=[("total_revenue", "desc")], limit=1)) == [
         (None, Decimal("4.00"))
     ]
+
+
+def test_entities_on_the_way_share_one_scan(marts, folder, spark):
+    """Order items, orders and customers by a customer's name: each mart is read once, and the numbers stay."""
+    stored = {}
+    for name, df in marts.items():
+        df.write.parquet(f"{folder}/{name}")
+        stored[name] = spark.read.parquet(f"{folder}/{name}")
+    metrics = ["total_units_sold", "order_count", "customer_count", "total_revenue"]
+    both = semantic_query(SHOP_MODEL.bind(stored), metrics, ["last_name", "first_name"])
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    for name in ("fact_orders", "fact_order_items", "dim_customers"):
+        assert plan.count(f"{folder}/{name}]") == 1, name
+    apart = {m: {tuple(r)[:2]: r[2] for r in semantic_query(SHOP_MODEL.bind(stored), [m], ["last_name", "first_name"]).collect()} for m in metrics}
+    keys = {k for found in apart.values() for k in found}
+    assert {tuple(r)[:2]: tuple(r)[2:] for r in both.collect()} == {k: tuple(apart[m].get(k) for m in metrics) for k in keys}
+    where = {"orders.status": lambda c: c == "placed"}
+    some = semantic_query(SHOP_MODEL.bind(stored), ["total_units_sold", "order_count"], ["status"], where=where)
+    alone = [semantic_query(SHOP_MODEL.bind(stored), [m], ["status"], where=where).first()[1] for m in ("total_units_sold", "order_count")]
+    assert _rows(some) == [("placed", *alone)]
