@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +20,12 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 #: Stands for a missing doc_id where ids are compared: after every other id.
 NO_ID = 2**63 - 1
 
+#: Texts that a worker has as Python strings at a time.
+TEXTS_AT_ONCE = 512
+
+#: Made in each task: texts in, whether each is kept out.
+Decide = Callable[[list[str | None]], list[bool]]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -57,6 +66,36 @@ def first_of_equal(df: DataFrame, *keys: str) -> DataFrame:
     return ranked.filter(F.col(number) == 1).drop(number)
 
 
+def keep_by_text(docs: DataFrame, prepare: Callable[[], Decide]) -> DataFrame:
+    """The rows whose text is kept, with all their columns.
+
+    Only texts go to the Python workers and only decisions come back, a few
+    hundred texts at a time; ``prepare`` is called once a task.
+    """
+
+    @F.arrow_udf("boolean")
+    def kept(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        decide = prepare()
+        try:
+            for texts in batches:
+                found: list[bool] = []
+                for at in range(0, len(texts), TEXTS_AT_ONCE):
+                    found.extend(decide(texts.slice(at, TEXTS_AT_ONCE).to_pylist()))
+                yield pa.array(found, pa.bool_())
+        finally:
+            give_back()
+
+    return docs.filter(kept(F.col("text").cast("string")))
+
+
+def give_back() -> None:
+    """Return what Arrow and the allocator hold free to the system: workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
 def digest16(data: bytes) -> bytes:
     """128-bit content digest."""
     return hashlib.blake2b(data, digest_size=16).digest()

@@ -25,14 +25,14 @@ from __future__ import annotations
 import string
 from bisect import bisect_left
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverbrook.llm.common import stored
+from silverbrook.llm.common import Decide, give_back, keep_by_text, stored
 
 #: Edits allowed per character of an item.
 ERROR_RATE = 0.08
@@ -192,6 +192,7 @@ def _scanner(items: list[tuple[str, list[int]]], rate: float):
                 [pa.array(c, pa.int64()) for c in columns],
                 ["doc_id", "item_id", "distance", "passage_start", "passage_end"],
             )
+        give_back()
 
     return scan
 
@@ -232,19 +233,13 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RAT
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """The rows, with all their columns, that hold no passage within the budget of an item."""
 
-    def cleaner(items: list[tuple[str, list[int]]]):
-        held: list[Matcher] = []
+    def cleaner(items: list[tuple[str, list[int]]]) -> Callable[[], Decide]:
+        def prepare() -> Decide:
+            matcher = Matcher(items, rate, MIN_CHARS)
+            return lambda texts: [next(matcher.find(plain(t)), None) is None for t in texts]
 
-        def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            if not held:
-                held.append(Matcher(items, rate, MIN_CHARS))
-            for batch in batches:
-                texts = map(plain, batch.column("text").to_pylist())
-                free = [next(held[0].find(t), None) is None for t in texts]
-                yield batch.filter(pa.array(free, pa.bool_()))
-
-        return clean
+        return prepare
 
     for number, items in enumerate(_item_blocks(benchmark)):
-        docs = (stored(docs, "clean") if number else docs).mapInArrow(cleaner(items), docs.schema)
+        docs = keep_by_text(stored(docs, "clean") if number else docs, cleaner(items))
     return docs

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from silverbrook.llm.common import NO_ID
+from silverbrook.llm.common import NO_ID, TEXTS_AT_ONCE, give_back, keep_by_text
 
 UNKNOWN = "und"
 #: Bound of the training sample.
@@ -279,10 +279,13 @@ def classify(network: Network | None, texts: list[str | None]) -> list[tuple[str
 def _predictor(network: Network | None):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = classify(network, batch.column("text").to_pylist())
+            texts, found = batch.column("text"), []
+            for at in range(0, len(texts), TEXTS_AT_ONCE):
+                found += classify(network, texts.slice(at, TEXTS_AT_ONCE).to_pylist())
             langs, scores = [lang for lang, _ in found], [score for _, score in found]
             columns = [batch.column(0), batch.column(1), pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
             yield pa.record_batch(columns, ["doc_id", "held_out", "lang_pred", "score"])
+        give_back()
 
     return predict
 
@@ -349,13 +352,9 @@ def documents_in_known_languages(docs: DataFrame, network: Network | None, min_s
     if network is not None:
         min_score *= min(1.0, SCORED_LANGUAGES / len(network.languages))
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            if network is None:
-                known = [has_letter(text or "") for text in texts]
-            else:
-                known = [lang != UNKNOWN and score >= min_score for lang, score in classify(network, texts)]
-            yield batch.filter(pa.array(known, pa.bool_()))
-
-    return docs.mapInArrow(keep, docs.schema)
+    def known(texts: list[str | None]) -> list[bool]:
+        if network is None:
+            return [has_letter(text or "") for text in texts]
+        return [lang != UNKNOWN and score >= min_score for lang, score in classify(network, texts)]
+
+    return keep_by_text(docs, lambda: known)

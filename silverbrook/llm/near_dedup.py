@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverbrook.llm.common import digest16, fresh, stored
+from silverbrook.llm.common import digest16, fresh, give_back, stored
 from silverbrook.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -174,6 +174,7 @@ def _describe(words_each: int, bands: int, rows: int):
                 ],
                 ["doc_id", "n_shingles", "node", "bands"],
             )
+        give_back()
 
     return describe
 
@@ -190,6 +191,7 @@ def _shingled(words_each: int):
                     yield pa.record_batch([pa.array(nodes, pa.binary()), pa.array(sets, pa.binary())], ["node", "shingles"])
                     nodes, sets, size = [], [], 0
             yield pa.record_batch([pa.array(nodes, pa.binary()), pa.array(sets, pa.binary())], ["node", "shingles"])
+        give_back()
 
     return shingled
 
@@ -213,6 +215,7 @@ def _confirm(threshold: int):
             ]
             kept = pa.array(good, pa.bool_())
             yield pa.record_batch([batch.column("a"), batch.column("b")], ["a", "b"]).filter(kept)
+        give_back()
 
     return confirm
 

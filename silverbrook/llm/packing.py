@@ -6,9 +6,10 @@ falling length and puts each into the open window with the least room that
 still holds it; a segment tree over remaining capacities finds that window in
 log(window) steps. Nothing is shuffled: a task packs what it reads, holds
 lengths and checksums, and ids only where they are asked for. It packs what it
-holds after ``PACK_PIECES`` remainders or ``PACK_BYTES`` of ids and hands pieces
-on in batches of ``BATCH_BYTES`` of ids, so memory is bounded and at most the
-last windows of each packing are partly empty.
+holds after ``PACK_PIECES`` remainders or ``PACK_BYTES`` of their ids, alike
+whether or not it holds the ids themselves, and hands pieces on in batches of
+``BATCH_BYTES`` of ids, so memory is bounded and at most the last windows of each
+packing are partly empty.
 
 Defined cases: a null or empty text is its end id alone; a window-long document
 is one full window; repeated rows are packed like any others; no documents give
@@ -28,13 +29,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverbrook.llm.tokens import encoder
+from silverbrook.llm.common import give_back
+from silverbrook.llm.tokens import UNITS, encoder
 
 WINDOW = 1024
 END_ID = 0
 #: Remainders sorted and packed at a time, and bytes of their ids.
 PACK_PIECES = 200_000
-PACK_BYTES = 64_000_000
+PACK_BYTES = 32_000_000
 #: Pieces handed on at a time, and bytes of their ids.
 BATCH_PIECES = 50_000
 BATCH_BYTES = 4_000_000
@@ -109,9 +111,9 @@ def _batch(rows: list[tuple], with_ids: bool) -> pa.RecordBatch:
     return pa.record_batch(arrays, names)
 
 
-def _packer(path: str, window: int, end_id: int, with_ids: bool):
+def _packer(path: str, window: int, end_id: int, with_ids: bool, units: int = UNITS):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode = encoder(path, units).encode
         base = TaskContext.get().partitionId() << TASK_BITS
         sequences = 0
         whole: list[tuple] = []
@@ -154,25 +156,32 @@ def _packer(path: str, window: int, end_id: int, with_ids: bool):
                     if len(whole) >= BATCH_PIECES or with_ids and 4 * window * len(whole) >= BATCH_BYTES:
                         yield _batch(whole, with_ids)
                         whole = []
-                if len(rest) >= PACK_PIECES or with_ids and held >= PACK_BYTES:
+                if len(rest) >= PACK_PIECES or held >= PACK_BYTES:
                     yield from packed()
         if whole:
             yield _batch(whole, with_ids)
         yield from packed()
+        give_back()
 
     return pack
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False
+    docs: DataFrame,
+    tokenizer: str,
+    window: int = WINDOW,
+    end_id: int = END_ID,
+    with_ids: bool = False,
+    units: int = UNITS,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     ``with_ids`` adds the piece's ids as little-endian unsigned 32-bit integers.
+    ``units`` bounds the memory of an encoder, not its results.
     """
     schema = _PIECES + (", ids binary" if with_ids else "")
     rows = docs.select("doc_id", F.col("text").cast("string"))
-    return rows.mapInArrow(_packer(tokenizer, window, end_id, with_ids), schema)
+    return rows.mapInArrow(_packer(tokenizer, window, end_id, with_ids, units), schema)
 
 
 def sequences(pieces: DataFrame) -> DataFrame:

@@ -48,7 +48,8 @@ def _holes(ids: list[bytes | None]) -> Iterator[int]:
 class Encoder:
     """Ids of texts as arrays of ``dtype`` (two bytes where the vocabulary allows it)."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, units: int = UNITS) -> None:
+        self.remembered = units
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
@@ -112,9 +113,9 @@ class Encoder:
         self.units.update([(u, b"".join([known[w] for w in found])) for u, found in cut.items()])
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.units) > UNITS:
+        if len(self.units) > self.remembered:
             # What was met first is met most.
-            self.units = dict(islice(self.units.items(), UNITS // 2))
+            self.units = dict(islice(self.units.items(), self.remembered // 2))
         known = self.units.get
         easy, firsts, found, missing = [], [], [], []
         for text in texts:
@@ -149,11 +150,11 @@ class Encoder:
         yield from (np.frombuffer(x, self.dtype) for x in self._encode(chunk))
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a tokenizer file, kept from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, units: int = UNITS) -> Encoder:
+    """The worker's encoder for a tokenizer file, kept from task to task; it remembers so many units."""
+    if (path, units) not in _ENCODERS:
+        _ENCODERS[path, units] = Encoder(path, units)
+    return _ENCODERS[path, units]
