@@ -21,6 +21,9 @@ from silverbrook.llm.queries import tokenizer_file
 #: the documents of any one language are, more than an even choice among four
 #: (with more learned languages it falls in proportion).
 MIN_SCORE = 0.4
+#: Units that a worker's encoder remembers, some 50 MB: by the last stage an
+#: executor also holds what the stages before have left.
+UNITS = 250_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +51,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences, with their ids."""
-    return pack_documents(docs, tokenizer_file(), with_ids=True)
+    return pack_documents(docs, tokenizer_file(), with_ids=True, units=UNITS)
 
 
 STAGES = [
