@@ -6,10 +6,15 @@ keys cut the rows into many fine ranges, the bytes of every range are counted
 in full, and a range that came out too heavy, as one hot key makes it, is
 subdivided by splitters over the whole order. Running sums within ranges plus
 the exact totals of earlier ranges give each row its place in the global order
-of bytes, and the shard is that place cut into equal parts: shards differ by
-less than one record on either side, whatever the sample said. The sample only
+of bytes, and the shard is that place cut into equal parts. The sample only
 decides how evenly the work is spread.
 
+Rows of one key, by default equal texts, are a group and go whole into the shard
+that holds the group's middle byte, as long as the group has at most
+``GROUP_SHARE`` of a shard's bytes; larger ones, told by ``group_split``, go on
+into the next shard. A shard's bytes differ from their due by less than a record
+or half a whole group at either end, whatever the sample said.
+
 The driver sees splitters and one total per range: their number follows
 ``RANGE_ROWS``, 24 bytes for each, not the rows. The chance of a row comes from
 a hash, so a recomputed task draws the same sample.
@@ -40,6 +45,9 @@ OVERSAMPLE = 32
 #: A range heavier than so many times its due is subdivided.
 OVERFULL = 2.0
 
+#: Share of a shard's bytes up to which a group is kept whole.
+GROUP_SHARE = 0.5
+
 _LOW = -(2**63)
 _ORDER = ["key", "id", "tie"]
 
@@ -147,7 +155,9 @@ def shard_places(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Rows of ``sized_rows`` with shard and slot (gapless from 0 within the shard)."""
     total, count = rows.agg(F.sum("size"), F.count("*")).first()
     if not count:
-        return rows.withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")})
+        return rows.withColumns(
+            {"shard": F.lit(0), "slot": F.lit(0).cast("long"), "group_split": F.lit(False)}
+        )
     ranges = max(MIN_RANGES, -(-count // RANGE_ROWS))
     splitters, totals = find_splitters(rows, ranges, total)
     before = totals.cumsum() - totals
@@ -170,12 +180,24 @@ def shard_places(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
         .join(F.broadcast(starts), "range")
         .select(
             *rows.columns,
-            F.floor((F.col("bytes_before") + F.col("local_bytes")) * F.lit(shards) / F.lit(total))
-            .cast("int")
-            .alias("shard"),
+            (F.col("bytes_before") + F.col("local_bytes")).alias("start"),
             (F.col("rows_before") + F.col("local_row")).alias("place"),
         )
     )
+    placed = stored(placed, "shard-starts")
+    groups = placed.groupBy("key").agg(
+        F.count("*").alias("rows"), F.min("start").alias("group_start"), F.sum("size").alias("group_bytes")
+    )
+    groups = groups.filter("rows > 1").drop("rows")
+    whole = F.col("group_bytes") <= F.lit(GROUP_SHARE * total / shards)
+    # A group's rows follow one another, so that shards stay stretches of the order.
+    byte = F.when(whole, F.col("group_start") + F.col("group_bytes") / 2).otherwise(F.col("start"))
+    placed = placed.join(groups, "key", "left").select(
+        *rows.columns,
+        F.least(F.floor(byte * F.lit(shards) / F.lit(total)), F.lit(shards - 1)).cast("int").alias("shard"),
+        "place",
+        F.coalesce(~whole, F.lit(False)).alias("group_split"),
+    )
     placed = stored(placed, "shard-places")
     firsts = placed.groupBy("shard").agg(F.min("place").alias("first"))  # a row per shard
     return placed.join(F.broadcast(firsts), "shard").withColumn("slot", F.col("place") - F.col("first")).drop(
@@ -184,11 +206,11 @@ def shard_places(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, key: Column | None = None) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot and grown_shard (always null) of every row.
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard (always null) and group_split of every row.
 
     The law is ``bytes``: sizes near equal. By default rows are ordered by a
-    hash of the text, which keeps equal texts together unless a shard ends
-    among them.
+    hash of the text, and equal texts are in one shard unless there is too much
+    of them for that (``group_split``).
     """
     return shard_places(sized_rows(docs, key), shards).select(
         "doc_id",
@@ -198,6 +220,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, key: Column | None = None) -> D
         "shard",
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
+        "group_split",
     )
 
 

@@ -7,12 +7,21 @@ import corpus_pipeline
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from checks.compare import _rows, connect
 from silverbrook.llm.common import table
 from silverbrook.llm.queries import ORACLES, QUERIES
-from silverbrook.llm.sharding import Splitters, shard, write_shards
-from silverbrook.llm.url_filters import filter_captures, validity_intervals
+from silverbrook.llm.sharding import GROUP_SHARE, Splitters, shard, write_shards
+from silverbrook.llm.url_filters import (
+    STRETCH,
+    filter_captures,
+    host_intervals,
+    laid_out,
+    stretch,
+    url_host,
+    validity_intervals,
+)
 from silverbrook.session import shared_dir
 from tests.llm.test_near_dedup import groups_by_hand
 
@@ -77,6 +86,36 @@ def test_url_filters_run_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_hosts(spark):
+    urls = {
+        "http://[2001:DB8::1]:8080/x": "[2001:db8::1]", "https://u@[::1]": "[::1]", "http://a.b.:80/": "a.b",
+        "http://[broken/x": "[broken", "http://": None, "//a.b/c": None, None: None,
+    }
+    seen = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert {r.url: r.host for r in seen.withColumn("host", url_host(F.col("url"))).collect()} == urls
+
+
+def test_a_hot_host_over_years(spark):
+    """One host has nearly all captures and changes its state every other day; no row of the join grows with that."""
+    start = DAY(2020, 1, 5)
+    days = [start + datetime.timedelta(n) for n in range(1200)]
+    entries = [("flip", "host", "hot.example", "add" if n % 4 == 0 else "remove", d) for n, d in enumerate(days[:1100]) if n % 2 == 0]
+    entries += [("all", "domain", "example", "add", DAY(1999, 1, 1)), ("v6", "host", "[::1]", "add", days[40]), ("v6", "domain", "1]", "add", days[0])]
+    captures = [(n, "http://hot.example/", d) for n, d in enumerate(days)] + [(5000, "http://[::1]/", days[39]), (5001, "http://[::1]/", days[40])]
+    listed = spark.createDataFrame(entries, "list string, scope string, key string, action string, day date")
+    seen = spark.createDataFrame(captures, "id long, url string, fetched_on date")
+    got = {r.id: [e.list for e in r.active] for r in filter_captures(seen, listed).collect()}
+    for n in range(1200):
+        on = n % 4 in (0, 1) if n < 1100 else False  # the last entry, of day 1,098, removes
+        assert got[n] == ["all"] + ["flip"] * on, n
+    assert (got[5000], got[5001]) == ([], ["v6"])
+    spread = laid_out(validity_intervals(listed), days[0], days[-1])
+    held = host_intervals(seen.select(url_host(F.col("url")).alias("host"), stretch(F.col("fetched_on")).alias("stretch")).distinct(), spread)
+    assert held.agg(F.max(F.size("entries"))).first()[0] <= STRETCH // 2 + 1 + 1
+    assert filter_captures(seen.filter("false"), listed.filter("false")).count() == 0
+    assert filter_captures(seen, listed.filter("false")).filter("blocked").isEmpty()
+
+
 def _check_shards(rows, sizes):
     assert sorted((r.size, r.text_crc32) for r in rows) == sorted(sizes)
     by_shard = defaultdict(list)
@@ -86,6 +125,13 @@ def _check_shards(rows, sizes):
     for own in by_shard.values():
         assert sorted(r.slot for r in own) == list(range(len(own)))
     due, largest = sum(s for s, _ in sizes) / 16, max(s for s, _ in sizes)
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r.size, r.text_crc32].append(r)
+    whole = {k: g for k, g in groups.items() if sum(r.size for r in g) <= GROUP_SHARE * due or len(g) == 1}
+    assert all(len({r.shard for r in g}) == 1 and not any(r.group_split for r in g) for g in whole.values())
+    assert all(all(r.group_split for r in g) for k, g in groups.items() if k not in whole)
+    largest = max([largest, *(sum(r.size for r in g) / 2 for g in whole.values())])
     assert all(abs(sum(r.size for r in by_shard.get(s, [])) - due) <= largest for s in range(16))
 
 
@@ -103,6 +149,19 @@ def test_shards(spark, edge_docs, clashing_docs, edge_rows, no_docs):
     _check_shards(shard(docs).collect(), _sizes(rows))
 
 
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_equal_texts_of_the_given_documents_share_a_shard(spark, sf):
+    sf_dir = f"/root/testdata/sf{sf}"
+    texts = defaultdict(set)
+    for r in table(spark, sf_dir, "documents").collect():
+        texts[r.text or ""].add(r.doc_id)
+    rows = {r.doc_id: r for r in QUERIES["op9_sharding"](spark, sf_dir).collect()}
+    _check_shards(list(rows.values()), [(len(t.encode()) + 1, zlib.crc32(t.encode())) for t, ids in texts.items() for _ in ids])
+    assert any(len(ids) > 1 for ids in texts.values())
+    for ids in texts.values():
+        assert len({rows[i].shard for i in ids}) == 1, ids
+
+
 def test_binary_search_of_splitters():
     rng = np.random.default_rng(0)
     bounds = np.unique(rng.integers(0, 5, (40, 3)), axis=0)
