@@ -16,9 +16,11 @@ A key that fills a third of all lines is reduced to one row per task before any
 shuffle; joining owners back to the lines leaves its many lines on the side
 that adaptive execution can split. Texts move once, to meet their own drops.
 
-Defined cases: a null or empty text is one empty line; rows without doc_id act
-as one document after all others; rows that repeat a doc_id are one document;
-a batch without rows adds nothing; other columns are ignored.
+Defined cases: a null or empty text is one empty line; rows without doc_id own
+lines as one document after all others; rows that repeat a doc_id own lines as
+one document. Each text has drops of its own all the same, so that no row
+collects what many rows lose. A batch without rows adds nothing; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -55,12 +57,15 @@ def line_hash(line: str) -> bytes | None:
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids: list[int] = []
+        rows: list[int] = []
         found: list[bytes] = []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for doc, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
             own = {line_hash(line) for line in (text.as_py() or "").split("\n")} - {None}
             ids.extend([doc] * len(own))
+            rows.extend([row] * len(own))
             found.extend(own)
-        yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(found, pa.binary())], ["doc", "hash"])
+        columns = [pa.array(ids, pa.int64()), pa.array(rows, pa.int64()), pa.array(found, pa.binary())]
+        yield pa.record_batch(columns, ["doc", "text_hash", "hash"])
 
 
 def _rewritten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,9 +90,13 @@ def _rewritten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_doc(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("doc"), "doc_id", F.col("text").cast("string")
-    )
+    """The rows with the document that owns their lines, and a hash of the text that tells its rows apart.
+
+    Should two texts of one document share the hash, each is asked for the
+    other's drops too, which its document loses anyway.
+    """
+    doc, text = F.coalesce(F.col("doc_id"), F.lit(NO_ID)), F.col("text").cast("string")
+    return docs.select(doc.alias("doc"), "doc_id", text, F.xxhash64(text).alias("text_hash"))
 
 
 class LineRuns:
@@ -125,8 +134,9 @@ class LineRuns:
 
 
 def find_drops(batch: DataFrame, runs: LineRuns) -> DataFrame:
-    """(doc, drops): the hashes each document of the batch loses; the batch's own go into the runs."""
-    pairs = stored(_with_doc(batch).select("doc", "text").mapInArrow(_hashes, "doc long, hash binary"), "line-hashes")
+    """(doc, text_hash, drops): the hashes each text of the batch loses; the batch's own go into the runs."""
+    rows = _with_doc(batch).select("doc", "text_hash", "text")
+    pairs = stored(rows.mapInArrow(_hashes, "doc long, text_hash long, hash binary"), "line-hashes")
     first = pairs.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
     met = first.join(runs.seen().hint("merge"), "hash", "left")
     met = stored(met, "line-owners")
@@ -136,12 +146,12 @@ def find_drops(batch: DataFrame, runs: LineRuns) -> DataFrame:
         "hash", F.coalesce("owner", "first").alias("owner")
     )
     lost = pairs.join(owners.hint("merge"), "hash").filter("doc <> owner")
-    return lost.groupBy("doc").agg(F.collect_set("hash").alias("drops"))
+    return lost.groupBy("doc", "text_hash").agg(F.collect_set("hash").alias("drops"))
 
 
 def rewrite(docs: DataFrame, drops: DataFrame) -> DataFrame:
     """doc_id, text (the lines that stay), n_lines (before), n_dropped."""
-    joined = _with_doc(docs).join(drops, "doc", "left").select("doc_id", "text", "drops")
+    joined = _with_doc(docs).join(drops, ["doc", "text_hash"], "left").select("doc_id", "text", "drops")
     return joined.mapInArrow(_rewritten, "doc_id long, text string, n_lines long, n_dropped long")
 
 

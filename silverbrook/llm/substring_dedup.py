@@ -25,8 +25,9 @@ not moved unless passages are cut out of them.
 
 Defined cases: null and empty texts have no chunks; a passage that a document
 repeats within itself only is no repeat; rows that repeat a doc_id are one
-document; rows without doc_id are one document after all others; no documents
-give no rows; other columns are ignored.
+document; rows without doc_id are documents of their own, one for each text,
+after all others (whose ids are below 2^62); no documents give no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,11 +37,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverbrook.llm.common import NO_ID
-
 MIN_BYTES = 12
 MAX_BYTES = 128
 #: Bits that must be zero at a cut, and at a cut that is taken for want of one.
@@ -48,6 +47,8 @@ STRONG_BITS = 4
 WEAK_BITS = 2
 #: Bytes that a tested bit depends on.
 WINDOW = 16
+#: From here on, numbers of texts stand for missing ids.
+NO_ID = 2**62
 #: Words of a span that count as a repeated passage.
 MIN_WORDS = 22
 
@@ -141,10 +142,15 @@ def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch_of(held)
 
 
+def _document() -> Column:
+    """The id that chunks and spans go by: of a row without one, a number for its text, behind all ids."""
+    own = F.lit(NO_ID) + F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit(NO_ID))
+    return F.coalesce(F.col("doc_id"), own)
+
+
 def chunk_table(docs: DataFrame) -> DataFrame:
     """(doc, d1, d2, start, length, words) of every chunk; places count UTF-8 bytes."""
-    doc = F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("doc")
-    return docs.select(doc, F.col("text").cast("string")).mapInArrow(_chunked, _CHUNKS)
+    return docs.select(_document().alias("doc"), F.col("text").cast("string")).mapInArrow(_chunked, _CHUNKS)
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -152,7 +158,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Columns: doc_id, start and length (UTF-8 bytes), words, n_chunks, keep_id
     (where the span's first chunk stays), n_copies (the fewest occurrences of
-    any of its chunks).
+    any of its chunks), doc (what rows without doc_id are told apart by).
     """
     chunks = chunk_table(docs)
     owners = (
@@ -167,16 +173,16 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     parts = F.array_sort(F.collect_set(F.struct("start", "length", "words", "owner", "n")))
     return repeats.groupBy("doc").agg(parts.alias("parts")).mapInArrow(
         _joined(min_words),
-        "doc_id long, start int, length int, words int, n_chunks int, keep_id long, n_copies long",
+        "doc_id long, start int, length int, words int, n_chunks int, keep_id long, n_copies long, doc long",
     )
 
 
 def _joined(min_words: int):
-    names = ["doc_id", "start", "length", "words", "n_chunks", "keep_id", "n_copies"]
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+    names = ["doc_id", "start", "length", "words", "n_chunks", "keep_id", "n_copies", "doc"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
     def known(doc: int) -> int | None:
-        return None if doc == NO_ID else doc
+        return None if doc >= NO_ID else doc
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,7 +198,7 @@ def _joined(min_words: int):
                         continue
                     if span and span[3] >= min_words:
                         rows.append(span)
-                    span = [known(doc), p["start"], p["length"], p["words"], 1, known(p["owner"]), p["n"]]
+                    span = [known(doc), p["start"], p["length"], p["words"], 1, known(p["owner"]), p["n"], doc]
                 if span and span[3] >= min_words:
                     rows.append(span)
             columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
@@ -216,9 +222,9 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def without_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """(doc_id, text) of every row, without the bytes of its repeated passages."""
-    spans = passages.groupBy(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("doc")).agg(
+    spans = passages.groupBy("doc").agg(
         F.array_sort(F.collect_set(F.struct("start", "length"))).alias("spans")
     )
-    rows = docs.select(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("doc"), "doc_id", F.col("text").cast("string"))
+    rows = docs.select(_document().alias("doc"), "doc_id", F.col("text").cast("string"))
     joined = rows.join(spans, "doc", "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(_cut_out, "doc_id long, text string")

@@ -78,6 +78,18 @@ def test_line_dedup_equals_brute_force(edge_docs, clashing_docs, edge_rows, no_d
     assert line_dedup(no_docs).count() == 0
 
 
+def test_lines_of_many_rows_without_id(spark):
+    shared = [f"a line that several rows share {i}" for i in range(40)]
+    rows = [(None, "\n".join([f"a line of row {n} alone", *shared[n % 20 : n % 20 + 10]])) for n in range(200)]
+    rows += [(7, "\n".join(shared[:5])), (7, "\n".join(shared[3:8])), (9, "\n".join(shared[:9]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted((repr(r.doc_id), r.n_lines, r.n_dropped, r.text) for r in line_dedup(docs).collect())
+    assert got == _lines_by_hand(rows)
+    # What a row collects is bounded by its own lines.
+    drops = find_drops(docs, LineRuns(spark))
+    assert max(len(r.drops) for r in drops.collect()) <= 10
+
+
 def test_runs_are_levelled_and_disjoint(spark):
     runs = LineRuns(spark, fan=2)
     texts = ["common line of text\nline number %d here" % i for i in range(5)]

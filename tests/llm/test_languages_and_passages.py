@@ -165,6 +165,24 @@ def test_repeated_passages_edge_cases(edge_docs, clashing_docs, no_docs):
     assert sub.without_repeats(edge_docs, sub.repeated_passages(edge_docs)).count() == edge_docs.count()
 
 
+def test_rows_without_id_are_told_apart(spark):
+    rng = random.Random(8)
+    passages = [_prose(rng, 80) for _ in range(6)]
+    rows = [(5, _prose(rng, 100) + " " + passages[0])]
+    rows += [(None, _prose(rng, 50 + 10 * i) + " " + passages[i % 6] + " " + _prose(rng, 40)) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = sub.repeated_passages(docs)
+    spans = found.collect()
+    # Of each passage all rows but its owner's show it, whole but for the ends.
+    assert len({r.doc for r in spans}) == 24 + 1 - 6 and {r.keep_id for r in spans} == {5, None}
+    assert all(r.doc_id is None for r in spans)
+    left = [r.text for r in sub.without_repeats(docs, found).collect()]
+    assert len(left) == 25
+    for p in passages:
+        middle = " ".join(p.split()[30:50])
+        assert sum(middle in text for _, text in rows) >= 4 and sum(middle in text for text in left) == 1
+
+
 # ---- benchmark passages
 
 
