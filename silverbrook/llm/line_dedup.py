@@ -5,12 +5,14 @@ a key that stands in several documents only the lines in the document with the
 smallest id stay (all of them, should that document repeat it); keys under
 ``MIN_CHARS`` code points are left alone.
 
-What has been seen is kept as runs: tables of (hash, owner) sorted by hash. A
-batch reduces its own lines to one owner per hash, merge-joins them with every
-run, and writes the hashes no run holds as a new run of level 0. When a level
-has ``fan`` runs they are merged into one run of the next level, so a hash is
-rewritten once per level and a batch meets few runs. Batches must come in
-ascending doc_id order for the smallest id to stay.
+What has been seen is kept as runs: tables of (hash, owner) bucketed and sorted
+by hash, all into as many buckets. A batch reduces its own lines to one owner per
+hash, deals them to the buckets and sorts them once, and merge-joins them with
+one run after the other; the runs are read in their order and neither moved nor
+sorted. The hashes that no run has, which still lack an owner then, are a new run
+of level 0. When a level has ``fan`` runs they are merged, bucket by bucket, into one
+run of the next level, so a hash is rewritten once per level and a batch meets
+few runs. Batches must come in ascending doc_id order for the smallest id to stay.
 
 A key that fills a third of all lines is reduced to one row per task before any
 shuffle; joining owners back to the lines leaves its many lines on the side
@@ -26,6 +28,7 @@ are ignored.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverbrook.llm.common import NO_ID, SPACE_CHARS, stored
+from silverbrook.session import shared_dir
 
 #: Keys of fewer code points are never dropped.
 MIN_CHARS = 10
@@ -40,6 +44,8 @@ MIN_CHARS = 10
 FAN = 2
 #: Documents are taken in so many batches by the registered query.
 BATCHES = 4
+#: Buckets of a run; one task reads one bucket of every run.
+BUCKETS = 64
 
 _SPACE = SPACE_CHARS.encode()
 _RUN = "hash binary, owner long"
@@ -100,37 +106,70 @@ def _with_doc(docs: DataFrame) -> DataFrame:
 
 
 class LineRuns:
-    """The hashes seen so far, in levels of sorted runs."""
+    """The hashes seen so far, in levels of sorted runs.
 
-    def __init__(self, spark: SparkSession, fan: int = FAN) -> None:
+    A run is a table of the session's catalog, whose files lie in the shared
+    folder: Spark keeps buckets for tables only. It takes a bucket of one file
+    as sorted where the session says so, which is set here.
+    """
+
+    def __init__(self, spark: SparkSession, fan: int = FAN, buckets: int = BUCKETS) -> None:
         self.spark = spark
         self.fan = fan
+        self.buckets = buckets
         self.levels: list[list[DataFrame]] = []
+        self.names: list[str] = []
+        spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+
+    def runs(self) -> list[DataFrame]:
+        return [run for level in self.levels for run in level]
 
     def seen(self) -> DataFrame:
         """Every hash of every run with its owner; a hash is in one run only."""
         found = self.spark.createDataFrame([], _RUN)
-        for run in (run for level in self.levels for run in level):
+        for run in self.runs():
             found = found.unionByName(run)
         return found
 
+    def with_owners(self, hashes: DataFrame) -> DataFrame:
+        """``hashes`` with the owner that a run has, null where none has."""
+        found = hashes.withColumn("owner", F.lit(None).cast("long"))
+        for run in self.runs():
+            held = run.withColumnRenamed("owner", "held").hint("merge")
+            found = found.join(held, "hash", "left").withColumn("owner", F.coalesce("owner", "held")).drop("held")
+        return found
+
+    def close(self) -> None:
+        """Take the runs out of the catalog; their files stay like all working files."""
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.names.clear()
+        self.levels.clear()
+
     def add(self, owners: DataFrame) -> None:
         """Store a new run and merge levels that are full."""
-        self._put(0, owners)
+        self._put(0, owners.repartition(self.buckets, "hash"))
         level = 0
         while len(self.levels[level]) >= self.fan:
-            merged = self.levels[level][0]
-            for run in self.levels[level][1:]:
-                merged = merged.unionByName(run)
+            # No hash is in two runs: a full join of sorted buckets is their merge.
+            merged, *others = self.levels[level]
+            for run in others:
+                other = run.withColumnRenamed("owner", "other")
+                merged = merged.join(other.hint("merge"), "hash", "full_outer").select(
+                    "hash", F.coalesce("owner", "other").alias("owner")
+                )
             self.levels[level] = []
-            # Equal ranges of hashes, so that files of a run do not overlap.
-            self._put(level + 1, merged.repartitionByRange("hash"))
+            self._put(level + 1, merged)
             level += 1
 
     def _put(self, level: int, run: DataFrame) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(stored(run.sortWithinPartitions("hash"), f"line-run-{level}"))
+        name = f"line_run_{uuid.uuid4().hex}"
+        writer = run.write.bucketBy(self.buckets, "hash").sortBy("hash")
+        writer.option("path", shared_dir(self.spark, f"line-run-{level}")).saveAsTable(name)
+        self.names.append(name)
+        self.levels[level].append(self.spark.table(name))
 
 
 def find_drops(batch: DataFrame, runs: LineRuns) -> DataFrame:
@@ -138,8 +177,9 @@ def find_drops(batch: DataFrame, runs: LineRuns) -> DataFrame:
     rows = _with_doc(batch).select("doc", "text_hash", "text")
     pairs = stored(rows.mapInArrow(_hashes, "doc long, text_hash long, hash binary"), "line-hashes")
     first = pairs.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-    met = first.join(runs.seen().hint("merge"), "hash", "left")
-    met = stored(met, "line-owners")
+    # Dealt to the buckets once; the joins with all runs keep that.
+    first = first.repartition(runs.buckets, "hash")
+    met = stored(runs.with_owners(first), "line-owners")
     runs.add(met.filter("owner IS NULL").select("hash", F.col("first").alias("owner")))
     # Most hashes stand in one document and need no second look.
     owners = met.filter("owner IS NOT NULL OR first < last").select(
@@ -175,4 +215,5 @@ def line_dedup(docs: DataFrame, batches: int = BATCHES, fan: int = FAN) -> DataF
             batch = batch.filter(doc <= F.lit(high))
         found = stored(find_drops(batch, runs), "line-drops")
         drops = found if drops is None else drops.unionByName(found)
+    runs.close()
     return rewrite(docs, drops)

@@ -90,6 +90,27 @@ def test_lines_of_many_rows_without_id(spark):
     assert max(len(r.drops) for r in drops.collect()) <= 10
 
 
+def test_runs_are_neither_moved_nor_sorted(spark):
+    runs = LineRuns(spark, fan=2, buckets=4)
+    for i in range(3):
+        batch = spark.createDataFrame([(i, f"common line of text\nline number {i} here")], "doc_id long, text string")
+        find_drops(batch, runs)
+    assert [len(level) for level in runs.levels] == [1, 1]
+    hashes = runs.seen().select("hash").distinct().repartition(4, "hash")
+    joined = runs.with_owners(hashes)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("line_run_") == 2 + 2 and plan.count("SortMergeJoin") == 2
+    # What is below a join on the side of its run: a scan of the buckets, nothing else.
+    sides = plan.split("SortMergeJoin")[1:]
+    below_last = sides[0].splitlines()[-4:] + sides[1].splitlines()[-4:]
+    assert not any("Exchange" in line or "Sort " in line for line in below_last if "line_run_" in line or "Project" in line)
+    assert plan.count("Sort [") == 1 and plan.count("Exchange hashpartitioning(hash") - plan.count("REPARTITION_BY_NUM") == 1
+    assert joined.filter("owner IS NULL").isEmpty()
+    names = set(runs.names)
+    runs.close()
+    assert names and not names & {t.name for t in spark.catalog.listTables()}
+
+
 def test_runs_are_levelled_and_disjoint(spark):
     runs = LineRuns(spark, fan=2)
     texts = ["common line of text\nline number %d here" % i for i in range(5)]
