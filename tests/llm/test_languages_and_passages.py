@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import corpus_pipeline
@@ -9,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from silverbrook.llm import language_id as lang
+from silverbrook.llm import queries as llm_queries
 from silverbrook.llm import substring_dedup as sub
 from silverbrook.llm.decontamination import Matcher, Pattern, budget, drop_contaminated, find_passages, plain
 
@@ -103,18 +105,19 @@ def test_documents_stay_where_nothing_or_many_languages_were_learned(spark):
 # ---- repeated passages
 
 
-@given(st.binary(max_size=2000))
-@settings(max_examples=60, deadline=None)
+@given(st.one_of(st.binary(max_size=2000), st.text("ab ", max_size=500).map(str.encode), st.sampled_from([b"ab cd " * 90, b"x" * 300])))
+@settings(max_examples=100, deadline=None)
 def test_chunks_cover_a_text(data):
-    ends = sub.cuts(np.frombuffer(data, np.uint8))
-    lengths = [b - a for a, b in zip([0, *ends], ends, strict=False)]
-    assert sum(lengths) == len(data) and all(0 < x <= sub.MAX_BYTES for x in lengths)
+    ends, tied = sub.cuts(np.frombuffer(data, np.uint8))
+    lengths = [int(b - a) for a, b in zip([0, *ends], ends, strict=False)]
+    assert sum(lengths) == len(data) and all(x > 0 for x in lengths)
+    assert all(x > sub.RADIUS for x in lengths[1:-1]) and len(tied) == len(ends)
 
 
 def test_hash_rolls_over_its_window():
     data = np.frombuffer(random.Random(1).randbytes(100), np.uint8)
     got = sub.rolling_hash(data)
-    for i in (0, 7, 15, 16, 99):
+    for i in (0, 6, 7, 8, 15, 99):
         want = 0
         for j in range(max(0, i - sub.WINDOW + 1), i + 1):
             want = ((want << 1) + int(sub.GEAR[data[j]])) % 2**32
@@ -123,37 +126,89 @@ def test_hash_rolls_over_its_window():
 
 def test_insertions_move_near_cuts_only():
     data = random.Random(2).randbytes(20_000)
-    a = set(sub.cuts(np.frombuffer(data, np.uint8)))
-    b = {x - 3 if x > 1000 else x for x in sub.cuts(np.frombuffer(data[:1000] + b"new" + data[1000:], np.uint8))}
-    assert len(a ^ b) < 20
+    changed = data[:1000] + b"new" + data[1000:]
+    a = set(sub.cuts(np.frombuffer(data, np.uint8))[0].tolist())
+    b = {x - 3 if x > 1000 else x for x in sub.cuts(np.frombuffer(changed, np.uint8))[0].tolist()}
+    reach = sub.RADIUS + sub.WINDOW + 3
+    assert all(1000 - reach <= x <= 1000 + reach for x in a ^ b)
+
+
+def test_windows_of_words_against_brute_force():
+    rng = random.Random(6)
+    for _ in range(200):
+        own, other = ("".join(rng.choices(["ab", "c", " ", "  ", "\n"], k=rng.randint(0, 60))).encode() for _ in range(2))
+        text, part = sub._Words(own, 4), sub._Words(other, 4)
+        text.sort()
+        covered = set()
+        for first, last in text.common(part):
+            assert other[part.starts[first] : part.ends[last]] in own and last - first + 1 >= 4
+            covered.update(range(first, last + 1))
+        windows = {text.window(i) for i in range(len(text.hashes))}
+        hits = [i for i in range(len(part.hashes)) if part.window(i) in windows]
+        assert covered == {w for i in hits for w in range(i, i + 4)}
+
+
+def _prose(rng, words, longest=9):
+    return " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, longest))) for _ in range(words))
+
+
+def _covered(rows):
+    places = {}
+    for r in rows:
+        places.setdefault(r.doc_id, set()).update(range(r.start, r.start + r.length))
+    return places
+
+
+def _covered_by_hand(texts, width=sub.MIN_WORDS):
+    """Bytes of every window of so many words that an earlier document holds too."""
+    spans = {d: [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)] for d, raw in texts.items()}
+    windows = [(d, p[i][0], p[i + width - 1][1]) for d, p in sorted(spans.items()) for i in range(len(p) - width + 1)]
+    first, places = {}, {}
+    for d, a, b in windows:
+        if first.setdefault(texts[d][a:b], d) < d:
+            places.setdefault(d, set()).update(range(a, b))
+    return places
 
 
-def _prose(rng, words):
-    return " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(words))
+def test_query_against_all_windows(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = llm_queries.op1_substring_dedup(spark, sf_dir).collect()
+    for r in rows:
+        assert r.keep_id < r.doc_id and texts[r.doc_id][r.start : r.start + r.length] in texts[r.keep_id]
+    assert _covered(rows) == _covered_by_hand(texts) != {}
+
+
+def test_short_worded_and_periodic_passages(spark):
+    rng = random.Random(7)
+    texts, want = [], set()
+    for n in range(300):
+        pair = [_prose(rng, 1, 3) + str(n), _prose(rng, 1, 3)]
+        passage = [_prose(rng, 51), _prose(rng, 51, 2), " ".join((pair * 26)[:51]), _prose(rng, 40)][n % 4]
+        for _ in range(2):
+            texts.append(f"{_prose(rng, rng.randint(5, 40))} {passage} {_prose(rng, rng.randint(5, 40))}")
+        if n % 4 < 3:
+            want.add((2 * n + 1, 2 * n, len(passage)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    rows = sub.repeated_passages(docs).collect()
+    # A passage of 40 words is none; one of 51 is told whole, from its first word to its last.
+    assert {(r.doc_id, r.keep_id, r.length) for r in rows} <= want and len(rows) >= 0.99 * len(want)
 
 
-def test_shared_passages_are_found_and_clean_texts_left(spark):
+def test_shared_passages_are_found_and_clean_texts_left(spark, monkeypatch):
+    monkeypatch.setattr(sub, "ASKS_AT_ONCE", 2)  # owners' texts are sent several times
     rng = random.Random(3)
     texts = [_prose(rng, 200) for _ in range(120)]
     passages = [_prose(rng, 60) for _ in range(10)]
-    shared = {}
     for doc in range(60):
         p = passages[doc % 10]
-        texts[doc] = texts[doc][: 17 * doc] + " " + p + " " + texts[doc][17 * doc :]
-        shared.setdefault(doc % 10, []).append(doc)
+        texts[doc] = f"{texts[doc][: 17 * doc]} after{doc} {p} before{doc} {texts[doc][17 * doc :]}"
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     found = sub.repeated_passages(docs)
     rows = found.collect()
-    assert {r.doc_id for r in rows} <= {d for own in shared.values() for d in own[1:]}
-    assert len({r.doc_id for r in rows}) >= 0.96 * 50
-    for r in rows:
-        raw = texts[r.doc_id].encode()[r.start : r.start + r.length]
-        assert raw.decode() in texts[r.keep_id] and r.keep_id < r.doc_id and r.words >= sub.MIN_WORDS
+    assert [(r.doc_id, r.keep_id, r.words) for r in sorted(rows)] == [(d, d % 10, 60) for d in range(10, 60)]
     left = {r.doc_id: r.text for r in sub.without_repeats(docs, found).collect()}
-    assert len(left) == len(texts)
-    for doc, text in enumerate(texts):
-        cut = sum(r.length for r in rows if r.doc_id == doc)
-        assert len(left[doc].encode()) == len(text.encode()) - cut
+    assert left == {d: t.replace(passages[d % 10], "") if 10 <= d < 60 else t for d, t in enumerate(texts)}
 
 
 def test_repeated_passages_edge_cases(edge_docs, clashing_docs, no_docs):
@@ -173,14 +228,25 @@ def test_rows_without_id_are_told_apart(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     found = sub.repeated_passages(docs)
     spans = found.collect()
-    # Of each passage all rows but its owner's show it, whole but for the ends.
-    assert len({r.doc for r in spans}) == 24 + 1 - 6 and {r.keep_id for r in spans} == {5, None}
-    assert all(r.doc_id is None for r in spans)
+    # Of each passage all rows but its owner's show it, whole.
+    assert len({r.doc for r in spans}) == len(spans) == 24 + 1 - 6 and {r.keep_id for r in spans} == {5, None}
+    assert all(r.doc_id is None and r.words == 80 for r in spans)
     left = [r.text for r in sub.without_repeats(docs, found).collect()]
     assert len(left) == 25
     for p in passages:
-        middle = " ".join(p.split()[30:50])
-        assert sum(middle in text for _, text in rows) >= 4 and sum(middle in text for text in left) == 1
+        assert sum(p in text for _, text in rows) >= 4 and sum(p in text for text in left) == 1
+
+
+def test_texts_that_share_an_id_are_told_apart(spark):
+    rng = random.Random(9)
+    p, q, r = (_prose(rng, 70) for _ in range(3))
+    rows = [(3, f"{p} {_prose(rng, 30)}"), (7, f"{_prose(rng, 20)} {p}"), (7, f"{_prose(rng, 45)} {q} {p}"), (8, f"{q} {r}"), (8, f"{q} {r}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sub.repeated_passages(docs)
+    # Texts under a shared id come after all others; equal rows are one document.
+    assert sorted((x.doc_id, x.keep_id, x.words) for x in found.collect()) == [(7, 3, 70), (7, 3, 70), (7, 8, 70)]
+    left = [x.text for x in sub.without_repeats(docs, found).collect()]
+    assert [sum(x in text for text in left) for x in (p, q, r)] == [1, 2, 2]
 
 
 # ---- benchmark passages
