@@ -61,9 +61,18 @@ BATCH_BYTES = 4 << 20
 _CHUNKS = "key long, digest long, link int, low int, high int"
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
-#: An odd number and its inverse modulo 2^64, for hashes of windows of words.
+#: An odd number and its inverse modulo 2^64, and their powers, for hashes of windows of words.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
+#: Bytes that are hashed at a time.
+_BLOCK = 1 << 16
+_BLOCK_POWER = pow(_BASE, _BLOCK, 2**64)
+_BLOCK_INVERSE = pow(_INVERSE, _BLOCK, 2**64)
+_POWERS, _INVERSES = (
+    np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(_BLOCK - 1, x, np.uint64)]), dtype=np.uint64)
+    for x in (_BASE, _INVERSE)
+)
+_TABLE = np.random.default_rng(2).integers(0, 2**64, 256, dtype=np.uint64)
 
 
 def gear_table(seed: int = 1) -> np.ndarray:
@@ -221,7 +230,7 @@ def _rows_of_seeds(min_words: int):
 
 
 class _Words:
-    """A text's words, and a hash of each window of so many."""
+    """A text's words, and a hash of each window of so many: the difference of two running sums of its bytes."""
 
     def __init__(self, raw: bytes, width: int):
         self.raw = raw
@@ -229,44 +238,59 @@ class _Words:
         self.starts = _starts_of_words(data)
         self.ends = len(data) - _starts_of_words(data[::-1])[::-1]
         self.width = width
-        count = len(self.starts) - width + 1
-        self.hashes = np.zeros(0, np.uint64)
-        if count > 0:
-            digest = xxhash.xxh3_64_intdigest
-            starts, ends = self.starts.tolist(), self.ends.tolist()
-            spaced = np.array([digest(raw[a:b]) for a, b in zip(starts, starts[1:], strict=False)], np.uint64)
-            lasts = np.array([digest(raw[a:b]) for a, b in zip(starts[width - 1 :], ends[width - 1 :], strict=True)], np.uint64)
-            powers = np.cumprod(np.full(len(spaced), _BASE, np.uint64), dtype=np.uint64)
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(spaced * powers, dtype=np.uint64)])
-            back = np.cumprod(np.full(count, _INVERSE, np.uint64), dtype=np.uint64)
-            self.hashes = (sums[width - 1 :][:count] - sums[:count]) * back + lasts
-
-    def window(self, at: int) -> bytes:
-        return self.raw[self.starts[at] : self.ends[at + self.width - 1]]
+        count = max(len(self.starts) - width + 1, 0)
+        first, last = self.starts[:count], self.ends[width - 1 :]
+        before, behind, back = (np.zeros(count, np.uint64) for _ in range(3))
+        total, power, inverse = 0, 1, 1
+        for at in range(0, len(data) + 1 if count else 0, _BLOCK):
+            block = data[at : at + _BLOCK]
+            sums = np.zeros(len(block) + 1, np.uint64)
+            np.cumsum(_TABLE[block] * _POWERS[: len(block)], out=sums[1:])
+            for places, found in ((first, before), (last, behind)):
+                a, b = np.searchsorted(places, (at, at + _BLOCK))
+                found[a:b] = np.uint64(total) + sums[places[a:b] - at] * np.uint64(power)
+            a, b = np.searchsorted(first, (at, at + _BLOCK))
+            back[a:b] = _INVERSES[first[a:b] - at] * np.uint64(inverse)
+            total = (total + int(sums[-1]) * power) % 2**64
+            power = power * _BLOCK_POWER % 2**64
+            inverse = inverse * _BLOCK_INVERSE % 2**64
+        self.hashes = (behind - before) * back
+
+    def bytes(self, first: int, last: int) -> bytes:
+        """From the first window to the last."""
+        return self.raw[self.starts[first] : self.ends[last + self.width - 1]]
 
     def sort(self) -> None:
         """Prepare to be searched."""
         self.order = np.argsort(self.hashes, kind="stable")
         self.sorted = self.hashes[self.order]
+        self.listed = self.hashes.tolist()
 
     def common(self, part: _Words) -> Iterator[tuple[int, int]]:
-        """First and last word of the longest runs of ``part`` that stand here, each of a window or more."""
+        """First and last word of the runs of ``part`` that stand here, each of a window or more.
+
+        A run goes on while its next window stands next here, too.
+        """
         if not len(self.hashes):
             return
         found = np.minimum(np.searchsorted(self.sorted, part.hashes), len(self.sorted) - 1)
-        begin, last, place = -1, -2, -1
-        for i in np.flatnonzero(self.sorted[found] == part.hashes).tolist():
-            goes_on = i == last + 1 and place + 1 < len(self.hashes) and self.hashes[place + 1] == part.hashes[i]
-            at = place + 1 if goes_on else int(self.order[found[i]])
-            if self.window(at) != part.window(i):
+        hits = np.flatnonzero(self.sorted[found] == part.hashes)
+        runs: list[list[int]] = []  # first window, last window, place of the last
+        rows = zip(hits.tolist(), part.hashes[hits].tolist(), self.order[found[hits]].tolist(), strict=True)
+        for i, value, place in rows:
+            run = runs[-1] if runs else None
+            if run and i == run[1] + 1 and run[2] + 1 < len(self.listed) and self.listed[run[2] + 1] == value:
+                run[1], run[2] = i, run[2] + 1
+            else:
+                runs.append([i, i, place])
+        for first, last, place in runs:
+            if self.bytes(place - last + first, place) == part.bytes(first, last):
+                yield first, last + self.width - 1
                 continue
-            if not goes_on:
-                if begin >= 0:
-                    yield begin, last + self.width - 1
-                begin = i
-            last, place = i, at
-        if begin >= 0:
-            yield begin, last + self.width - 1
+            for i in range(first, last + 1):  # some hash met by chance
+                at = place - last + i
+                if self.bytes(at, at) == part.bytes(i, i):
+                    yield i, i + self.width - 1
 
 
 _PARTS = "owner long, salt int, kind int, key long, doc_id long, start int, part binary"

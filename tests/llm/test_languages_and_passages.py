@@ -133,7 +133,12 @@ def test_insertions_move_near_cuts_only():
     assert all(1000 - reach <= x <= 1000 + reach for x in a ^ b)
 
 
-def test_windows_of_words_against_brute_force():
+@pytest.mark.parametrize("block", [None, 16])
+def test_windows_of_words_against_brute_force(monkeypatch, block):
+    if block:  # a text of several blocks
+        monkeypatch.setattr(sub, "_BLOCK", block)
+        monkeypatch.setattr(sub, "_BLOCK_POWER", pow(sub._BASE, block, 2**64))
+        monkeypatch.setattr(sub, "_BLOCK_INVERSE", pow(sub._INVERSE, block, 2**64))
     rng = random.Random(6)
     for _ in range(200):
         own, other = ("".join(rng.choices(["ab", "c", " ", "  ", "\n"], k=rng.randint(0, 60))).encode() for _ in range(2))
@@ -143,8 +148,8 @@ def test_windows_of_words_against_brute_force():
         for first, last in text.common(part):
             assert other[part.starts[first] : part.ends[last]] in own and last - first + 1 >= 4
             covered.update(range(first, last + 1))
-        windows = {text.window(i) for i in range(len(text.hashes))}
-        hits = [i for i in range(len(part.hashes)) if part.window(i) in windows]
+        windows = {text.bytes(i, i) for i in range(len(text.hashes))}
+        hits = [i for i in range(len(part.hashes)) if part.bytes(i, i) in windows]
         assert covered == {w for i in hits for w in range(i, i + 4)}
 
 
