@@ -28,9 +28,10 @@ def left_join_one(
 
     ``salted`` spreads every key over ``SALTS`` tasks from the start, for
     sessions without adaptive execution, at the price of as many copies of
-    ``one``; no pass counts rows first. ``spread_by`` names columns that tell
-    the rows of ``many`` apart; salts are hashes of them, so a task that is run
-    again computes the same ones.
+    ``one``; no pass counts rows first. Those copies are shuffled and sorted,
+    never broadcast: planning would judge them by the size of ``one`` alone.
+    ``spread_by`` names columns that tell the rows of ``many`` apart; salts are
+    hashes of them, so a task that is run again computes the same ones.
 
     The result has the columns of ``many`` and those of ``one`` but its key.
     """
@@ -40,5 +41,5 @@ def left_join_one(
         return many.join(right, on, "left").drop("_one_key")
     left = many.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int"))
     copies = right.withColumn("_one_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = left.join(copies, on & (F.col("_salt") == F.col("_one_salt")), "left")
+    joined = left.join(copies.hint("merge"), on & (F.col("_salt") == F.col("_one_salt")), "left")
     return joined.drop("_one_key", "_salt", "_one_salt")

@@ -13,6 +13,7 @@ from silverbrook.operators.quality import (
 )
 from silverbrook.plans import marts
 from silverbrook.schema import ENTITIES
+from tests.conftest import executed_plan
 
 
 @pytest.fixture(scope="module")
@@ -93,6 +94,15 @@ def test_salting_spreads_a_hot_key(spark):
     assert plan.filter("v = 'v'").count() == 6400
 
 
+def test_salted_copies_are_never_broadcast(spark):
+    left = spark.range(100).selectExpr("id", "id % 3 AS k")
+    right = spark.createDataFrame([(0, "zero"), (1, "one")], "rk long, name string")
+    joined = left_join_one(left, right, "k", "rk", ["id"], salted=True)
+    plan = executed_plan(joined)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert joined.count() == 100
+
+
 @pytest.mark.parametrize("salted", [True, False])
 def test_no_pass_counts_rows_before_a_join(spark, salted):
     left = spark.range(100).selectExpr("id", "id AS k")
