@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from silverbrook.functions.events import CONTENT
 from silverbrook.operators.routing import judge_events, validate_events
 from silverbrook.plans.build import FailedTests, build
+from silverbrook.sources import event_store
 from silverbrook.sources.event_store import write_event_store, write_quarantine
 from silverbrook.sources.raw_events import (
     good_events,
@@ -19,7 +20,7 @@ from silverbrook.sources.raw_events import (
     unloaded_files,
 )
 from silverbrook.sources.tables import VersionedTable
-from silverbrook.streaming.landing import forget_judged, read_batches, start_ingest
+from silverbrook.streaming.landing import forget_judged, read_batches, start_ingest, stream_event_store
 from silverbrook.streaming.staging import (
     dropped_by_watermark,
     first_click_seen,
@@ -59,6 +60,21 @@ def test_store_layout_and_scan(spark, folder, rows):
     assert rows(read_raw_events(spark, folder, ""), "ce_id") == [("4",)]
 
 
+def test_stored_events_and_tables_are_compressed(spark, folder, rows, monkeypatch):
+    monkeypatch.setitem(event_store.STORE_OPTIONS, "maxRecordsPerFile", "2")
+    stored, _ = validate_events(texts(spark, *[envelope("a.b.upsert", str(i)) for i in range(5)]).coalesce(1))
+    write_event_store(stored, f"{folder}/batch", arrival=day())
+    stored.write.parquet(f"{folder}/valid")
+    incoming = spark.readStream.schema(stored.schema).parquet(f"{folder}/valid")
+    stream_event_store(incoming, f"{folder}/stream", f"{folder}/ckpt", None, day()).awaitTermination()
+    for root in (f"{folder}/batch", f"{folder}/stream"):
+        scan = read_raw_events(spark, root, "a.b")
+        assert rows(scan, "ce_id") == [(str(i),) for i in range(5)]
+        files = {r[0]: r[1] for r in scan.groupBy("source_file").count().collect()}
+        assert all(name.endswith(".txt.gz") for name in files) and max(files.values()) <= 2
+    assert all(name.endswith(".zstd.parquet") for name in os.listdir(f"{folder}/valid") if name.startswith("part-"))
+
+
 def test_scan_skips_bad_lines_and_keeps_arrays_whole(spark, folder, rows):
     lines = ['{"id": "1"}', "broken{", "[1, 2]", ""]
     spark.createDataFrame([(t,) for t in lines], "value string").coalesce(1).write.text(f"{folder}/x")
