@@ -323,9 +323,12 @@ class Inputs:
         text = _envelope(F.col("id"), F.lit("//shop/test"), event_type, F.col("time"), F.col("data"))
         return versions.select(text.alias("value"))
 
-    def entity_raw(self, name: str, entity: str) -> DataFrame:
-        """The raw table of one entity."""
-        return _as_raw(self.entity_texts(self.entity_versions(name), entity))
+    def entity_raw(self, name: str, entity: str, years: tuple[int, int] | None = None) -> DataFrame:
+        """The raw table of one entity, of some years if they are given; they are picked before texts are made."""
+        versions = self.entity_versions(name)
+        if years is not None:
+            versions = versions.filter(F.year("time").between(*years))
+        return _as_raw(self.entity_texts(versions, entity))
 
     def clean_versions(self, name: str) -> DataFrame:
         """One event per row of a bound staging table, in the shape of ``entity_versions``."""

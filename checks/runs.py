@@ -488,11 +488,10 @@ def _stage_in_slices(inp: Inputs, years: Sequence[tuple[int, int]]) -> Versioned
     """Raw payment events arriving slice by slice, merged as they do."""
     spec = ENTITIES["payments"]
     base = shared_dir(inp.spark, "staging")
-    inp.entity_raw("payments", "payment").write.parquet(f"{base}/all")
-    raw = inp.spark.read.parquet(f"{base}/all")
     table = VersionedTable(inp.spark, f"{base}/payments", spec.keys, spec.time_column)
-    for first, last in years:
-        raw.filter(F.year("ce_time").between(first, last)).write.mode("append").parquet(f"{base}/raw")
+    for between in years:
+        raw = inp.entity_raw("payments", "payment", between)
+        raw.write.mode("append").parquet(f"{base}/raw")
         stream = inp.spark.readStream.schema(raw.schema).parquet(f"{base}/raw")
         streams.stream_entity(stream, spec, table, f"{base}/ckpt", interval=None).awaitTermination()
     return table

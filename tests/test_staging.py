@@ -5,6 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from checks.bindings import Inputs
 from silverbrook.functions.events import CONTENT, extract_typed
 from silverbrook.operators.dedup import latest_per_key
 from silverbrook.operators.incremental import lookback_filter, merge_upsert, skipped_late
@@ -226,6 +227,21 @@ def test_stream_equals_full_refresh(spark, folder, table):
 # Tables
 
 
+def test_slices_are_picked_before_texts_are_made(spark):
+    inp = Inputs(spark, "/root/testdata/sf0.001")
+    raw, years = inp.entity_raw("payments", "payment"), (1998, 1999)
+    part = inp.entity_raw("payments", "payment", years)
+    ids = lambda df: sorted(r[0] for r in df.select("ce_id").collect())
+    assert ids(part) == ids(raw.filter(F.year("ce_time").between(*years))) != ids(raw)
+    days = (11, 20)
+    clicks = inp.landing(days)
+    assert ids(clicks) == ids(inp.landing().filter(F.dayofmonth("ce_time").between(*days)))
+    for df, column in ((part, "l_shipdate"), (clicks, "ts")):
+        # Below the text's generator: a plan's lower steps are printed later.
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in plan[plan.rindex(f"isnotnull({column}") :]
+
+
 def _kv(spark, *pairs):
     return spark.createDataFrame(list(pairs), "k long, v string")
 
