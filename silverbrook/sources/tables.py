@@ -141,6 +141,22 @@ class VersionedTable:
         others = base.join(keys, list(self.keys), "left_anti").select(*base.columns)
         return others.unionByName(winners)
 
+    def _folded(self, base: DataFrame, folder: str, version: Version) -> DataFrame:
+        """``base`` with the rows of one large batch: both are moved once and ranked together.
+
+        Gives what ``_merged`` does, which reads and moves the base twice and the batch up to
+        three times, as is right for a few keys. Rows without a key are never replaced.
+        """
+        keyed = " AND ".join(f"`{k}` IS NOT NULL" for k in self.keys)
+        new = self._rows([folder], version)
+        rows = base.filter(keyed).withColumn(VERSION, F.lit(0)).unionByName(new.withColumn(VERSION, F.lit(1)))
+        if version.newest_by is None:
+            latest = latest_per_key(rows, self.keys, VERSION)
+        else:
+            order = (version.newest_by, "last", version.tie_break)
+            latest = latest_per_key(rows.drop(VERSION), self.keys, *order)
+        return latest.select(*version.names).unionByName(base.filter(f"NOT ({keyed})"))
+
     def _resolved(self, version: Version) -> DataFrame:
         base = self._rows([version.base], version)
         return self._merged(base, version.batches, version) if version.batches else base
@@ -234,7 +250,7 @@ class VersionedTable:
             other_rule = (before.newest_by, before.tie_break) != (newest_by, after.tie_break)
             grown = before.batch_rows + rows > FOLD_SHARE * before.rows
             if grown or before.batches and other_rule:
-                whole = self._merged(self._resolved(before), [folder], after)
+                whole = self._folded(self._resolved(before), folder, after)
                 base, rows, newest = self._write(whole, number)
                 after = replace(after, base=base, rows=rows, newest=newest, batches=(), batch_rows=0)
             else:

@@ -293,6 +293,30 @@ def test_large_batches_are_folded_and_many_put_together(spark, folder, rows, mon
     assert dict(rows(table.read())) == want | {5: "00"} and not table.version().batches
 
 
+@pytest.mark.parametrize("newest_by", [None, "t"])
+def test_a_large_batch_is_folded_in_one_pass(spark, folder, rows, monkeypatch, newest_by):
+    written = []
+    write = VersionedTable._write
+
+    def spy(self, df, number):
+        written.append(df)
+        return write(self, df, number)
+
+    monkeypatch.setattr(VersionedTable, "_write", spy)
+    schema = "k long, v string, t timestamp"
+    at = lambda day: datetime(2024, 1, day)
+    table = VersionedTable(spark, folder, ["k"])
+    table.replace(spark.createDataFrame([(1, "a", at(5)), (2, "b", None), (3, "c", at(5)), (None, "x", None), (None, "y", None)], schema))
+    table.merge(spark.createDataFrame([(1, "old", at(1)), (2, "new", at(1)), (4, "d", None)], schema), newest_by)
+    assert not table.version().batches
+    first = "a" if newest_by else "old"
+    assert rows(table.read(), "k", "v") == sorted(
+        [(1, first), (2, "new"), (3, "c"), (4, "d"), (None, "x"), (None, "y")], key=repr
+    )
+    plan = written[-1]._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
 def test_only_what_is_new_is_tested(spark, folder, rows):
     table = VersionedTable(spark, folder, ["k"])
     seen = []
