@@ -4,7 +4,8 @@ A byte-level BPE cuts a text into words by a pattern and merges within words
 only, so a word has the same ids wherever it stands. Texts are cut before spaces
 and, where no other white space touches them, before line ends into units, and
 the ids of a unit are remembered; only units that a worker has not met go to
-the library. New units of letters, nearly all of them, go there many at a time
+the library. Arrow tells the distinct units of some texts and puts their ids back
+in the order of the texts, so each is looked up once for all its places. New units of letters, nearly all of them, go there many at a time
 as one text, in which each stays a word of its own; where its ids end follows
 from the bytes that each id stands for.
 
@@ -17,10 +18,13 @@ of Unicode. Every id comes from the tokenizers library either way.
 from __future__ import annotations
 
 import os
+import string
 from collections.abc import Iterable, Iterator
-from itertools import chain, islice
+from itertools import chain, filterfalse, islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
@@ -34,17 +38,10 @@ WORDS_AT_ONCE = 1000
 # Fixed value: the word pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Up to U+07FF, and common punctuation and currency signs: their classes are settled.
-_MARKS = frozenset(",.;:!?")
+_MARKS = string.punctuation
 _UNSETTLED = regex.compile("[^\u0000-\u07ff\u2000-\u20bf]")
 
 
-def _holes(ids: list[bytes | None]) -> Iterator[int]:
-    at = -1
-    for _ in range(ids.count(None)):
-        at = ids.index(None, at + 1)
-        yield at
-
-
 class Encoder:
     """Ids of texts as arrays of ``dtype`` (two bytes where the vocabulary allows it)."""
 
@@ -68,8 +65,8 @@ class Encoder:
         ends = np.cumsum([0, *map(len, found)]) * self.dtype.itemsize
         return [data[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist(), strict=False)]
 
-    def _cut(self, text: str) -> list[str] | None:
-        """The units of a text; None when it must be encoded as a whole."""
+    def _cut(self, text: str) -> tuple[str, str | None] | None:
+        """The first unit and the others, a space between them; None when it must be encoded as a whole."""
         if "  " in text or " \n" in text or any(s in text for s in self.specials):
             return None
         if not text.isascii() and _UNSETTLED.search(text) is not None:
@@ -80,7 +77,8 @@ class Encoder:
                 lines.pop()
             if all(line and not line[0].isspace() and not line[-1].isspace() for line in lines):
                 text = text.replace("\n", " \n")
-        return text.split(" ")
+        first, space, others = text.partition(" ")
+        return first, others if space else None
 
     def _words(self, words: list[str], before: str) -> Iterator[bytes]:
         """The ids of words of letters with a character before each: in the first id, or as one."""
@@ -94,48 +92,59 @@ class Encoder:
             ends = ((np.searchsorted(id_ends, word_ends) + 1) * self.dtype.itemsize).tolist()
             yield from map(data.__getitem__, map(slice, [0, *ends[:-1]], ends))
 
-    def _learn(self, units: set[str]) -> None:
-        """Remember units: words after a space or a line end, with a mark after them, or anything else."""
-        words = {u for u in units if u.removeprefix("\n").isalpha()}
-        others = units - words
-        marked = [u for u in others if u[-1:] in _MARKS and u[:-1].removeprefix("\n").isalpha()]
-        others.difference_update(marked)
-        words.update(u[:-1] for u in marked)
-        new = words.difference(self.units)
-        after_line = [u[1:] for u in new if u[0] == "\n"]
-        after_space = [u for u in new if u[0] != "\n"]
-        self.units.update(zip(after_space, self._words(after_space, " "), strict=True))
-        self.units.update(zip(["\n" + u for u in after_line], self._words(after_line, "\n"), strict=True))
-        cut = {u: self.pattern.findall(u if u[:1] == "\n" else " " + u) for u in others}
-        pieces = list({w for found in cut.values() for w in found} | _MARKS)
+    def _learn(self, units: list[str]) -> None:
+        """Remember new units: words after a space or a line end, with marks after them, or anything else."""
+        after_space = set(filter(str.isalpha, units))
+        after_line, marked, others = set(), [], []
+        for unit in filterfalse(str.isalpha, units):
+            # Marks in a row are a word of the pattern.
+            word = unit.rstrip(_MARKS)
+            if word.isalpha():
+                after_space.add(word)
+            elif word[:1] == "\n" and word[1:].isalpha():
+                after_line.add(word)
+            else:
+                others.append(unit)
+                continue
+            if len(word) < len(unit):
+                marked.append((unit, word, unit[len(word) :]))
+        # A word may be known where the word with its marks is new.
+        words = list(after_space.difference(self.units))
+        self.units.update(zip(words, self._words(words, " "), strict=True))
+        words = list(after_line.difference(self.units))
+        self.units.update(zip(words, self._words([w[1:] for w in words], "\n"), strict=True))
+        cut = [self.pattern.findall(u if u[:1] == "\n" else " " + u) for u in others]
+        pieces = list({marks for _, _, marks in marked}.union(*cut))
         known = dict(zip(pieces, self._library(pieces), strict=True))
-        self.units.update([(u, self.units[u[:-1]] + known[u[-1]]) for u in marked])
-        self.units.update([(u, b"".join([known[w] for w in found])) for u, found in cut.items()])
+        self.units.update([(u, self.units[word] + known[marks]) for u, word, marks in marked])
+        self.units.update([(u, b"".join([known[w] for w in found])) for u, found in zip(others, cut, strict=True)])
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.units) > self.remembered:
             # What was met first is met most.
             self.units = dict(islice(self.units.items(), self.remembered // 2))
-        known = self.units.get
-        easy, firsts, found, missing = [], [], [], []
-        for text in texts:
-            units = self._cut(text)
-            easy.append(units is not None)
-            if units is not None:
-                ids = list(map(known, units))
-                # What comes first stands after nothing.
-                firsts.append(units[0])
-                ids[0] = b""
-                found.append(ids)
-                if None in ids:
-                    missing.extend([(ids, i, units[i]) for i in _holes(ids)])
-        if missing:
-            self._learn({unit for _, _, unit in missing})
-            for ids, i, unit in missing:
-                ids[i] = self.units[unit]
-        hard = iter(self._library([t for t, fine in zip(texts, easy, strict=True) if not fine]))
-        whole = map(bytes.__add__, self._library(firsts), map(b"".join, found))
-        return [next(whole) if fine else next(hard) for fine in easy]
+        cuts = [self._cut(text) for text in texts]
+        easy = [cut for cut in cuts if cut is not None]
+        # What comes first stands after nothing.
+        whole = map(bytes.__add__, self._library([first for first, _ in easy]), self._after([x for _, x in easy]))
+        hard = iter(self._library([t for t, cut in zip(texts, cuts, strict=True) if cut is None]))
+        return [next(hard) if cut is None else next(whole) for cut in cuts]
+
+    def _after(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of what follows the first space of each text; a null has none."""
+        units = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        places = units.flatten().dictionary_encode()
+        distinct = places.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if not distinct:
+            return iter([b""] * len(texts))
+        found = list(map(self.units.get, distinct))
+        new = [unit for unit, ids in zip(distinct, found, strict=True) if ids is None]
+        if new:
+            self._learn(new)
+            found = [self.units[unit] if ids is None else ids for unit, ids in zip(distinct, found, strict=True)]
+        _, ends, data = pa.array(found, pa.large_binary()).take(places.indices).buffers()
+        ends = np.frombuffer(ends, np.int64)[units.offsets.to_numpy()].tolist()
+        return map(data.to_pybytes().__getitem__, map(slice, ends, ends[1:]))
 
     def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """The ids of each text, in order; a few texts are held at a time."""

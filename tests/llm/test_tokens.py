@@ -34,6 +34,29 @@ def test_special_tokens_and_spaces():
     assert [x.tolist() for x in OURS.encode(texts)] == [ids_of(t) for t in texts]
 
 
+@given(st.lists(st.text(alphabet=" \n!'$#.,_abs1éÄ", max_size=30), max_size=20))
+@settings(max_examples=200, deadline=None)
+def test_words_with_runs_of_marks(texts):
+    assert [x.tolist() for x in Encoder(PATH, 50).encode(texts)] == [ids_of(t) for t in texts]
+
+
+def test_a_unit_is_looked_up_once_for_all_its_places(monkeypatch):
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            self.asked += 1
+            return super().get(key, default)
+
+    ours = Encoder(PATH)
+    ours.units = Counted()
+    # Words with marks in a row need no pattern.
+    monkeypatch.setattr(ours, "pattern", None)
+    texts = ["one two!! three?... \u00e9t\u00e9$$ " * 200 + "end"] * 5 + ["one", ""]
+    assert [x.tolist() for x in ours.encode(texts)] == [ids_of(t) for t in texts]
+    assert 0 < ours.units.asked <= 6
+
+
 def test_files_give_every_document_back(spark, edge_docs, edge_rows, no_docs):
     files = write_tokens(edge_docs, shared_dir(spark, "tokens"), PATH)
     got = sorted(tuple(r) for r in read_digests(files).fillna(-1, "doc_id").collect())
