@@ -44,7 +44,7 @@ MIN_CHARS = 10
 FAN = 2
 #: Documents are taken in so many batches by the registered query.
 BATCHES = 4
-#: Buckets of a run; one task reads one bucket of every run.
+#: Buckets of a run at least; one task reads one bucket of every run.
 BUCKETS = 64
 
 _SPACE = SPACE_CHARS.encode()
@@ -110,13 +110,16 @@ class LineRuns:
 
     A run is a table of the session's catalog, whose files lie in the shared
     folder: Spark keeps buckets for tables only. It takes a bucket of one file
-    as sorted where the session says so, which is set here.
+    as sorted where the session says so, which is set here. A run has as many
+    buckets as the session's shuffles have partitions: more partitions than
+    buckets would write many small files to each, and its joins would move and
+    sort the runs.
     """
 
-    def __init__(self, spark: SparkSession, fan: int = FAN, buckets: int = BUCKETS) -> None:
+    def __init__(self, spark: SparkSession, fan: int = FAN, buckets: int | None = None) -> None:
         self.spark = spark
         self.fan = fan
-        self.buckets = buckets
+        self.buckets = buckets or max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
         self.levels: list[list[DataFrame]] = []
         self.names: list[str] = []
         spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")

@@ -123,3 +123,27 @@ def test_runs_are_levelled_and_disjoint(spark):
     assert [len(level) for level in runs.levels] == [1, 0, 1]
     seen = runs.seen().collect()
     assert len(seen) == len({bytes(r.hash) for r in seen}) == 6
+
+
+def test_runs_have_a_bucket_for_each_partition_of_a_shuffle(spark, monkeypatch):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    frame = type(spark.range(0))
+    dealt = frame.repartition
+    # A session may deal rows out to more partitions than were asked for.
+    monkeypatch.setattr(
+        frame, "repartition", lambda df, n, *by: dealt(df, max(n, 70) if by and isinstance(n, int) else n, *by)
+    )
+    spark.conf.set("spark.sql.shuffle.partitions", "70")
+    try:
+        runs = LineRuns(spark)
+        rows = [(i, "\n".join(f"line number {i} {j} of many" for j in range(500))) for i in range(2)]
+        batch = spark.createDataFrame(rows, "doc_id long, text string")
+        find_drops(batch, runs)
+        run = runs.runs()[0]
+        # One file of a bucket: its order holds, and few files are written.
+        assert run.count() == 1000 and len(run.inputFiles()) <= runs.buckets
+        plan = runs.with_owners(run.select("hash"))._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Sort [" not in plan
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        runs.close()
