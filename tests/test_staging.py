@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -224,6 +225,29 @@ def test_stream_equals_full_refresh(spark, folder, table):
     assert amounts(table.read()) == amounts(full.read())
 
 
+def test_a_first_load_reads_fields_not_whole_events(spark, folder, table):
+    raw(spark, event(1, 100, 1, "a"), event(1, 101, 2, "b")).write.parquet(f"{folder}/raw")
+    stream = spark.readStream.schema(RAW_SCHEMA).parquet(f"{folder}/raw")
+    query = stream_entity(stream, SPEC, table, f"{folder}/ckpt", None)
+    query.awaitTermination()
+    # The reader's columns: a struct of the fields asked for instead of the variant.
+    schema = query._jsq.explainInternal(True).rpartition("ReadSchema: ")[2].splitlines()[0]
+    assert f"{CONTENT}:struct<" in schema and "variant" not in schema and amounts(table.read()) == {1: 2}
+
+
+def test_a_first_load_in_parts_counts_late_events(spark, folder, table):
+    parts = [[event(1, 100, 1, "a")], [event(2, 10, 2, "b"), event(3, None, 3, "c"), event(4, 99, 4, "d")]]
+    for i, part in enumerate(parts):
+        raw(spark, *part).coalesce(1).write.mode("append").parquet(f"{folder}/raw")
+        for name in os.listdir(f"{folder}/raw"):
+            if name.startswith("part-") and i == 0:
+                os.utime(f"{folder}/raw/{name}", (1, 1))
+    stream = spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{folder}/raw")
+    stream_entity(stream, SPEC, table, f"{folder}/ckpt", None).awaitTermination()
+    counts = table.version().counts
+    assert (counts["late_rows"], counts["untimed_rows"]) == (1, 1) and amounts(table.read()) == {1: 1, 4: 4}
+
+
 # Tables
 
 
