@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from silverbrook.functions.events import CONTENT
-from silverbrook.operators.routing import judge_events, validate_events
+from silverbrook.operators.routing import judge_events, one_document, validate_events
 from silverbrook.plans.build import FailedTests, build
 from silverbrook.sources import event_store
 from silverbrook.sources.event_store import write_event_store, write_quarantine
@@ -75,6 +75,29 @@ def test_stored_events_and_tables_are_compressed(spark, folder, rows, monkeypatc
     assert all(name.endswith(".zstd.parquet") for name in os.listdir(f"{folder}/valid") if name.startswith("part-"))
 
 
+def test_events_are_stored_as_they_came(spark, folder, rows):
+    events = [envelope("a.b.upsert", str(i), n=[i, {"t": "} {"}]) for i in range(3)]
+    came = [json.dumps(events[0]), json.dumps(events[1], separators=(",", ":")), json.dumps(events[2], indent=1)]
+    valid, _ = validate_events(spark.createDataFrame([(t,) for t in came], "value string"))
+    write_event_store(valid, folder, arrival=day(), text="value")
+    stored = sorted(r[0] for r in spark.read.text(f"{folder}/entity=a.b").select("value").collect())
+    # A text over several lines is made again as one.
+    assert set(came[:2]) < set(stored) and [json.loads(s)["id"] for s in stored if s not in came] == ["2"]
+    scan = read_raw_events(spark, folder, "a.b").select(F.to_json(CONTENT))
+    assert sorted(rows(scan)) == sorted(rows(valid.select(F.to_json(CONTENT)))) and scan.count() == 3
+
+
+def test_one_document_is_told(spark, rows):
+    # With and without a closing bracket, which decides what has to be looked at.
+    whole = ['{"a":1}', '{"a":[1]}', '{"a":"]"}', "1", "[1]", "null", ' "x"\n', '{"a":"} {"}']
+    broken = [
+        '{"a":1} x', '{"a":1}]', '{"a":1}],[2', '{"a":"]"} 1', "1 2", "1,2", "", " ", '{"a":1},{"b":2}', '{"a":1}}',
+        '{"a":1}, "v":{', "[1] ]", '{"a":1}, "w":1', "[", "]", "1]", "1],[1", '{"a":1},', '{"a":1}]}',
+    ]
+    df = spark.createDataFrame([(t,) for t in whole + broken], "t string")
+    assert rows(df.filter(one_document(F.col("t")).isNotNull()), "t") == sorted([(t,) for t in whole], key=repr)
+
+
 def test_scan_skips_bad_lines_and_keeps_arrays_whole(spark, folder, rows):
     lines = ['{"id": "1"}', "broken{", "[1, 2]", ""]
     spark.createDataFrame([(t,) for t in lines], "value string").coalesce(1).write.text(f"{folder}/x")

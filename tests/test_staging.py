@@ -251,6 +251,13 @@ def test_a_first_load_in_parts_counts_late_events(spark, folder, table):
 # Tables
 
 
+def test_small_tables_become_events_on_all_cores(spark):
+    inp, cores = Inputs(spark, "/root/testdata/sf0.001"), spark.sparkContext.defaultParallelism
+    for name in ("customers", "products", "orders"):
+        versions = inp.clean_versions(name)
+        assert versions.rdd.getNumPartitions() >= cores and versions.count() == getattr(inp, name)().count()
+
+
 def test_slices_are_picked_before_texts_are_made(spark):
     inp = Inputs(spark, "/root/testdata/sf0.001")
     raw, years = inp.entity_raw("payments", "payment"), (1998, 1999)
