@@ -248,6 +248,20 @@ def test_a_first_load_in_parts_counts_late_events(spark, folder, table):
     assert (counts["late_rows"], counts["untimed_rows"]) == (1, 1) and amounts(table.read()) == {1: 1, 4: 4}
 
 
+def test_a_late_event_that_does_not_convert_stops_a_first_load_once(spark, folder, table):
+    raw(spark, event(1, 100, 1, "a")).coalesce(1).write.parquet(f"{folder}/raw")
+    for name in os.listdir(f"{folder}/raw"):
+        if name.startswith("part-"):
+            os.utime(f"{folder}/raw/{name}", (1, 1))
+    raw(spark, event(2, 10, "much", "b")).coalesce(1).write.mode("append").parquet(f"{folder}/raw")
+    stream = spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{folder}/raw")
+    with pytest.raises(PySparkException):
+        stream_entity(stream, SPEC, table, f"{folder}/ckpt", None).awaitTermination()
+    assert amounts(table.read()) == {1: 1}
+    stream_entity(stream, SPEC, table, f"{folder}/ckpt", None).awaitTermination()
+    assert table.version().counts["late_rows"] == 1 and amounts(table.read()) == {1: 1}
+
+
 # Tables
 
 
